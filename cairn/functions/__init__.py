@@ -13,7 +13,7 @@ from cairn.functions.dates import (
     trunc_date,
     trunc_ntz,
 )
-from cairn.functions.numeric import dbl, guarded_ratio, null_if_zero, round_half_away
+from cairn.functions.numeric import dbl, exact_avg, exact_sum, guarded_ratio, null_if_zero, round_half_away
 from cairn.functions.mapping import case_map
 
 __all__ = [
@@ -21,6 +21,8 @@ __all__ = [
     "date_part",
     "day_name",
     "dbl",
+    "exact_avg",
+    "exact_sum",
     "guarded_ratio",
     "iso_text",
     "month_name",

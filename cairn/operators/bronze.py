@@ -21,6 +21,19 @@ def activities(raw: DataFrame) -> DataFrame:
     )
 
 
+def records(raw: DataFrame) -> DataFrame:
+    """All bronze columns in one keyed relation (struct fields lifted):
+    every bronze table is a projection of it."""
+    return raw.select(
+        F.col("id").alias("activity_id"),
+        F.col("athlete.id").alias("athlete_id"),
+        *[c for c in raw.columns if c not in ("id", "athlete", "map", "batch_seq", "row_seq")],
+        F.col("map.id").alias("map_id"),
+        F.col("map.summary_polyline").alias("summary_polyline"),
+        F.col("map.resource_state").alias("map_resource_state"),
+    )
+
+
 def heartrate(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("id").alias("activity_id"),

@@ -2,6 +2,8 @@
 
 Rollups are hash aggregates with a partial (map-side) step, so only one row
 per (partition, period) crosses the shuffle whatever the skew of the data.
+Double sums and averages are exact (see ``cairn.functions.numeric``), so a
+rollup gives the same numbers on any partitioning and on any retry.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.functions import trunc_ntz
+from cairn.functions import exact_avg, exact_sum, trunc_ntz
 
 
 def activity_summary(fact: DataFrame) -> DataFrame:
@@ -37,13 +39,13 @@ def activity_summary(fact: DataFrame) -> DataFrame:
 def _period_stats(fact: DataFrame, unit: str, label: str, with_comments: bool) -> DataFrame:
     aggs = [
         F.count(F.lit(1)).alias("activity_count"),
-        F.sum("distance_km").alias("total_distance_km"),
-        F.sum("moving_time_min").alias("total_time_min"),
-        F.avg("pace_min_per_km").alias("avg_pace"),
+        exact_sum(F.col("distance_km")).alias("total_distance_km"),
+        exact_sum(F.col("moving_time_min")).alias("total_time_min"),
+        exact_avg(F.col("pace_min_per_km")).alias("avg_pace"),
         F.min("pace_min_per_km").alias("best_pace"),
-        F.avg("average_heartrate").alias("avg_heartrate"),
+        exact_avg(F.col("average_heartrate")).alias("avg_heartrate"),
         F.max("max_heartrate").alias("max_heartrate"),
-        F.sum("total_elevation_m").alias("total_elevation_m"),
+        exact_sum(F.col("total_elevation_m")).alias("total_elevation_m"),
         F.sum("kudos_count").alias("total_kudos"),
     ]
     if with_comments:

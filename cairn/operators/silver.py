@@ -15,39 +15,36 @@ from pyspark.sql import functions as F
 from cairn.functions import dbl, guarded_ratio, parse_ts_ntz
 
 
-def activities(bronze_activities: DataFrame, bronze_metrics: DataFrame) -> DataFrame:
-    a = bronze_activities.where(F.col("activity_id").isNotNull()).alias("a")
-    m = bronze_metrics.alias("m")
-    km = F.col("m.distance") / dbl(1000.0)
-    minutes = F.col("m.moving_time") / dbl(60.0)
-    return a.join(m, F.col("a.activity_id") == F.col("m.activity_id"), "left").select(
-        F.col("a.activity_id"),
-        F.col("a.name"),
+def _activity_columns(a: str, m: str) -> list:
+    """The 25 ``silver_activities`` columns, reading activity fields from
+    alias ``a`` and metric fields from alias ``m``."""
+    km = F.col(f"{m}.distance") / dbl(1000.0)
+    minutes = F.col(f"{m}.moving_time") / dbl(60.0)
+    return [
+        F.col(f"{a}.activity_id").alias("activity_id"),
+        F.col(f"{a}.name").alias("name"),
         km.alias("distance_km"),
         minutes.alias("moving_time_min"),
-        (F.col("m.elapsed_time") / dbl(60.0)).alias("elapsed_time_min"),
+        (F.col(f"{m}.elapsed_time") / dbl(60.0)).alias("elapsed_time_min"),
         # pace: NULL when the distance is zero, negative or NULL
         guarded_ratio(minutes, km).alias("pace_min_per_km"),
-        F.col("m.total_elevation_gain").alias("total_elevation_m"),
-        F.col("m.average_speed"),
-        F.col("m.max_speed"),
-        F.col("m.elev_high"),
-        F.col("m.elev_low"),
-        F.col("a.type"),
-        F.col("a.sport_type"),
-        F.col("a.workout_type"),
-        F.col("a.device_name"),
-        parse_ts_ntz(F.col("a.start_date")).alias("start_date_utc"),
-        parse_ts_ntz(F.col("a.start_date_local")).alias("start_date_local"),
-        F.col("a.timezone"),
-        F.col("a.trainer"),
-        F.col("a.commute"),
-        F.col("a.manual"),
-        F.col("a.private"),
-        F.col("a.visibility"),
-        F.col("a.flagged"),
-        F.col("a.gear_id"),
-    )
+        F.col(f"{m}.total_elevation_gain").alias("total_elevation_m"),
+        *[F.col(f"{m}.{c}").alias(c) for c in ("average_speed", "max_speed", "elev_high", "elev_low")],
+        *[F.col(f"{a}.{c}").alias(c) for c in ("type", "sport_type", "workout_type", "device_name")],
+        parse_ts_ntz(F.col(f"{a}.start_date")).alias("start_date_utc"),
+        parse_ts_ntz(F.col(f"{a}.start_date_local")).alias("start_date_local"),
+        *[
+            F.col(f"{a}.{c}").alias(c)
+            for c in ("timezone", "trainer", "commute", "manual", "private", "visibility", "flagged", "gear_id")
+        ],
+    ]
+
+
+def activities(bronze_activities: DataFrame, bronze_metrics: DataFrame) -> DataFrame:
+    """bronze_activities LEFT JOIN bronze_metrics on the key."""
+    a = bronze_activities.where(F.col("activity_id").isNotNull()).alias("a")
+    m = bronze_metrics.alias("m")
+    return a.join(m, F.col("a.activity_id") == F.col("m.activity_id"), "left").select(*_activity_columns("a", "m"))
 
 
 def heartrate(bronze_heartrate: DataFrame) -> DataFrame:
@@ -87,3 +84,24 @@ def activity_fact(
     e = engagement_.select("activity_id", "kudos_count", "comment_count", "achievement_count", "pr_count")
     loc = location_.select("activity_id", "location_city", "location_state", "location_country")
     return activities_.join(h, "activity_id", "left").join(e, "activity_id", "left").join(loc, "activity_id", "left")
+
+
+def activity_fact_from_records(records: DataFrame) -> DataFrame:
+    """``silver_activity_fact`` when every bronze table is a projection of one
+    relation keyed by ``activity_id`` (unique, as bronze guarantees).
+
+    Then each LEFT JOIN of the general form matches exactly the row it came
+    from, so the fact is a single projection: one scan, no join, no shuffle.
+    Equal to ``activity_fact(activities(...), ...)`` under that invariant
+    (a test checks both forms against each other).
+    """
+    r = records.where(F.col("activity_id").isNotNull()).alias("r")
+    flag = F.col("r.has_heartrate")
+    return r.select(
+        *_activity_columns("r", "r"),
+        F.when(flag, F.col("r.average_heartrate")).alias("average_heartrate"),
+        F.when(flag, F.col("r.max_heartrate")).alias("max_heartrate"),
+        flag.alias("has_heartrate"),
+        *[F.col(f"r.{c}").alias(c) for c in ("kudos_count", "comment_count", "achievement_count", "pr_count")],
+        *[F.col(f"r.{c}").alias(c) for c in ("location_city", "location_state", "location_country")],
+    )

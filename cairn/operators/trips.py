@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.functions import case_map, date_part, null_if_zero, round_half_away
+from cairn.functions import case_map, date_part, exact_avg, exact_sum, null_if_zero, round_half_away
 
 # Payment type code -> method name (anything else is 'Unknown').
 PAYMENT_METHODS = [(1, "Credit Card"), (2, "Cash"), (3, "No Charge"), (4, "Dispute")]
@@ -28,8 +28,8 @@ def revenue_by_month(trips: DataFrame) -> DataFrame:
         .groupBy(date_part("month", "tpep_pickup_datetime").alias("month"))
         .agg(
             F.count(F.lit(1)).alias("trips"),
-            round_half_away(F.sum("total_amount"), 2).alias("total_revenue"),
-            round_half_away(F.avg("total_amount"), 2).alias("avg_fare"),
+            round_half_away(exact_sum(F.col("total_amount")), 2).alias("total_revenue"),
+            round_half_away(exact_avg(F.col("total_amount")), 2).alias("avg_fare"),
         )
         .orderBy(F.asc_nulls_last("month"))
     )
@@ -40,7 +40,7 @@ def busiest_hours(trips: DataFrame, k: int = 5) -> DataFrame:
         trips.groupBy(date_part("hour", "tpep_pickup_datetime").alias("hour_of_day"))
         .agg(
             F.count(F.lit(1)).alias("trips"),
-            round_half_away(F.avg("trip_distance"), 2).alias("avg_distance_miles"),
+            round_half_away(exact_avg(F.col("trip_distance")), 2).alias("avg_distance_miles"),
         )
         .orderBy(F.desc_nulls_last("trips"), F.asc_nulls_last("hour_of_day"))
         .limit(k)
@@ -54,8 +54,8 @@ def tip_analysis(trips: DataFrame) -> DataFrame:
         .groupBy("passenger_count")
         .agg(
             F.count(F.lit(1)).alias("trips"),
-            round_half_away(F.avg("tip_amount"), 2).alias("avg_tip"),
-            round_half_away(F.avg(tip_pct), 2).alias("avg_tip_pct"),
+            round_half_away(exact_avg(F.col("tip_amount")), 2).alias("avg_tip"),
+            round_half_away(exact_avg(tip_pct), 2).alias("avg_tip_pct"),
         )
         .orderBy(F.asc_nulls_last("passenger_count"))
     )
@@ -66,7 +66,7 @@ def payment_types(trips: DataFrame) -> DataFrame:
         trips.groupBy(case_map(F.col("payment_type"), PAYMENT_METHODS, UNKNOWN_METHOD).alias("payment_method"))
         .agg(
             F.count(F.lit(1)).alias("trips"),
-            round_half_away(F.sum("total_amount"), 2).alias("total_revenue"),
+            round_half_away(exact_sum(F.col("total_amount")), 2).alias("total_revenue"),
         )
         .orderBy(F.desc_nulls_last("trips"), F.asc_nulls_last("payment_method"))
     )

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cairn.functions import parse_ts_ntz
 from cairn.operators import bronze, dims, gold, ingest, quality, trips
 from cairn.plans import medallion
+from cairn.plans.medallion import Layers
 from cairn.plans.lake import Lake
 from cairn.plans.publish import GOLD_TABLES, listing, publish
 from cairn.schemas import (
@@ -67,23 +68,15 @@ def _raw(spark, sf_dir):
     return fixtures.raw_activities(spark, sf_dir)
 
 
-def _bronze(spark, sf_dir):
-    return medallion.bronze_tables(_raw(spark, sf_dir))
+def _layers(spark, sf_dir, single_source: bool = True) -> Layers:
+    def athletes():
+        return fixtures.athletes_from_customers(fixtures.read_table(spark, sf_dir, "customer"))
 
-
-def _silver(spark, sf_dir):
-    return medallion.silver_tables(_bronze(spark, sf_dir))
+    return Layers(_raw(spark, sf_dir), athletes, single_source=single_source)
 
 
 def _fact(spark, sf_dir):
-    return _silver(spark, sf_dir)["silver_activity_fact"]
-
-
-def _star(spark, sf_dir, name):
-    b = _bronze(spark, sf_dir)
-    fact = medallion.silver_tables(b)["silver_activity_fact"]
-    athletes = fixtures.athletes_from_customers(fixtures.read_table(spark, sf_dir, "customer"))
-    return medallion.star_tables(fact, b["bronze_activities"], athletes)[name]
+    return _layers(spark, sf_dir).fact
 
 
 def _trips(spark, sf_dir):
@@ -136,7 +129,7 @@ def catalog_listing(spark, sf_dir):
 
 def sink_full_refresh(spark, sf_dir):
     lake = Lake(spark, _scratch(spark, "lake"))
-    weekly = gold.weekly_stats(_fact(spark, sf_dir))
+    weekly = _layers(spark, sf_dir).gold("gold_weekly_stats")
     lake.write_version(weekly.where(F.col("activity_count") > F.lit(1)), "gold", "gold_weekly_stats")
     lake.write_version(weekly, "gold", "gold_weekly_stats")  # replaces, never overwrites in place
     return lake.read("gold", "gold_weekly_stats")
@@ -144,19 +137,18 @@ def sink_full_refresh(spark, sf_dir):
 
 def sink_parquet_zstd(spark, sf_dir):
     lake = Lake(spark, _scratch(spark, "lake"))
-    path, _ = lake.write_version(_silver(spark, sf_dir)["silver_activities"], "silver", "silver_activities")
+    path, _ = lake.write_version(_layers(spark, sf_dir).silver("silver_activities"), "silver", "silver_activities")
     return spark.read.parquet(path)
 
 
 def _publish_all(spark, sf_dir) -> Lake:
     lake = Lake(spark, _scratch(spark, "lake"))
-    b = _bronze(spark, sf_dir)
-    fact_path, _ = lake.write_version(medallion.silver_tables(b)["silver_activity_fact"], "silver", "silver_activity_fact")
-    fact = spark.read.parquet(fact_path)
+    layers = _layers(spark, sf_dir)
+    fact_path, _ = lake.write_version(layers.fact, "silver", "silver_activity_fact")
+    fact = spark.read.parquet(fact_path)  # gold reads the written fact, not its lineage
     for name, df in medallion.gold_tables(fact).items():
         lake.write_version(df, "gold", name)
-    athletes = fixtures.athletes_from_customers(fixtures.read_table(spark, sf_dir, "customer"))
-    for name, df in medallion.star_tables(fact, b["bronze_activities"], athletes).items():
+    for name, df in medallion.star_tables(fact, layers.bronze("bronze_activities"), layers.athletes).items():
         lake.write_version(df, "gold", name)
     publish(spark, lake)
     return lake
@@ -175,7 +167,7 @@ def publish_gold(spark, sf_dir):
 # ---------------------------------------------------------------- ingest
 def high_watermark(spark, sf_dir):
     first, _ = _history_and_batch(spark, sf_dir)
-    summary = gold.activity_summary(medallion.silver_fact_from_raw(first.drop(*ORDER_COLS)))
+    summary = Layers(first.drop(*ORDER_COLS)).gold("gold_activity_summary")
     return ingest.high_watermark(summary)
 
 
@@ -245,20 +237,31 @@ def pk_violations(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- layers as queries
-def _layer(group: Callable, name: str) -> Query:
-    return lambda spark, sf_dir: group(spark, sf_dir)[name]
+def bronze_query(name: str) -> Query:
+    return lambda spark, sf_dir: _layers(spark, sf_dir).bronze(name)
+
+
+def silver_query(name: str) -> Query:
+    # silver_activity_fact is registered in its general four-LEFT-join form;
+    # gold and star queries build it as one projection (see Layers).
+    single = name != "silver_activity_fact"
+    return lambda spark, sf_dir: _layers(spark, sf_dir, single_source=single).silver(name)
 
 
 def gold_query(name: str) -> Query:
-    return lambda spark, sf_dir: medallion.gold_tables(_fact(spark, sf_dir))[name]
+    return lambda spark, sf_dir: _layers(spark, sf_dir).gold(name)
+
+
+def star_query(name: str) -> Query:
+    return lambda spark, sf_dir: _layers(spark, sf_dir).star(name)
 
 
 def gold_monthly_by_distance(spark, sf_dir):
-    return gold.monthly_by_distance(gold.monthly_stats(_fact(spark, sf_dir)))
+    return gold.monthly_by_distance(_layers(spark, sf_dir).gold("gold_monthly_stats"))
 
 
 def hr_zone_histogram(spark, sf_dir):
-    return dims.hr_zone_histogram(_star(spark, sf_dir, "fact_activities"))
+    return dims.hr_zone_histogram(_layers(spark, sf_dir).star("fact_activities"))
 
 
 # ---------------------------------------------------------------- trips
@@ -268,13 +271,11 @@ def trip_query(fn) -> Query:
 
 # ---------------------------------------------------------------- checks / streams
 def validate_layers(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
-    b = medallion.bronze_tables(raw)
-    s = medallion.silver_tables(b)
+    layers = _layers(spark, sf_dir)
     return quality.layer_counts(
         [
-            ("raw_activities", raw, "bronze_activities", b["bronze_activities"]),
-            ("bronze_activities", b["bronze_activities"], "silver_activity_fact", s["silver_activity_fact"]),
+            ("raw_activities", layers.raw, "bronze_activities", layers.bronze("bronze_activities")),
+            ("bronze_activities", layers.bronze("bronze_activities"), "silver_activity_fact", layers.fact),
         ]
     )
 
@@ -323,14 +324,14 @@ def registry() -> dict[str, Query]:
         "pk_violations": pk_violations,
     }
     for name in ("bronze_heartrate", "bronze_metrics", "bronze_engagement", "bronze_location", "bronze_map", "bronze_geo"):
-        q[name] = _layer(_bronze, name)
-    for name in ("silver_activities", "silver_heartrate", "silver_engagement", "silver_location", "silver_activity_fact"):
-        q[name] = _layer(_silver, name)
-    for name in ("gold_activity_summary", "gold_weekly_stats", "gold_monthly_stats", "gold_pb_efforts", "gold_training_load"):
+        q[name] = bronze_query(name)
+    for name in medallion.SILVER_NAMES:
+        q[name] = silver_query(name)
+    for name in medallion.GOLD_NAMES:
         q[name] = gold_query(name)
     q["gold_monthly_by_distance"] = gold_monthly_by_distance
-    for name in ("dim_date", "dim_activity_type", "dim_athlete", "fact_activities"):
-        q[name] = (lambda n: lambda spark, sf_dir: _star(spark, sf_dir, n))(name)
+    for name in medallion.STAR_NAMES:
+        q[name] = star_query(name)
     q["hr_zone_histogram"] = hr_zone_histogram
     q.update(
         {

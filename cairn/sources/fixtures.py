@@ -17,10 +17,10 @@ The same derivations are written in DuckDB SQL in ``oracle/duckdb_sql.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.functions import case_map, dbl, iso_text
+from cairn.functions import case_map, dbl
 from cairn.schemas import RAW_ACTIVITY
 
 # Fixed values of the derivation (must equal the oracle's):
@@ -49,111 +49,115 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _place(idx: int) -> Column:
-    return F.pmod(F.col("o_custkey"), F.lit(4)) == F.lit(idx)
+def _sql_case(operand: str, pairs, default: str) -> str:
+    whens = " ".join(f"WHEN {k} THEN {v}" for k, v in pairs)
+    return f"CASE {operand} {whens} ELSE {default} END"
 
 
-def _by_place(pos: int) -> Column:
-    expr = None
-    for idx, place in enumerate(PLACES):
-        value = F.lit(place[pos])
-        expr = F.when(_place(idx), value) if expr is None else expr.when(_place(idx), value)
-    return expr
+def _q(text: str | None) -> str:
+    return "NULL" if text is None else "'" + text.replace("'", "\\'") + "'"
+
+
+ISO_TEXT = "\"yyyy-MM-dd'T'HH:mm:ss'Z'\""
 
 
 def activities_from_orders(orders: DataFrame, kudos_bump: int = 0) -> DataFrame:
-    """One API-shaped activity record per order (schema ``RAW_ACTIVITY``)."""
-    key, cust, price, status = (F.col(c) for c in ("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"))
-    kind = case_map(F.col("o_orderpriority"), PRIORITY_TYPES, DEFAULT_TYPE)
-    is_p = status == F.lit("P")
-    sport = (
-        F.when(is_p & (kind == F.lit("Run")), F.lit("TrailRun"))
-        .when(is_p & (kind == F.lit("Ride")), F.lit("VirtualRide"))
-        .otherwise(kind)
-    )
-    outdoor = kind.isin("Run", "Ride")
-    distance = (
-        F.when(kind == F.lit("Run"), price / dbl(40.0))
-        .when(kind == F.lit("Ride"), price / dbl(8.0))
-        .when(kind == F.lit("Swim"), price / dbl(400.0))
-        .otherwise(dbl(0.0))
+    """One API-shaped activity record per order (schema ``RAW_ACTIVITY``).
+
+    Written as SQL expressions: the fixture has ~60 output columns, and
+    building them one ``pyspark.sql.functions`` call at a time costs
+    thousands of driver-JVM round trips per query plan. The activity kind,
+    start time and moving time are computed in an inner projection and
+    referenced by name, so each is evaluated once per row.
+    """
+    place = [
+        _sql_case(
+            "pmod(o_custkey, 4)",
+            [(i, f"{p[2]}D" if pos == 2 else _q(p[pos])) for i, p in enumerate(PLACES)],
+            "NULL",
+        )
+        for pos in range(4)
+    ]
+    kind = _sql_case("o_orderpriority", [(_q(k), _q(v)) for k, v in PRIORITY_TYPES], _q(DEFAULT_TYPE))
+    base = orders.selectExpr(
+        "o_orderkey",
+        "o_custkey",
+        "o_totalprice",
+        "o_orderstatus",
+        f"{kind} AS _kind",
+        "timestampadd(SECOND, pmod(o_orderkey * 7919, 86400), o_orderdate) AS _start",
+        "CAST(floor(o_totalprice * CAST(50 + pmod(o_custkey, 50) AS DOUBLE) / 5000.0D) AS BIGINT) + 300 AS _moving",
+        f"{place[2]} AS _offset",
+    ).selectExpr(
+        "*",
+        "CASE WHEN _kind = 'Run' THEN o_totalprice / 40.0D WHEN _kind = 'Ride' THEN o_totalprice / 8.0D"
+        " WHEN _kind = 'Swim' THEN o_totalprice / 400.0D ELSE 0.0D END AS _distance",
+        "CASE WHEN o_orderstatus = 'P' AND _kind = 'Run' THEN 'TrailRun'"
+        " WHEN o_orderstatus = 'P' AND _kind = 'Ride' THEN 'VirtualRide' ELSE _kind END AS _sport",
+        "_kind IN ('Run', 'Ride') AS _outdoor",
+        "52.0D + pmod(o_custkey, 100) / 100.0D AS _lat",
+        "13.0D + pmod(o_orderkey, 100) / 100.0D AS _lng",
     )
-    moving = F.floor(price * (F.lit(50) + F.pmod(cust, F.lit(50))).cast("double") / dbl(5000.0)).cast(
-        "bigint"
-    ) + F.lit(300)
-    start = F.timestamp_add("SECOND", F.pmod(key * F.lit(7919), F.lit(86400)), F.col("o_orderdate"))
-    offset = _by_place(2)
-    local = F.timestamp_add("SECOND", offset.cast("bigint"), start)
-    lat = dbl(52.0) + F.pmod(cust, F.lit(100)) / dbl(100.0)
-    lng = dbl(13.0) + F.pmod(key, F.lit(100)) / dbl(100.0)
-    avg_hr = (F.lit(95) + F.pmod(cust, F.lit(90))).cast("double")
-    private = F.pmod(cust, F.lit(10)) == F.lit(0)
-    upload = key + F.lit(1000000)
     cols = {
-        "id": key,
-        "athlete": F.struct(cust.alias("id"), F.lit(1).cast("bigint").alias("resource_state")),
-        "name": F.concat(F.lit("Activity "), key.cast("string")),
-        "type": kind,
-        "sport_type": sport,
-        "workout_type": F.when(kind == F.lit("Run"), F.pmod(cust, F.lit(4)).cast("int")),
-        "device_name": F.when(status == F.lit("F"), F.lit("Garmin Forerunner 255")).when(
-            status == F.lit("O"), F.lit("Apple Watch Ultra")
-        ),
-        "start_date": iso_text(start),
-        "start_date_local": iso_text(local),
-        "timezone": _by_place(3),
-        "utc_offset": offset,
-        "distance": distance,
-        "moving_time": moving,
-        "elapsed_time": moving + F.pmod(key, F.lit(600)),
-        "total_elevation_gain": F.when(kind == F.lit("Run"), price / dbl(4000.0))
-        .when(kind == F.lit("Ride"), price / dbl(1000.0))
-        .otherwise(dbl(0.0)),
-        "average_speed": distance / moving,
-        "max_speed": distance / moving * dbl(1.5),
-        "elev_high": F.when(outdoor, (F.lit(200) + F.pmod(cust, F.lit(300))).cast("double")),
-        "elev_low": F.when(outdoor, (F.lit(150) + F.pmod(cust, F.lit(50))).cast("double")),
-        "has_heartrate": ~is_p,
-        "average_heartrate": avg_hr,
-        "max_heartrate": (F.lit(110) + F.pmod(cust, F.lit(90)) + F.pmod(key, F.lit(10))).cast("double"),
-        "heartrate_opt_out": F.lit(False),
-        "display_hide_heartrate_option": ~is_p,
-        "achievement_count": F.pmod(key, F.lit(4)),
-        "kudos_count": F.pmod(cust + key, F.lit(7)) + F.lit(kudos_bump),
-        "comment_count": F.pmod(key, F.lit(3)),
-        "athlete_count": F.lit(1) + F.pmod(key, F.lit(2)),
-        "photo_count": F.lit(0).cast("bigint"),
-        "total_photo_count": F.pmod(key, F.lit(2)),
-        "pr_count": F.when(kind == F.lit("Run"), F.pmod(key, F.lit(3))).otherwise(F.lit(0).cast("bigint")),
-        "location_city": _by_place(0),
-        "location_state": F.lit(None).cast("string"),
-        "location_country": _by_place(1),
-        "map": F.struct(
-            F.concat(F.lit("a"), key.cast("string")).alias("id"),
-            F.when(outdoor, F.concat(F.lit("poly_"), key.cast("string"))).otherwise(F.lit("")).alias(
-                "summary_polyline"
-            ),
-            F.lit(2).cast("bigint").alias("resource_state"),
-        ),
-        "start_latlng": F.when(outdoor, F.array(lat, lng)).otherwise(F.array().cast("array<double>")),
-        "end_latlng": F.when(outdoor, F.array(lat + dbl(0.01), lng + dbl(0.01))).otherwise(
-            F.array().cast("array<double>")
-        ),
-        "trainer": sport == F.lit("VirtualRide"),
-        "commute": (kind == F.lit("Ride")) & (F.pmod(key, F.lit(5)) == F.lit(0)),
-        "manual": F.lit(False),
-        "private": private,
-        "visibility": F.when(private, F.lit("only_me")).otherwise(F.lit("everyone")),
-        "flagged": F.lit(False),
-        "gear_id": F.when(outdoor, F.concat(F.lit("g"), cust.cast("string"))),
-        "upload_id": upload,
-        "upload_id_str": upload.cast("string"),
-        "external_id": F.concat(F.lit("garmin_push_"), key.cast("string")),
-        "from_accepted_tag": F.lit(False),
-        "has_kudoed": F.lit(False),
-        "resource_state": F.lit(2).cast("bigint"),
+        "id": "o_orderkey",
+        "athlete": "named_struct('id', o_custkey, 'resource_state', CAST(1 AS BIGINT))",
+        "name": "concat('Activity ', CAST(o_orderkey AS STRING))",
+        "type": "_kind",
+        "sport_type": "_sport",
+        "workout_type": "CASE WHEN _kind = 'Run' THEN CAST(pmod(o_custkey, 4) AS INT) END",
+        "device_name": "CASE WHEN o_orderstatus = 'F' THEN 'Garmin Forerunner 255'"
+        " WHEN o_orderstatus = 'O' THEN 'Apple Watch Ultra' END",
+        "start_date": f"date_format(_start, {ISO_TEXT})",
+        "start_date_local": f"date_format(timestampadd(SECOND, CAST(_offset AS BIGINT), _start), {ISO_TEXT})",
+        "timezone": place[3],
+        "utc_offset": "_offset",
+        "distance": "_distance",
+        "moving_time": "_moving",
+        "elapsed_time": "_moving + pmod(o_orderkey, 600)",
+        "total_elevation_gain": "CASE WHEN _kind = 'Run' THEN o_totalprice / 4000.0D"
+        " WHEN _kind = 'Ride' THEN o_totalprice / 1000.0D ELSE 0.0D END",
+        "average_speed": "_distance / _moving",
+        "max_speed": "_distance / _moving * 1.5D",
+        "elev_high": "CASE WHEN _outdoor THEN CAST(200 + pmod(o_custkey, 300) AS DOUBLE) END",
+        "elev_low": "CASE WHEN _outdoor THEN CAST(150 + pmod(o_custkey, 50) AS DOUBLE) END",
+        "has_heartrate": "o_orderstatus <> 'P'",
+        "average_heartrate": "CAST(95 + pmod(o_custkey, 90) AS DOUBLE)",
+        "max_heartrate": "CAST(110 + pmod(o_custkey, 90) + pmod(o_orderkey, 10) AS DOUBLE)",
+        "heartrate_opt_out": "false",
+        "display_hide_heartrate_option": "o_orderstatus <> 'P'",
+        "achievement_count": "pmod(o_orderkey, 4)",
+        "kudos_count": f"pmod(o_custkey + o_orderkey, 7) + {int(kudos_bump)}",
+        "comment_count": "pmod(o_orderkey, 3)",
+        "athlete_count": "1 + pmod(o_orderkey, 2)",
+        "photo_count": "CAST(0 AS BIGINT)",
+        "total_photo_count": "pmod(o_orderkey, 2)",
+        "pr_count": "CASE WHEN _kind = 'Run' THEN pmod(o_orderkey, 3) ELSE CAST(0 AS BIGINT) END",
+        "location_city": place[0],
+        "location_state": "CAST(NULL AS STRING)",
+        "location_country": place[1],
+        "map": "named_struct('id', concat('a', CAST(o_orderkey AS STRING)),"
+        " 'summary_polyline', CASE WHEN _outdoor THEN concat('poly_', CAST(o_orderkey AS STRING)) ELSE '' END,"
+        " 'resource_state', CAST(2 AS BIGINT))",
+        "start_latlng": "CASE WHEN _outdoor THEN array(_lat, _lng) ELSE CAST(array() AS ARRAY<DOUBLE>) END",
+        "end_latlng": "CASE WHEN _outdoor THEN array(_lat + 0.01D, _lng + 0.01D)"
+        " ELSE CAST(array() AS ARRAY<DOUBLE>) END",
+        "trainer": "_sport = 'VirtualRide'",
+        "commute": "_kind = 'Ride' AND pmod(o_orderkey, 5) = 0",
+        "manual": "false",
+        "private": "pmod(o_custkey, 10) = 0",
+        "visibility": "CASE WHEN pmod(o_custkey, 10) = 0 THEN 'only_me' ELSE 'everyone' END",
+        "flagged": "false",
+        "gear_id": "CASE WHEN _outdoor THEN concat('g', CAST(o_custkey AS STRING)) END",
+        "upload_id": "o_orderkey + 1000000",
+        "upload_id_str": "CAST(o_orderkey + 1000000 AS STRING)",
+        "external_id": "concat('garmin_push_', CAST(o_orderkey AS STRING))",
+        "from_accepted_tag": "false",
+        "has_kudoed": "false",
+        "resource_state": "CAST(2 AS BIGINT)",
     }
-    return orders.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in RAW_ACTIVITY.fields])
+    return base.selectExpr(
+        *[f"CAST({cols[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in RAW_ACTIVITY.fields]
+    )
 
 
 def raw_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,48 +235,42 @@ def athletes_from_customers(customer: DataFrame) -> DataFrame:
 
 def yellow_trips(lineitem: DataFrame) -> DataFrame:
     """Trip records from line items (one per row)."""
-    pay = F.pmod(F.col("l_partkey"), F.lit(6))
-    pickup = F.timestamp_add(
-        "MINUTE",
-        F.pmod(F.col("l_orderkey") * F.lit(37) + F.col("l_linenumber") * F.lit(11), F.lit(1440)),
-        F.col("l_shipdate"),
-    )
-    fare = F.when(F.col("l_discount") == dbl(0.0), dbl(0.0)).otherwise(F.col("l_extendedprice") / dbl(1000.0))
-    tip = F.col("l_extendedprice") / dbl(1000.0) * F.col("l_tax")
-    gross = fare + tip + dbl(0.5)
-    return lineitem.select(
-        (F.lit(1) + F.pmod(F.col("l_suppkey"), F.lit(2))).cast("int").alias("VendorID"),
-        pickup.alias("tpep_pickup_datetime"),
-        F.timestamp_add("MINUTE", F.lit(5) + F.floor(F.col("l_quantity")).cast("bigint"), pickup).alias(
-            "tpep_dropoff_datetime"
-        ),
-        (F.col("l_linenumber") - F.lit(1)).cast("bigint").alias("passenger_count"),
-        (F.col("l_quantity") / dbl(5.0)).alias("trip_distance"),
-        pay.cast("bigint").alias("payment_type"),
-        fare.alias("fare_amount"),
-        tip.alias("tip_amount"),
-        dbl(0.5).alias("mta_tax"),
-        F.when(pay == F.lit(4), -gross).otherwise(gross).alias("total_amount"),
-        F.when(F.col("l_tax") >= dbl(0.07), dbl(1.25)).otherwise(dbl(0.0)).alias("airport_fee"),
+    return lineitem.selectExpr(
+        "*",
+        "timestampadd(MINUTE, pmod(l_orderkey * 37 + l_linenumber * 11, 1440), l_shipdate) AS _pickup",
+        "pmod(l_partkey, 6) AS _pay",
+        "CASE WHEN l_discount = 0.0D THEN 0.0D ELSE l_extendedprice / 1000.0D END AS _fare",
+        "l_extendedprice / 1000.0D * l_tax AS _tip",
+    ).selectExpr(
+        "CAST(1 + pmod(l_suppkey, 2) AS INT) AS VendorID",
+        "_pickup AS tpep_pickup_datetime",
+        "timestampadd(MINUTE, 5 + CAST(floor(l_quantity) AS BIGINT), _pickup) AS tpep_dropoff_datetime",
+        "CAST(l_linenumber - 1 AS BIGINT) AS passenger_count",
+        "l_quantity / 5.0D AS trip_distance",
+        "CAST(_pay AS BIGINT) AS payment_type",
+        "_fare AS fare_amount",
+        "_tip AS tip_amount",
+        "0.5D AS mta_tax",
+        "CASE WHEN _pay = 4 THEN -(_fare + _tip + 0.5D) ELSE _fare + _tip + 0.5D END AS total_amount",
+        "CASE WHEN l_tax >= 0.07D THEN 1.25D ELSE 0.0D END AS airport_fee",
     )
 
 
 def order_trips(orders: DataFrame) -> DataFrame:
     """Trip records from orders: other column order, ``Airport_fee`` spelled
     with a capital, BIGINT vendor id and no passenger count."""
-    fare = F.col("o_totalprice") / dbl(10000.0)
-    pickup = F.timestamp_add("MINUTE", F.pmod(F.col("o_orderkey") * F.lit(53), F.lit(1440)), F.col("o_orderdate"))
-    return orders.select(
-        pickup.alias("tpep_pickup_datetime"),
-        F.timestamp_add("MINUTE", F.lit(20), pickup).alias("tpep_dropoff_datetime"),
-        F.lit(2).cast("bigint").alias("VendorID"),
-        case_map(F.col("o_orderstatus"), [("F", 1), ("O", 2)], 3).cast("bigint").alias("payment_type"),
-        (F.col("o_totalprice") / dbl(50000.0)).alias("trip_distance"),
-        fare.alias("fare_amount"),
-        dbl(0.0).alias("tip_amount"),
-        dbl(0.5).alias("mta_tax"),
-        (fare + dbl(0.5)).alias("total_amount"),
-        dbl(0.0).alias("Airport_fee"),
+    pickup = "timestampadd(MINUTE, pmod(o_orderkey * 53, 1440), o_orderdate)"
+    return orders.selectExpr(
+        f"{pickup} AS tpep_pickup_datetime",
+        f"timestampadd(MINUTE, 20, {pickup}) AS tpep_dropoff_datetime",
+        "CAST(2 AS BIGINT) AS VendorID",
+        "CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS BIGINT) AS payment_type",
+        "o_totalprice / 50000.0D AS trip_distance",
+        "o_totalprice / 10000.0D AS fare_amount",
+        "0.0D AS tip_amount",
+        "0.5D AS mta_tax",
+        "o_totalprice / 10000.0D + 0.5D AS total_amount",
+        "0.0D AS Airport_fee",
     )
 
 
