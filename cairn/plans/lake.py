@@ -109,4 +109,6 @@ class Lake:
         if not ids:
             return self.spark.createDataFrame([], schema)
         base = self.table_path(layer, table)
-        return self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/batch={b}" for b in ids])
+        paths = [f"{base}/batch={b}" for b in ids]
+        # the batch id is layout, not data: drop the discovered partition column
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*schema.names)

@@ -82,10 +82,8 @@ def run(
     for name, df in medallion.bronze_tables(new_raw.drop(*ORDER_COLS)).items():
         _, counts[name] = lake.append_batch(df, "bronze", name, batch_id)
     bronze_all = {
-        name: spark.read.option("basePath", lake.table_path("bronze", name))
-        .parquet(*[f"{lake.table_path('bronze', name)}/batch={b}" for b in lake.batches("bronze", name)])
-        .drop("batch")
-        for name in medallion.bronze_tables(new_raw).keys()
+        name: lake.read_batches("bronze", name, df.schema)
+        for name, df in medallion.bronze_tables(new_raw.drop(*ORDER_COLS)).items()
     }
     quality.validate_counts(
         quality.layer_counts([("raw_activities", lake.read("raw", "raw_activities"), "bronze_activities", bronze_all["bronze_activities"])])
