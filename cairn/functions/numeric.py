@@ -39,20 +39,3 @@ def guarded_ratio(num: Column, den: Column) -> Column:
     """``CASE WHEN den > 0 THEN num / den END`` (NULL for zero/negative/NULL)."""
     return F.when(den > F.lit(0), num / den)
 
-
-# Exact aggregation of doubles. A double SUM depends on the order in which
-# partial sums meet, so the same data on a different partitioning, or a stage
-# recomputed after a lost executor, can differ in the last bits. Summing the
-# values as DECIMAL(38, 18) is exact and associative, so every plan returns
-# the same correctly rounded result. Requires finite values with at most 20
-# integer digits in the total.
-EXACT_DECIMAL = "decimal(38,18)"
-
-
-def exact_sum(col: Column) -> Column:
-    return F.sum(col.cast(EXACT_DECIMAL)).cast("double")
-
-
-def exact_avg(col: Column) -> Column:
-    """AVG that skips NULLs, from the exact sum and the non-NULL count."""
-    return (F.sum(col.cast(EXACT_DECIMAL)) / F.count(col)).cast("double")

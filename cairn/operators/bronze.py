@@ -1,8 +1,9 @@
 """Bronze layer: typed projections of the raw activity records.
 
+Every bronze table is a projection of one keyed relation, the *records*
+(raw activity with ``id`` renamed ``activity_id`` and struct fields lifted).
 ``bronze_activities`` is the keyed, append-only history (see
-``cairn.operators.ingest``); the side tables here are projections of the same
-raw records, one row per activity.
+``cairn.operators.ingest``); the side tables follow it key for key.
 """
 
 from __future__ import annotations
@@ -12,42 +13,19 @@ from pyspark.sql import functions as F
 
 from cairn.schemas import BRONZE_ACTIVITIES
 
-
-def activities(raw: DataFrame) -> DataFrame:
-    """raw activity records -> ``bronze_activities`` columns (23, typed)."""
-    renamed = {"activity_id": F.col("id"), "athlete_id": F.col("athlete.id")}
-    return raw.select(
-        *[renamed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in BRONZE_ACTIVITIES.fields]
-    )
-
-
-def records(raw: DataFrame) -> DataFrame:
-    """All bronze columns in one keyed relation (struct fields lifted):
-    every bronze table is a projection of it."""
-    return raw.select(
-        F.col("id").alias("activity_id"),
-        F.col("athlete.id").alias("athlete_id"),
-        *[c for c in raw.columns if c not in ("id", "athlete", "map", "batch_seq", "row_seq")],
-        F.col("map.id").alias("map_id"),
-        F.col("map.summary_polyline").alias("summary_polyline"),
-        F.col("map.resource_state").alias("map_resource_state"),
-    )
-
-
-def heartrate(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        F.col("id").alias("activity_id"),
+# Columns of each published bronze table, as named in the records.
+TABLE_COLUMNS = {
+    "bronze_activities": BRONZE_ACTIVITIES.names,
+    "bronze_heartrate": [
+        "activity_id",
         "has_heartrate",
         "average_heartrate",
         "max_heartrate",
         "heartrate_opt_out",
         "display_hide_heartrate_option",
-    )
-
-
-def metrics(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        F.col("id").alias("activity_id"),
+    ],
+    "bronze_metrics": [
+        "activity_id",
         "distance",
         "moving_time",
         "elapsed_time",
@@ -56,12 +34,9 @@ def metrics(raw: DataFrame) -> DataFrame:
         "max_speed",
         "elev_high",
         "elev_low",
-    )
-
-
-def engagement(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        F.col("id").alias("activity_id"),
+    ],
+    "bronze_engagement": [
+        "activity_id",
         "achievement_count",
         "kudos_count",
         "comment_count",
@@ -69,33 +44,43 @@ def engagement(raw: DataFrame) -> DataFrame:
         "photo_count",
         "total_photo_count",
         "pr_count",
-    )
-
-
-def location(raw: DataFrame) -> DataFrame:
-    return raw.select(F.col("id").alias("activity_id"), "location_city", "location_state", "location_country")
+    ],
+    "bronze_location": ["activity_id", "location_city", "location_state", "location_country"],
+    # struct field access: map.id, map.summary_polyline, map.resource_state
+    "bronze_map": ["activity_id", "map_id", "summary_polyline", "map_resource_state AS resource_state"],
+    # array columns carried through untouched
+    "bronze_geo": ["activity_id", "start_latlng", "end_latlng"],
+}
 
 
-def map_info(raw: DataFrame) -> DataFrame:
-    """Struct field access: ``map.id``, ``map.summary_polyline``, ``map.resource_state``."""
+def records(raw: DataFrame) -> DataFrame:
+    """All bronze columns in one relation keyed by ``activity_id``."""
+    lifted = {"id", "athlete", "map", "batch_seq", "row_seq"}
     return raw.select(
         F.col("id").alias("activity_id"),
+        F.col("athlete.id").alias("athlete_id"),
+        *[c for c in raw.columns if c not in lifted],
         F.col("map.id").alias("map_id"),
         F.col("map.summary_polyline").alias("summary_polyline"),
-        F.col("map.resource_state").alias("resource_state"),
+        F.col("map.resource_state").alias("map_resource_state"),
     )
 
 
-def geo(raw: DataFrame) -> DataFrame:
-    """Array columns carried through untouched."""
-    return raw.select(F.col("id").alias("activity_id"), "start_latlng", "end_latlng")
+def project(recs: DataFrame, name: str) -> DataFrame:
+    """One published bronze table from the records."""
+    out = recs.selectExpr(*TABLE_COLUMNS[name])
+    if name == "bronze_activities":
+        out = out.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_ACTIVITIES.fields])
+    return out
 
 
-SIDE_TABLES = {
-    "bronze_heartrate": heartrate,
-    "bronze_metrics": metrics,
-    "bronze_engagement": engagement,
-    "bronze_location": location,
-    "bronze_map": map_info,
-    "bronze_geo": geo,
-}
+def activities(raw: DataFrame) -> DataFrame:
+    """raw activity records -> ``bronze_activities`` (23 typed columns)."""
+    return project(records(raw), "bronze_activities")
+
+
+def _side(name: str):
+    return lambda raw: project(records(raw), name)
+
+
+SIDE_TABLES = {name: _side(name) for name in TABLE_COLUMNS if name != "bronze_activities"}

@@ -93,16 +93,40 @@ def keyed_merge(records: DataFrame, keys: Sequence[str], order: Sequence[str] =
     )
 
 
-def new_keys_only(batch: DataFrame, history: DataFrame, key: str = BRONZE_KEY) -> DataFrame:
+# Largest key set the incremental anti join broadcasts (8-byte keys: ~16 MB
+# as a hashed relation). Above it the shuffled anti join is used.
+BROADCAST_KEY_LIMIT = 2_000_000
+
+
+def fits_in(df: DataFrame, max_rows: int) -> bool:
+    """Exact, early-stopping size proof: at most ``max_rows`` rows?"""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def new_keys_only(
+    batch: DataFrame, history: DataFrame, key: str = BRONZE_KEY, max_broadcast_keys: int = BROADCAST_KEY_LIMIT
+) -> DataFrame:
     """``WHERE key NOT IN (SELECT key FROM history)`` without the NULL trap.
 
     SQL ``NOT IN`` returns nothing once the history holds a NULL key and plans
     as a null-aware anti join that must broadcast the whole history. NULL keys
-    are dropped on both sides instead, so the anti join is an ordinary
-    shuffled (or AQE-broadcast, when small) equi anti join.
+    are dropped on both sides instead.
+
+    An incremental batch is small and the history grows without bound, so
+    the history must not be shuffled or broadcast on every run. When the
+    batch's distinct keys provably fit ``max_broadcast_keys`` (exact count,
+    stopped early), the history's key column is streamed once against a
+    broadcast of those keys (a map-side semi join, no shuffle of history);
+    what it finds is at most that many keys and is anti-joined to the batch.
+    Larger batches take the ordinary shuffled anti join.
     """
+    batch = batch.where(F.col(key).isNotNull())
     hist = history.select(key).where(F.col(key).isNotNull())
-    return batch.where(F.col(key).isNotNull()).join(hist, key, "left_anti")
+    keys = batch.select(key).distinct()
+    if max_broadcast_keys > 0 and fits_in(keys, max_broadcast_keys):
+        existing = hist.join(F.broadcast(keys), key, "left_semi")
+        return batch.join(F.broadcast(existing), key, "left_anti")
+    return batch.join(hist, key, "left_anti")
 
 
 def dedup_batch(batch: DataFrame, key: str = BRONZE_KEY) -> DataFrame:

@@ -47,6 +47,13 @@ def activities(bronze_activities: DataFrame, bronze_metrics: DataFrame) -> DataF
     return a.join(m, F.col("a.activity_id") == F.col("m.activity_id"), "left").select(*_activity_columns("a", "m"))
 
 
+def activities_from_records(records: DataFrame) -> DataFrame:
+    """``silver_activities`` as one projection of the keyed bronze records
+    (see ``activity_fact_from_records`` for when this equals the join)."""
+    r = records.where(F.col("activity_id").isNotNull()).alias("r")
+    return r.select(*_activity_columns("r", "r"))
+
+
 def heartrate(bronze_heartrate: DataFrame) -> DataFrame:
     flag = F.col("has_heartrate")
     return bronze_heartrate.where(F.col("activity_id").isNotNull()).select(

@@ -114,6 +114,18 @@ _GOLD = {
 }
 
 
+def silver_tables_from_records(records: DataFrame) -> dict[str, DataFrame]:
+    """All silver tables from the wide keyed bronze records: projections
+    only, no join and no shuffle (each side table is 1:1 with the key)."""
+    return {
+        "silver_activities": silver.activities_from_records(records),
+        "silver_heartrate": silver.heartrate(records),
+        "silver_engagement": silver.engagement(records),
+        "silver_location": silver.location(records),
+        "silver_activity_fact": silver.activity_fact_from_records(records),
+    }
+
+
 def gold_tables_for(fact: DataFrame, names=GOLD_NAMES) -> dict[str, DataFrame]:
     return {name: _GOLD[name](fact) for name in names}
 

@@ -24,6 +24,9 @@ from cairn.sources.fixtures import child_fetches
 
 log = logging.getLogger(__name__)
 
+# Wide bronze table: every bronze column, keyed by activity_id.
+RECORDS = "bronze_activity_records"
+
 
 def _merge_into(lake: Lake, table: str, incoming: DataFrame, keys: list[str]) -> int:
     """Keyed last-write-wins merge of a landing batch into a raw table."""
@@ -73,24 +76,34 @@ def run(
     fetches.unpersist()
     _, counts["raw_athlete"] = lake.write_version(athletes, "raw", "raw_athlete")
 
-    # bronze: only keys not yet in history are appended (history is never rewritten);
-    # side tables are appended for the same new keys so history keeps its metrics.
+    # bronze: only keys not yet in history are appended (history is never
+    # rewritten). The published bronze tables and one wide keyed record table
+    # are appended for the same new keys, so every bronze table stays 1:1
+    # with bronze_activities and history keeps its metrics.
     history = lake.read_batches("bronze", "bronze_activities", BRONZE_ACTIVITIES, exclude=batch_id)
-    batch = ingest.keyed_merge(landed, ["id"])
+    batch = ingest.keyed_merge(landed, ["id"]).drop(*ORDER_COLS)
     new_ids = ingest.new_keys_only(bronze.activities(batch).select("activity_id"), history)
     new_raw = batch.join(new_ids.withColumnRenamed("activity_id", "id"), "id", "left_semi")
-    for name, df in medallion.bronze_tables(new_raw.drop(*ORDER_COLS)).items():
-        _, counts[name] = lake.append_batch(df, "bronze", name, batch_id)
+    # write the new records once, then project the published tables from the
+    # written batch (the dedup and anti join are not recomputed per table)
+    path, counts[RECORDS] = lake.append_batch(bronze.records(new_raw), "bronze", RECORDS, batch_id)
+    new_records = spark.read.parquet(path)
+    for name in bronze.TABLE_COLUMNS:
+        _, counts[name] = lake.append_batch(bronze.project(new_records, name), "bronze", name, batch_id)
     bronze_all = {
-        name: lake.read_batches("bronze", name, df.schema)
-        for name, df in medallion.bronze_tables(new_raw.drop(*ORDER_COLS)).items()
+        name: lake.read_batches("bronze", name, schema)
+        for name, schema in [(RECORDS, new_records.schema)]
+        + [(n, bronze.project(new_records, n).schema) for n in bronze.TABLE_COLUMNS]
     }
     quality.validate_counts(
-        quality.layer_counts([("raw_activities", lake.read("raw", "raw_activities"), "bronze_activities", bronze_all["bronze_activities"])])
+        quality.layer_counts(
+            [("raw_activities", lake.read("raw", "raw_activities"), "bronze_activities", bronze_all["bronze_activities"])]
+        )
     )
 
-    # silver (full refresh from all bronze)
-    for name, df in medallion.silver_tables(bronze_all).items():
+    # silver (full refresh from all bronze): projections of the wide records,
+    # so building the fact needs no join and no shuffle
+    for name, df in medallion.silver_tables_from_records(bronze_all[RECORDS]).items():
         _, counts[name] = lake.write_version(df, "silver", name)
     fact = lake.read("silver", "silver_activity_fact")
     quality.validate_counts(

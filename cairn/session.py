@@ -27,6 +27,12 @@ LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+    # No broadcast from plan-time estimates (a compressed file size is not a
+    # bound on a hashed relation); AQE broadcasts a join side only after its
+    # shuffle stage has run and measured it. Explicit broadcasts in the code
+    # sit behind exact row-count checks.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
