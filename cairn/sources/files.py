@@ -27,6 +27,21 @@ def read_json_records(
     return reader.json(list(path) if not isinstance(path, str) else path)
 
 
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than there are cores.
+
+    A Parquet file is split by row group; a file written as one row group is
+    one task however large, and a heavy projection over it then runs on one
+    core. Only then is the (narrow, pruned) scan output spread over the
+    cores before the projection. A scan with at least as many splits as
+    cores, as any large input has, is returned unchanged: no shuffle at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """One Parquet path (a file or a directory of part files)."""
     return spark.read.parquet(path)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from cairn.functions import case_map, dbl
 from cairn.schemas import RAW_ACTIVITY
+from cairn.sources.files import spread_small_scan
 
 # Fixed values of the derivation (must equal the oracle's):
 # order priority -> activity type; status 'P' turns Run/Ride into TrailRun/VirtualRide.
@@ -160,9 +161,15 @@ def activities_from_orders(orders: DataFrame, kudos_bump: int = 0) -> DataFrame:
     )
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the activity projection is heavy (~60 columns, text formatting): make
+    # sure it runs on every core even when the input is a single split
+    return spread_small_scan(read_table(spark, sf_dir, "orders"))
+
+
 def raw_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merged raw activity table: every order as one activity."""
-    return activities_from_orders(read_table(spark, sf_dir, "orders"))
+    return activities_from_orders(_orders(spark, sf_dir))
 
 
 def activity_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +179,7 @@ def activity_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     re-fetches from ``REFETCH_FROM`` on, so the last quarter of batch 1 arrives
     twice with one more kudo. ``row_seq`` is the record's position in its fetch.
     """
-    orders = read_table(spark, sf_dir, "orders")
+    orders = _orders(spark, sf_dir)
     first = activities_from_orders(orders.where(F.col("o_orderdate") < F.lit(FIRST_FETCH_BEFORE).cast("timestamp_ntz")))
     second = activities_from_orders(
         orders.where(F.col("o_orderdate") >= F.lit(REFETCH_FROM).cast("timestamp_ntz")), kudos_bump=1
