@@ -65,13 +65,13 @@ def run(
         return counts
 
     # raw: keyed merges of the activity batch and the child fetches
-    counts["raw_activities"] = _merge_into(lake, "raw_activities", landed, MERGE_KEYS["raw_strava_activities"])
+    counts["raw_activities"] = _merge_into(lake, "raw_activities", landed, MERGE_KEYS["activities"])
     fetches = child_fetches(ingest.child_worklist(landed)).cache()
-    counts["raw_strava_comments"] = _merge_into(
-        lake, "raw_strava_comments", ingest.stamp_comments(fetches), MERGE_KEYS["raw_strava_comments_partial"]
+    counts["raw_comments"] = _merge_into(
+        lake, "raw_comments", ingest.stamp_comments(fetches), MERGE_KEYS["comments"]
     )
     counts["raw_kudos"] = _merge_into(
-        lake, "raw_kudos", ingest.stamp_kudos(fetches), MERGE_KEYS["raw_strava_kudos_partial"]
+        lake, "raw_kudos", ingest.stamp_kudos(fetches), MERGE_KEYS["kudos"]
     )
     fetches.unpersist()
     _, counts["raw_athlete"] = lake.write_version(athletes, "raw", "raw_athlete")

@@ -96,8 +96,8 @@ def _history_and_batch(spark, sf_dir):
 # ---------------------------------------------------------------- scans / sinks
 def scan_json_raw(spark, sf_dir):
     root = _scratch(spark, "landing")
-    landing.write_ndjson(_raw(spark, sf_dir), f"{root}/raw_strava_activities")
-    return flatten_raw(read_json_records(spark, f"{root}/raw_strava_activities", RAW_ACTIVITY))
+    landing.write_ndjson(_raw(spark, sf_dir), f"{root}/raw_activities")
+    return flatten_raw(read_json_records(spark, f"{root}/raw_activities", RAW_ACTIVITY))
 
 
 def scan_parquet(spark, sf_dir):
@@ -219,15 +219,15 @@ def bronze_incremental(spark, sf_dir):
 def merge_activities(spark, sf_dir):
     ensure_semantics(spark)
     landed = fixtures.activity_batches(spark, sf_dir)
-    return flatten_raw(ingest.keyed_merge(landed, MERGE_KEYS["raw_strava_activities"]))
+    return flatten_raw(ingest.keyed_merge(landed, MERGE_KEYS["activities"]))
 
 
 def merge_comments(spark, sf_dir):
-    return ingest.keyed_merge(ingest.stamp_comments(_fetches(spark, sf_dir)), MERGE_KEYS["raw_strava_comments_partial"])
+    return ingest.keyed_merge(ingest.stamp_comments(_fetches(spark, sf_dir)), MERGE_KEYS["comments"])
 
 
 def merge_kudos(spark, sf_dir):
-    return ingest.keyed_merge(ingest.stamp_kudos(_fetches(spark, sf_dir)), MERGE_KEYS["raw_strava_kudos_partial"])
+    return ingest.keyed_merge(ingest.stamp_kudos(_fetches(spark, sf_dir)), MERGE_KEYS["kudos"])
 
 
 def pk_violations(spark, sf_dir):
@@ -295,7 +295,7 @@ def stream_merge(spark, sf_dir):
     landing.write_activity_batches(spark, sf_dir, f"{root}/landing")
     lake = Lake(spark, f"{root}/lake")
     merge_stream(
-        spark, f"{root}/landing/activities/*", RAW_ACTIVITY_LANDED, MERGE_KEYS["raw_strava_activities"],
+        spark, f"{root}/landing/activities/*", RAW_ACTIVITY_LANDED, MERGE_KEYS["activities"],
         lake, "raw_activities", f"{root}/checkpoint",
     )
     return flatten_raw(lake.read("raw", "raw_activities"))

@@ -126,7 +126,7 @@ CHILD_FETCH = T.StructType(
     ]
 )
 
-# Stamped, flat child tables (what raw_strava_comments / raw_kudos hold).
+# Stamped, flat child tables (what raw_comments / raw_kudos hold).
 COMMENT = T.StructType(
     [
         _f("id", L),
@@ -152,9 +152,9 @@ KUDO = T.StructType(
 
 # Keyed-merge keys per landing file (separate columns, never a joined string).
 MERGE_KEYS = {
-    "raw_strava_activities": ["id"],
-    "raw_strava_comments_partial": ["id"],
-    "raw_strava_kudos_partial": ["activity_id", "firstname", "lastname"],
+    "activities": ["id"],
+    "comments": ["id"],
+    "kudos": ["activity_id", "firstname", "lastname"],
 }
 
 RAW_ATHLETE = T.StructType(

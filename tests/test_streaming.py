@@ -35,7 +35,7 @@ def test_merge_stream_equals_batch_merge(spark):
     root = tempfile.mkdtemp(prefix="m-", dir=shared_dir(spark))
     landing.write_activity_batches(spark, SF_SMALL, f"{root}/landing")
     lake = Lake(spark, f"{root}/lake")
-    merge_stream(spark, f"{root}/landing/activities/*", RAW_ACTIVITY_LANDED, MERGE_KEYS["raw_strava_activities"],
+    merge_stream(spark, f"{root}/landing/activities/*", RAW_ACTIVITY_LANDED, MERGE_KEYS["activities"],
                  lake, "raw_activities", f"{root}/ckpt")
     streamed = lake.read("raw", "raw_activities").select("id", "kudos_count", "batch_seq")
     batch = ingest.keyed_merge(fixtures.activity_batches(spark, SF_SMALL), ["id"]).select("id", "kudos_count", "batch_seq")
