@@ -27,7 +27,7 @@ def read_json_records(
     return reader.json(list(path) if not isinstance(path, str) else path)
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
+def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
     """Round-robin a scan that yields fewer partitions than there are cores.
 
     A Parquet file is split by row group; a file written as one row group is
@@ -35,11 +35,14 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     core. Only then is the (narrow, pruned) scan output spread over the
     cores before the projection. A scan with at least as many splits as
     cores, as any large input has, is returned unchanged: no shuffle at scale.
+
+    With ``keys`` the spread hash-partitions on them, so later joins and
+    keyed aggregations on the same key can reuse the partitioning.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores)
+    return df.repartition(cores, *keys) if keys else df.repartition(cores)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -163,8 +163,9 @@ def activities_from_orders(orders: DataFrame, kudos_bump: int = 0) -> DataFrame:
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the activity projection is heavy (~60 columns, text formatting): make
-    # sure it runs on every core even when the input is a single split
-    return spread_small_scan(read_table(spark, sf_dir, "orders"))
+    # sure it runs on every core even when the input is a single split, and
+    # spread on the activity key so keyed merges and joins can reuse it
+    return spread_small_scan(read_table(spark, sf_dir, "orders"), "o_orderkey")
 
 
 def raw_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
