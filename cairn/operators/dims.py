@@ -68,6 +68,18 @@ def activity_type_dim(fact: DataFrame, bronze_activities: DataFrame) -> DataFram
     )
 
 
+def owner_ids(fact: DataFrame, bronze_activities: DataFrame) -> DataFrame:
+    """Distinct owners of the fact's activities (partial aggregation first)."""
+    return _with_owner(fact.select("activity_id"), bronze_activities).select("athlete_id").distinct()
+
+
+def name_owners(owners: DataFrame, athletes: DataFrame) -> DataFrame:
+    names = athletes.select(
+        F.col("id").alias("athlete_id"), F.concat_ws(" ", "firstname", "lastname").alias("athlete_name")
+    )
+    return owners.join(names, "athlete_id", "left").select("athlete_id", "athlete_name")
+
+
 def athlete_dim(fact: DataFrame, bronze_activities: DataFrame, athletes: DataFrame) -> DataFrame:
     """Distinct owners with a display name.
 
@@ -75,11 +87,7 @@ def athlete_dim(fact: DataFrame, bronze_activities: DataFrame, athletes: DataFra
     athlete records. Owners are reduced to distinct ids first (partial
     aggregation), so the name lookup joins one row per athlete, not per activity.
     """
-    owners = _with_owner(fact.select("activity_id"), bronze_activities).select("athlete_id").distinct()
-    names = athletes.select(
-        F.col("id").alias("athlete_id"), F.concat_ws(" ", "firstname", "lastname").alias("athlete_name")
-    )
-    return owners.join(names, "athlete_id", "left").select("athlete_id", "athlete_name")
+    return name_owners(owner_ids(fact, bronze_activities), athletes)
 
 
 def hr_zone(avg_hr) -> F.Column:

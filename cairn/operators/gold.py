@@ -59,6 +59,17 @@ def _period_stats(fact: DataFrame, unit: str, label: str, with_comments: bool) -
     )
 
 
+PERIODS = {
+    "gold_weekly_stats": ("week", "week_start", True),
+    "gold_monthly_stats": ("month", "month_start", False),
+}
+
+
+def period_stats(fact: DataFrame, table: str) -> DataFrame:
+    unit, label, with_comments = PERIODS[table]
+    return _period_stats(fact, unit, label, with_comments)
+
+
 def weekly_stats(fact: DataFrame) -> DataFrame:
     return _period_stats(fact, "week", "week_start", with_comments=True)
 

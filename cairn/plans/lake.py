@@ -94,6 +94,16 @@ class Lake:
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self.latest_path(layer, table))
 
+    def read_table(self, layer: str, table: str) -> DataFrame:
+        """Whole table: the latest version, or all committed batches."""
+        if self.versions(layer, table):
+            return self.read(layer, table)
+        base = self.table_path(layer, table)
+        paths = [f"{base}/batch={b}" for b in self.batches(layer, table)]
+        if not paths:
+            raise FileNotFoundError(f"{layer}/{table} has no committed data")
+        return self.spark.read.option("basePath", base).parquet(*paths).drop("batch")
+
     def read_version(self, layer: str, table: str, version: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.table_path(layer, table)}/v={version}")
 

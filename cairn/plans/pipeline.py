@@ -3,7 +3,13 @@ gold -> star schema -> publish, with the no-new-data gate and layer checks.
 
 Each layer is written to the lake and read back before the next stage, so a
 lost executor only recomputes the current stage and later stages start from
-files, not from a long lineage.
+files, not from a long lineage. Everything downstream of bronze is
+maintained incrementally (``cairn.plans.incremental``): a run's cost follows
+the size of its batch, not of the history.
+
+Retrying a run with the same ``batch_id`` is safe: batch directories are
+overwritten, versioned tables are recomputed from data that holds the batch
+exactly once, and the watermark ignores the batch being retried.
 """
 
 from __future__ import annotations
@@ -14,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions import parse_ts_ntz
-from cairn.operators import bronze, ingest, quality
-from cairn.plans import medallion
+from cairn.operators import bronze, dims, gold, ingest, quality
+from cairn.plans import incremental, medallion
 from cairn.plans.lake import Lake
 from cairn.plans.publish import publish
 from cairn.schemas import BRONZE_ACTIVITIES, MERGE_KEYS, ORDER_COLS, RAW_ACTIVITY_LANDED
@@ -26,6 +32,7 @@ log = logging.getLogger(__name__)
 
 # Wide bronze table: every bronze column, keyed by activity_id.
 RECORDS = "bronze_activity_records"
+APPENDED_GOLD = ("gold_activity_summary", "gold_training_load")
 
 
 def _merge_into(lake: Lake, table: str, incoming: DataFrame, keys: list[str]) -> int:
@@ -37,10 +44,14 @@ def _merge_into(lake: Lake, table: str, incoming: DataFrame, keys: list[str]) ->
     return rows
 
 
-def current_watermark(lake: Lake) -> DataFrame | None:
-    if not lake.exists("gold", "gold_activity_summary"):
+def current_watermark(lake: Lake, batch_id: int | None = None) -> DataFrame | None:
+    """Newest start time already in gold (the batch being retried excluded)."""
+    ids = [b for b in lake.batches("gold", "gold_activity_summary") if b != batch_id]
+    if not ids:
         return None
-    return ingest.high_watermark(lake.read("gold", "gold_activity_summary"))
+    base = lake.table_path("gold", "gold_activity_summary")
+    summary = lake.spark.read.option("basePath", base).parquet(*[f"{base}/batch={b}" for b in ids])
+    return ingest.high_watermark(summary)
 
 
 def run(
@@ -57,7 +68,7 @@ def run(
 
     # watermark + incremental read + gate
     landed = read_json_records(spark, activities_landing, RAW_ACTIVITY_LANDED)
-    wm = current_watermark(lake)
+    wm = current_watermark(lake, batch_id)
     if wm is not None:
         landed = ingest.incremental_filter(landed, wm, parse_ts_ntz(F.col("start_date")))
     if landed.isEmpty():
@@ -66,14 +77,9 @@ def run(
 
     # raw: keyed merges of the activity batch and the child fetches
     counts["raw_activities"] = _merge_into(lake, "raw_activities", landed, MERGE_KEYS["activities"])
-    fetches = child_fetches(ingest.child_worklist(landed)).cache()
-    counts["raw_comments"] = _merge_into(
-        lake, "raw_comments", ingest.stamp_comments(fetches), MERGE_KEYS["comments"]
-    )
-    counts["raw_kudos"] = _merge_into(
-        lake, "raw_kudos", ingest.stamp_kudos(fetches), MERGE_KEYS["kudos"]
-    )
-    fetches.unpersist()
+    fetches = child_fetches(ingest.child_worklist(landed))
+    counts["raw_comments"] = _merge_into(lake, "raw_comments", ingest.stamp_comments(fetches), MERGE_KEYS["comments"])
+    counts["raw_kudos"] = _merge_into(lake, "raw_kudos", ingest.stamp_kudos(fetches), MERGE_KEYS["kudos"])
     _, counts["raw_athlete"] = lake.write_version(athletes, "raw", "raw_athlete")
 
     # bronze: only keys not yet in history are appended (history is never
@@ -90,33 +96,44 @@ def run(
     new_records = spark.read.parquet(path)
     for name in bronze.TABLE_COLUMNS:
         _, counts[name] = lake.append_batch(bronze.project(new_records, name), "bronze", name, batch_id)
-    bronze_all = {
-        name: lake.read_batches("bronze", name, schema)
-        for name, schema in [(RECORDS, new_records.schema)]
-        + [(n, bronze.project(new_records, n).schema) for n in bronze.TABLE_COLUMNS]
-    }
+    bronze_activities = lake.read_table("bronze", "bronze_activities")
     quality.validate_counts(
         quality.layer_counts(
-            [("raw_activities", lake.read("raw", "raw_activities"), "bronze_activities", bronze_all["bronze_activities"])]
+            [("raw_activities", lake.read("raw", "raw_activities"), "bronze_activities", bronze_activities)]
         )
     )
 
-    # silver (full refresh from all bronze): projections of the wide records,
-    # so building the fact needs no join and no shuffle
-    for name, df in medallion.silver_tables_from_records(bronze_all[RECORDS]).items():
-        _, counts[name] = lake.write_version(df, "silver", name)
-    fact = lake.read("silver", "silver_activity_fact")
+    # silver: per-key projections of the new records (no join, no shuffle), appended
+    for name, df in medallion.silver_tables_from_records(new_records).items():
+        _, counts[name] = lake.append_batch(df, "silver", name, batch_id)
+    new_fact = spark.read.parquet(f"{lake.table_path('silver', 'silver_activity_fact')}/batch={batch_id}")
+    fact = lake.read_table("silver", "silver_activity_fact")
     quality.validate_counts(
-        quality.layer_counts([("bronze_activities", bronze_all["bronze_activities"], "silver_activity_fact", fact)])
+        quality.layer_counts([("bronze_activities", bronze_activities, "silver_activity_fact", fact)])
     )
 
-    # gold + star schema, all from the written fact
-    for name, df in medallion.gold_tables(fact).items():
-        _, counts[name] = lake.write_version(df, "gold", name)
-    star = medallion.star_tables(fact, bronze_all["bronze_activities"], lake.read("raw", "raw_athlete"))
+    # gold: per-row tables appended; rollups, top-k and dimensions merged exactly
+    for name in APPENDED_GOLD:
+        _, counts[name] = lake.append_batch(medallion.gold_tables_for(new_fact, [name])[name], "gold", name, batch_id)
+    for name in gold.PERIODS:
+        _, counts[name] = lake.write_version(incremental.refresh_periods(lake, name, fact, new_fact), "gold", name)
+    _, counts["gold_pb_efforts"] = lake.write_version(incremental.refresh_top_paces(lake, new_fact), "gold", "gold_pb_efforts")
+
+    new_bronze = bronze.project(new_records, "bronze_activities")
+    star = {
+        "dim_date": incremental.refresh_distinct(lake, "dim_date", dims.date_dim(new_fact)),
+        "dim_activity_type": incremental.refresh_distinct(
+            lake, "dim_activity_type", dims.activity_type_dim(new_fact, new_bronze)
+        ),
+        "dim_athlete": incremental.refresh_athletes(lake, new_fact, new_bronze, lake.read("raw", "raw_athlete")),
+    }
     for name, df in star.items():
         _, counts[name] = lake.write_version(df, "gold", name)
+    _, counts["fact_activities"] = lake.append_batch(
+        dims.activity_fact(new_fact, new_bronze), "gold", "fact_activities", batch_id
+    )
 
     if do_publish:
         publish(spark, lake)
     return counts
+

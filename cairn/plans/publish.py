@@ -40,7 +40,15 @@ def publish(spark: SparkSession, lake: Lake, tables: Sequence[str] = GOLD_TABLES
     for table in tables:
         name = f"{SCHEMA}.{table}_table"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{lake.latest_path(layer, table)}'")
+        if lake.versions(layer, table):
+            spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{lake.latest_path(layer, table)}'")
+        else:
+            # append-only table: every committed batch directory, no batch column
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lake.read_table(layer, table).schema)
+            spark.sql(
+                f"CREATE TABLE {name} ({cols}) USING parquet OPTIONS (recursiveFileLookup 'true') "
+                f"LOCATION '{lake.table_path(layer, table)}'"
+            )
         names.append(name)
     return names
 
