@@ -80,11 +80,6 @@ class Lake:
         path = f"{self.table_path(layer, table)}/v={(vs[-1] + 1) if vs else 1}"
         return path, self._write(df, path)
 
-    def write_version_at(self, df: DataFrame, layer: str, table: str, version: int) -> tuple[str, int]:
-        """Write a given version number (idempotent for a retried epoch)."""
-        path = f"{self.table_path(layer, table)}/v={version}"
-        return path, self._write(df, path)
-
     def append_batch(self, df: DataFrame, layer: str, table: str, batch_id: int) -> tuple[str, int]:
         """Append-only insert of one batch; rerunning the batch replaces it."""
         path = f"{self.table_path(layer, table)}/batch={batch_id}"
@@ -104,9 +99,6 @@ class Lake:
             raise FileNotFoundError(f"{layer}/{table} has no committed data")
         return self.spark.read.option("basePath", base).parquet(*paths).drop("batch")
 
-    def read_version(self, layer: str, table: str, version: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.table_path(layer, table)}/v={version}")
-
     def read_batches(
         self, layer: str, table: str, schema: T.StructType, exclude: int | None = None
     ) -> DataFrame:

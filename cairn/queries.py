@@ -34,7 +34,7 @@ from cairn.sources import fixtures, landing
 from cairn.sources import files as file_sources
 from cairn.sources.files import read_json_records, read_or_empty, union_by_name
 from cairn.streaming.bronze_stream import ingest_bronze_stream, read_bronze
-from cairn.streaming.merge_stream import merge_stream
+from cairn.streaming.merge_stream import merge_stream, merged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -298,7 +298,7 @@ def stream_merge(spark, sf_dir):
         spark, f"{root}/landing/activities/*", RAW_ACTIVITY_LANDED, MERGE_KEYS["activities"],
         lake, "raw_activities", f"{root}/checkpoint",
     )
-    return flatten_raw(lake.read("raw", "raw_activities"))
+    return flatten_raw(merged(lake, "raw_activities", MERGE_KEYS["activities"]))
 
 
 def registry() -> dict[str, Query]:

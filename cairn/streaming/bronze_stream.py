@@ -24,7 +24,7 @@ def ingest_bronze_stream(
     landing: str,
     lake: Lake,
     checkpoint: str,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int = 64,
 ) -> None:
     def append_new(batch: DataFrame, epoch_id: int) -> None:
         history = lake.read_batches("bronze", "bronze_activities", BRONZE_ACTIVITIES, exclude=epoch_id)

@@ -1,9 +1,11 @@
 """Repeated-run keyed merge (last write wins) as a file stream.
 
-Each micro-batch merges into the current state with ``keyed_merge`` and
-commits the result as version ``v=<epoch+1>`` of the raw table; the version
-it read stays untouched, so a retry of the same epoch recomputes the same
-version from the same input. Readers take the newest committed version.
+Each micro-batch is appended, with its order columns, as ``batch=<epoch>``
+of the raw table; a retried epoch overwrites only its own directory.
+The last-write-wins merge happens on read (``merged``): ``max_by`` over the
+order columns gives the same result however the landed files were grouped
+into micro-batches, and a micro-batch costs O(batch), never a rewrite of
+the whole merged state.
 """
 
 from __future__ import annotations
@@ -25,14 +27,10 @@ def merge_stream(
     lake: Lake,
     table: str,
     checkpoint: str,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int = 64,
 ) -> None:
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        earlier = [v for v in lake.versions("raw", table) if v <= epoch_id]
-        merged = batch
-        if earlier:
-            merged = lake.read_version("raw", table, earlier[-1]).unionByName(batch)
-        lake.write_version_at(ingest.keyed_merge(merged, list(keys)), "raw", table, epoch_id + 1)
+        lake.append_batch(batch, "raw", table, epoch_id)
 
     query = (
         spark.readStream.schema(schema)
@@ -46,3 +44,8 @@ def merge_stream(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+
+
+def merged(lake: Lake, table: str, keys: Sequence[str]) -> DataFrame:
+    """The merged state: one record per key, the latest by order columns."""
+    return ingest.keyed_merge(lake.read_table("raw", table), list(keys))

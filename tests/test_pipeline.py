@@ -95,7 +95,7 @@ def test_publish_lists_all_gold_tables(spark, two_runs):
 
 
 def test_keyed_raw_merge_keeps_latest_fetch(spark, two_runs):
-    raw = two_runs["lake"].read("raw", "raw_activities")
+    raw = pipeline.raw_view(two_runs["lake"], "raw_activities")
     assert raw.groupBy("id").count().where("count > 1").count() == 0
     assert raw.where("batch_seq = 2").count() > 0
 

@@ -10,7 +10,7 @@ from cairn.schemas import MERGE_KEYS, RAW_ACTIVITY_LANDED
 from cairn.session import shared_dir
 from cairn.sources import fixtures, landing
 from cairn.streaming.bronze_stream import ingest_bronze_stream, read_bronze
-from cairn.streaming.merge_stream import merge_stream
+from cairn.streaming.merge_stream import merge_stream, merged
 from conftest import SF_SMALL
 
 
@@ -18,8 +18,10 @@ def test_bronze_stream_rerun_adds_nothing(spark):
     root = tempfile.mkdtemp(prefix="s-", dir=shared_dir(spark))
     landing.write_activity_batches(spark, SF_SMALL, f"{root}/landing")
     lake = Lake(spark, f"{root}/lake")
-    ingest_bronze_stream(spark, f"{root}/landing/activities/*", lake, f"{root}/ckpt")
+    # small triggers: several micro-batches, each anti-joined to the ones before
+    ingest_bronze_stream(spark, f"{root}/landing/activities/*", lake, f"{root}/ckpt", max_files_per_trigger=3)
     first = read_bronze(lake)
+    assert len(lake.batches("bronze", "bronze_activities")) > 1
     n = first.count()
     assert n == fixtures.read_table(spark, SF_SMALL, "orders").count()
     assert first.groupBy("activity_id").count().where("count > 1").count() == 0
@@ -36,8 +38,9 @@ def test_merge_stream_equals_batch_merge(spark):
     landing.write_activity_batches(spark, SF_SMALL, f"{root}/landing")
     lake = Lake(spark, f"{root}/lake")
     merge_stream(spark, f"{root}/landing/activities/*", RAW_ACTIVITY_LANDED, MERGE_KEYS["activities"],
-                 lake, "raw_activities", f"{root}/ckpt")
-    streamed = lake.read("raw", "raw_activities").select("id", "kudos_count", "batch_seq")
+                 lake, "raw_activities", f"{root}/ckpt", max_files_per_trigger=3)
+    assert len(lake.batches("raw", "raw_activities")) > 1
+    streamed = merged(lake, "raw_activities", MERGE_KEYS["activities"]).select("id", "kudos_count", "batch_seq")
     batch = ingest.keyed_merge(fixtures.activity_batches(spark, SF_SMALL), ["id"]).select("id", "kudos_count", "batch_seq")
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
     # the re-fetched records carry the later kudo count
