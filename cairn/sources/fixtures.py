@@ -46,8 +46,24 @@ FIRST_FETCH_BEFORE = "2000-01-01"
 REFETCH_FROM = "1999-10-01"
 
 
+# Input contract: the columns of the driver tables this package reads.
+# A declared schema skips Parquet schema inference (footer reads on every
+# plan) and fails loudly if an input's types change.
+INPUT_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+    " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,"
+    " l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,"
+    " l_shipdate TIMESTAMP_NTZ",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if name in INPUT_SCHEMAS:
+        return spark.read.schema(INPUT_SCHEMAS[name]).parquet(path)
+    return spark.read.parquet(path)
 
 
 def _sql_case(operand: str, pairs, default: str) -> str:
