@@ -13,7 +13,7 @@ from cairn.functions.dates import (
     trunc_date,
     trunc_ntz,
 )
-from cairn.functions.numeric import dbl, guarded_ratio, null_if_zero, round_half_away
+from cairn.functions.numeric import dbl, guarded_ratio, null_if_zero, round_half_away, round_half_away_sql
 from cairn.functions.mapping import case_map
 
 __all__ = [
@@ -27,6 +27,7 @@ __all__ = [
     "null_if_zero",
     "parse_ts_ntz",
     "round_half_away",
+    "round_half_away_sql",
     "trunc_date",
     "trunc_ntz",
 ]

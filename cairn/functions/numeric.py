@@ -30,6 +30,18 @@ def round_half_away(col: Column, digits: int = 0) -> Column:
     )
 
 
+def round_half_away_sql(expr: str, digits: int = 0) -> str:
+    """SQL text of ``round_half_away`` (same arithmetic), for ``selectExpr``."""
+    scale = f"{float(10**digits)}D"
+    v = f"(({expr}) * {scale})"
+    mag = f"abs({v})"
+    return (
+        f"CASE WHEN ({expr}) IS NULL THEN CAST(NULL AS DOUBLE) ELSE signum({v}) * "
+        f"(CASE WHEN {mag} - CAST(floor({mag}) AS DOUBLE) >= 0.5D THEN CAST(floor({mag}) AS DOUBLE) + 1.0D "
+        f"ELSE CAST(floor({mag}) AS DOUBLE) END) / {scale} END"
+    )
+
+
 def null_if_zero(col: Column) -> Column:
     """``NULLIF(x, 0)``: the divide guard; a bare ``/ 0`` raises under ANSI."""
     return F.nullif(col, F.lit(0))

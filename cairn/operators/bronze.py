@@ -68,10 +68,9 @@ def records(raw: DataFrame) -> DataFrame:
 
 def project(recs: DataFrame, name: str) -> DataFrame:
     """One published bronze table from the records."""
-    out = recs.selectExpr(*TABLE_COLUMNS[name])
-    if name == "bronze_activities":
-        out = out.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_ACTIVITIES.fields])
-    return out
+    if name == "bronze_activities":  # the typed first-run definition
+        return recs.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in BRONZE_ACTIVITIES.fields])
+    return recs.selectExpr(*TABLE_COLUMNS[name])
 
 
 def activities(raw: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.functions import case_map, date_part, day_name, dbl, month_name, round_half_away, trunc_date
+from cairn.functions import case_map, date_part, day_name, month_name, round_half_away_sql, trunc_date
 
 # Sport type -> category (anything else is 'Other').
 SPORT_CATEGORIES = [
@@ -90,42 +90,44 @@ def athlete_dim(fact: DataFrame, bronze_activities: DataFrame, athletes: DataFra
     return name_owners(owner_ids(fact, bronze_activities), athletes)
 
 
-def hr_zone(avg_hr) -> F.Column:
+def hr_zone_sql(avg_hr: str) -> str:
     """Searched CASE over the zone bounds; NULL falls through to the top zone."""
-    expr = None
-    for bound, label in HR_ZONES:
-        cond = avg_hr < F.lit(bound)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(TOP_ZONE))
+    whens = " ".join(f"WHEN {avg_hr} < {bound} THEN '{label}'" for bound, label in HR_ZONES)
+    return f"CASE {whens} ELSE '{TOP_ZONE}' END"
+
+
+FACT_PASSTHROUGH = (
+    "distance_km",
+    "moving_time_min",
+    "elapsed_time_min",
+    "pace_min_per_km",
+    "total_elevation_m",
+    "average_heartrate",
+    "max_heartrate",
+    "average_speed",
+    "max_speed",
+    "kudos_count",
+    "comment_count",
+    "achievement_count",
+    "pr_count",
+    "trainer",
+    "commute",
+)
 
 
 def activity_fact(fact: DataFrame, bronze_activities: DataFrame) -> DataFrame:
     a = fact.where(F.col("activity_id").isNotNull())
-    return _with_owner(a, bronze_activities).select(
+    return _with_owner(a, bronze_activities).selectExpr(
         "activity_id",
-        F.col("start_date_utc").cast("date").alias("date_id"),
-        F.col("sport_type").alias("activity_type_id"),
+        "CAST(start_date_utc AS DATE) AS date_id",
+        "sport_type AS activity_type_id",
         "athlete_id",
-        F.col("name").alias("activity_name"),
-        "distance_km",
-        "moving_time_min",
-        "elapsed_time_min",
-        "pace_min_per_km",
-        "total_elevation_m",
-        "average_heartrate",
-        "max_heartrate",
-        "average_speed",
-        "max_speed",
-        "kudos_count",
-        "comment_count",
-        "achievement_count",
-        "pr_count",
-        "trainer",
-        "commute",
-        round_half_away(F.col("distance_km") * dbl(KM_TO_MILES), 2).alias("distance_miles"),
-        round_half_away(F.col("total_elevation_m") * dbl(M_TO_FEET), 0).alias("elevation_feet"),
-        hr_zone(F.col("average_heartrate")).alias("hr_zone"),
-        (F.col("moving_time_min") * F.col("average_heartrate")).alias("effort_score"),
+        "name AS activity_name",
+        *FACT_PASSTHROUGH,
+        f"{round_half_away_sql(f'distance_km * {KM_TO_MILES}D', 2)} AS distance_miles",
+        f"{round_half_away_sql(f'total_elevation_m * {M_TO_FEET}D', 0)} AS elevation_feet",
+        f"{hr_zone_sql('average_heartrate')} AS hr_zone",
+        "moving_time_min * average_heartrate AS effort_score",
     )
 
 

@@ -79,6 +79,10 @@ def stamp_kudos(fetches: DataFrame) -> DataFrame:
     )
 
 
+def _struct_sql(cols: Sequence[str]) -> str:
+    return "struct(" + ", ".join(f"`{c}`" for c in cols) + ")"
+
+
 def keyed_merge(records: DataFrame, keys: Sequence[str], order: Sequence[str] = tuple(ORDER_COLS)) -> DataFrame:
     """Keep one record per key: the one with the greatest ``order`` tuple.
 
@@ -86,11 +90,10 @@ def keyed_merge(records: DataFrame, keys: Sequence[str], order: Sequence[str] =
     equal), never a joined string, so ('A_B', 'C') and ('A', 'B_C') stay apart.
     """
     payload = [c for c in records.columns if c not in keys]
-    ordering = F.struct(*[F.col(c) for c in order])
-    best = F.max_by(F.struct(*[F.col(c) for c in payload]), ordering).alias("r")
-    return records.groupBy(*keys).agg(best).select(*keys, *[F.col("r")[c].alias(c) for c in payload]).select(
-        *records.columns
-    )
+    best = F.expr(f"max_by({_struct_sql(payload)}, {_struct_sql(order)})").alias("r")
+    return records.groupBy(*keys).agg(best).selectExpr(
+        *[f"`{c}`" for c in keys], *[f"r.`{c}` AS `{c}`" for c in payload]
+    ).select(*records.columns)
 
 
 # Largest key set the incremental anti join broadcasts (8-byte keys: ~16 MB

@@ -12,46 +12,58 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.functions import dbl, guarded_ratio, parse_ts_ntz
 
 
-def _activity_columns(a: str, m: str) -> list:
-    """The 25 ``silver_activities`` columns, reading activity fields from
-    alias ``a`` and metric fields from alias ``m``."""
-    km = F.col(f"{m}.distance") / dbl(1000.0)
-    minutes = F.col(f"{m}.moving_time") / dbl(60.0)
+def _activity_columns(a: str, m: str) -> list[str]:
+    """The 25 ``silver_activities`` columns as SQL expressions, reading
+    activity fields from alias ``a`` and metric fields from alias ``m``.
+    Literals are DOUBLE (``60.0D``): a bare ``60.0`` is a DECIMAL in Spark."""
+    km = f"({m}.distance / 1000.0D)"
+    minutes = f"({m}.moving_time / 60.0D)"
     return [
-        F.col(f"{a}.activity_id").alias("activity_id"),
-        F.col(f"{a}.name").alias("name"),
-        km.alias("distance_km"),
-        minutes.alias("moving_time_min"),
-        (F.col(f"{m}.elapsed_time") / dbl(60.0)).alias("elapsed_time_min"),
+        f"{a}.activity_id AS activity_id",
+        f"{a}.name AS name",
+        f"{km} AS distance_km",
+        f"{minutes} AS moving_time_min",
+        f"{m}.elapsed_time / 60.0D AS elapsed_time_min",
         # pace: NULL when the distance is zero, negative or NULL
-        guarded_ratio(minutes, km).alias("pace_min_per_km"),
-        F.col(f"{m}.total_elevation_gain").alias("total_elevation_m"),
-        *[F.col(f"{m}.{c}").alias(c) for c in ("average_speed", "max_speed", "elev_high", "elev_low")],
-        *[F.col(f"{a}.{c}").alias(c) for c in ("type", "sport_type", "workout_type", "device_name")],
-        parse_ts_ntz(F.col(f"{a}.start_date")).alias("start_date_utc"),
-        parse_ts_ntz(F.col(f"{a}.start_date_local")).alias("start_date_local"),
+        f"CASE WHEN {km} > 0 THEN {minutes} / {km} END AS pace_min_per_km",
+        f"{m}.total_elevation_gain AS total_elevation_m",
+        *[f"{m}.{c} AS {c}" for c in ("average_speed", "max_speed", "elev_high", "elev_low")],
+        *[f"{a}.{c} AS {c}" for c in ("type", "sport_type", "workout_type", "device_name")],
+        # text -> timestamp without zone (an offset suffix is dropped, not applied)
+        f"CAST({a}.start_date AS TIMESTAMP_NTZ) AS start_date_utc",
+        f"CAST({a}.start_date_local AS TIMESTAMP_NTZ) AS start_date_local",
         *[
-            F.col(f"{a}.{c}").alias(c)
+            f"{a}.{c} AS {c}"
             for c in ("timezone", "trainer", "commute", "manual", "private", "visibility", "flagged", "gear_id")
         ],
     ]
 
 
+FACT_EXTRA_COLUMNS = (
+    "kudos_count",
+    "comment_count",
+    "achievement_count",
+    "pr_count",
+    "location_city",
+    "location_state",
+    "location_country",
+)
+
+
 def activities(bronze_activities: DataFrame, bronze_metrics: DataFrame) -> DataFrame:
     """bronze_activities LEFT JOIN bronze_metrics on the key."""
     a = bronze_activities.where(F.col("activity_id").isNotNull()).alias("a")
     m = bronze_metrics.alias("m")
-    return a.join(m, F.col("a.activity_id") == F.col("m.activity_id"), "left").select(*_activity_columns("a", "m"))
+    return a.join(m, F.col("a.activity_id") == F.col("m.activity_id"), "left").selectExpr(*_activity_columns("a", "m"))
 
 
 def activities_from_records(records: DataFrame) -> DataFrame:
     """``silver_activities`` as one projection of the keyed bronze records
     (see ``activity_fact_from_records`` for when this equals the join)."""
     r = records.where(F.col("activity_id").isNotNull()).alias("r")
-    return r.select(*_activity_columns("r", "r"))
+    return r.selectExpr(*_activity_columns("r", "r"))
 
 
 def heartrate(bronze_heartrate: DataFrame) -> DataFrame:
@@ -103,12 +115,10 @@ def activity_fact_from_records(records: DataFrame) -> DataFrame:
     (a test checks both forms against each other).
     """
     r = records.where(F.col("activity_id").isNotNull()).alias("r")
-    flag = F.col("r.has_heartrate")
-    return r.select(
+    return r.selectExpr(
         *_activity_columns("r", "r"),
-        F.when(flag, F.col("r.average_heartrate")).alias("average_heartrate"),
-        F.when(flag, F.col("r.max_heartrate")).alias("max_heartrate"),
-        flag.alias("has_heartrate"),
-        *[F.col(f"r.{c}").alias(c) for c in ("kudos_count", "comment_count", "achievement_count", "pr_count")],
-        *[F.col(f"r.{c}").alias(c) for c in ("location_city", "location_state", "location_country")],
+        "CASE WHEN r.has_heartrate THEN r.average_heartrate END AS average_heartrate",
+        "CASE WHEN r.has_heartrate THEN r.max_heartrate END AS max_heartrate",
+        "r.has_heartrate AS has_heartrate",
+        *[f"r.{c} AS {c}" for c in FACT_EXTRA_COLUMNS],
     )

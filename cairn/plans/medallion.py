@@ -42,9 +42,7 @@ class Layers:
         return self._cache[name]
 
     def bronze(self, name: str) -> DataFrame:
-        if name == "bronze_activities":
-            return self._get(name, lambda: bronze.activities(self.raw))
-        return self._get(name, lambda: bronze.SIDE_TABLES[name](self.raw))
+        return self._get(name, lambda: bronze.project(self.records, name))
 
     def silver(self, name: str) -> DataFrame:
         builders = {

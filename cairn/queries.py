@@ -49,17 +49,13 @@ def flatten_raw(df: DataFrame) -> DataFrame:
     out = []
     for f in RAW_ACTIVITY.fields:
         if f.name == "athlete":
-            out += [F.col("athlete.id").alias("athlete_id"), F.col("athlete.resource_state").alias("athlete_resource_state")]
+            out += ["athlete.id AS athlete_id", "athlete.resource_state AS athlete_resource_state"]
         elif f.name == "map":
-            out += [
-                F.col("map.id").alias("map_id"),
-                F.col("map.summary_polyline").alias("map_summary_polyline"),
-                F.col("map.resource_state").alias("map_resource_state"),
-            ]
+            out += ["map.id AS map_id", "map.summary_polyline AS map_summary_polyline", "map.resource_state AS map_resource_state"]
         elif f.name not in ("start_latlng", "end_latlng"):
-            out.append(F.col(f.name))
-    out += [F.col(c) for c in ORDER_COLS if c in df.columns]
-    return df.select(*out)
+            out.append(f.name)
+    out += [c for c in ORDER_COLS if c in df.columns]
+    return df.selectExpr(*out)
 
 
 # ---------------------------------------------------------------- layers

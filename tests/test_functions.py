@@ -25,6 +25,10 @@ def test_round_matches_duckdb_on_halves(spark, digits):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     got = [r[0] for r in df.select(round_half_away(F.col("x"), digits)).collect()]
     assert got == expected
+    from cairn.functions import round_half_away_sql
+
+    got_sql = [r[0] for r in df.selectExpr(round_half_away_sql("x", digits)).collect()]
+    assert got_sql == expected
 
 
 def test_round_null(spark):
