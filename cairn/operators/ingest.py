@@ -146,3 +146,40 @@ def pk_violations(table: DataFrame, key: str = BRONZE_KEY) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("occurrences"))
         .where(F.col("occurrences") > F.lit(1))
     )
+
+
+# The activity types the athlete totals are kept for.
+TOTAL_TYPES = [("Run", "run"), ("Ride", "ride"), ("Swim", "swim")]
+TOTAL_FIELDS = ("count", "distance", "moving_time", "elevation_gain")
+
+
+def athlete_totals(raw: DataFrame, owner: Column | None = None) -> DataFrame:
+    """Per-athlete all-time totals by activity type (the athlete-stats record).
+
+    One conditional aggregate per (type, measure): a single hash aggregate
+    with a partial step, so an athlete owning a third of all activities is
+    reduced map-side before the shuffle. Totals are sums, so a new batch's
+    totals merge into the previous ones by adding (``merge_totals``).
+    """
+    kind = F.col("type")
+    aggs = []
+    for value, prefix in TOTAL_TYPES:
+        hit = kind == F.lit(value)
+        aggs += [
+            F.sum(F.when(hit, F.lit(1)).otherwise(F.lit(0))).cast("bigint").alias(f"{prefix}_count"),
+            F.sum(F.when(hit, F.col("distance")).otherwise(F.lit(0.0))).alias(f"{prefix}_distance"),
+            F.sum(F.when(hit, F.col("moving_time")).otherwise(F.lit(0))).cast("bigint").alias(f"{prefix}_moving_time"),
+            F.sum(F.when(hit, F.col("total_elevation_gain")).otherwise(F.lit(0.0))).alias(f"{prefix}_elevation_gain"),
+        ]
+    owner = F.col("athlete.id") if owner is None else owner
+    return raw.groupBy(owner.alias("athlete_id")).agg(*aggs)
+
+
+def merge_totals(previous: DataFrame, batch_totals: DataFrame) -> DataFrame:
+    """Add a batch's totals to the previous ones (exact: sums are mergeable)."""
+    cols = [c for c in batch_totals.columns if c != "athlete_id"]
+    return (
+        previous.unionByName(batch_totals)
+        .groupBy("athlete_id")
+        .agg(*[F.sum(c).cast(batch_totals.schema[c].dataType).alias(c) for c in cols])
+    )

@@ -74,10 +74,13 @@ class Lake:
         observed.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return int(obs.get["rows"])
 
-    def write_version(self, df: DataFrame, layer: str, table: str) -> tuple[str, int]:
-        """Full refresh (``CREATE OR REPLACE ... AS``, ``COPY ... TO``)."""
-        vs = self.versions(layer, table)
-        path = f"{self.table_path(layer, table)}/v={(vs[-1] + 1) if vs else 1}"
+    def write_version(self, df: DataFrame, layer: str, table: str, version: int | None = None) -> tuple[str, int]:
+        """Full refresh (``CREATE OR REPLACE ... AS``, ``COPY ... TO``) as the
+        next version, or as a given version number (idempotent on retry)."""
+        if version is None:
+            vs = self.versions(layer, table)
+            version = (vs[-1] + 1) if vs else 1
+        path = f"{self.table_path(layer, table)}/v={version}"
         return path, self._write(df, path)
 
     def append_batch(self, df: DataFrame, layer: str, table: str, batch_id: int) -> tuple[str, int]:
@@ -99,6 +102,9 @@ class Lake:
             raise FileNotFoundError(f"{layer}/{table} has no committed data")
         return self.spark.read.option("basePath", base).parquet(*paths).drop("batch")
 
+    def read_version(self, layer: str, table: str, version: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.table_path(layer, table)}/v={version}")
+
     def read_batches(
         self, layer: str, table: str, schema: T.StructType, exclude: int | None = None
     ) -> DataFrame:

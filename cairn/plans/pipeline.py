@@ -103,6 +103,15 @@ def run(
     for name in bronze.TABLE_COLUMNS:
         _, counts[name] = lake.append_batch(bronze.project(new_records, name), "bronze", name, batch_id)
     bronze_activities = lake.read_table("bronze", "bronze_activities")
+
+    # athlete stats: previous totals + this batch's new activities. The
+    # version is numbered by batch, and a retry starts from the version
+    # before its own, so no batch is counted twice.
+    stats = ingest.athlete_totals(new_records, owner=F.col("athlete_id"))
+    earlier = [v for v in lake.versions("raw", "raw_stats_for_athlete") if v < batch_id]
+    if earlier:
+        stats = ingest.merge_totals(lake.read_version("raw", "raw_stats_for_athlete", earlier[-1]), stats)
+    _, counts["raw_stats_for_athlete"] = lake.write_version(stats, "raw", "raw_stats_for_athlete", version=batch_id)
     # this run's landed batch -> all of bronze (raises if bronze is empty);
     # both counts are cheap (a landed batch, Parquet row counts)
     quality.validate_counts(quality.layer_counts([("raw_activities", batch, "bronze_activities", bronze_activities)]))

@@ -226,6 +226,11 @@ def merge_kudos(spark, sf_dir):
     return ingest.keyed_merge(ingest.stamp_kudos(_fetches(spark, sf_dir)), MERGE_KEYS["kudos"])
 
 
+def athlete_stats(spark, sf_dir):
+    """The athlete-stats record per athlete, from all activities."""
+    return ingest.athlete_totals(_raw(spark, sf_dir))
+
+
 def pk_violations(spark, sf_dir):
     """Keys a plain append of both fetches would duplicate."""
     first, second = _history_and_batch(spark, sf_dir)
@@ -318,6 +323,7 @@ def registry() -> dict[str, Query]:
         "merge_comments": merge_comments,
         "merge_kudos": merge_kudos,
         "pk_violations": pk_violations,
+        "athlete_stats": athlete_stats,
     }
     for name in ("bronze_heartrate", "bronze_metrics", "bronze_engagement", "bronze_location", "bronze_map", "bronze_geo"):
         q[name] = bronze_query(name)

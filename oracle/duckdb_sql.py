@@ -395,6 +395,15 @@ def queries() -> dict[str, str]:
     q["pk_violations"] = f"""
         SELECT activity_id, COUNT(*) AS occurrences FROM ({BRONZE_FIRST} UNION ALL {BRONZE_SECOND})
         GROUP BY 1 HAVING COUNT(*) > 1"""
+    totals = []
+    for value, prefix in (("Run", "run"), ("Ride", "ride"), ("Swim", "swim")):
+        totals += [
+            f"CAST(SUM(CASE WHEN type = '{value}' THEN 1 ELSE 0 END) AS BIGINT) AS {prefix}_count",
+            f"SUM(CASE WHEN type = '{value}' THEN distance ELSE 0.0 END) AS {prefix}_distance",
+            f"CAST(SUM(CASE WHEN type = '{value}' THEN moving_time ELSE 0 END) AS BIGINT) AS {prefix}_moving_time",
+            f"SUM(CASE WHEN type = '{value}' THEN total_elevation_gain ELSE 0.0 END) AS {prefix}_elevation_gain",
+        ]
+    q["athlete_stats"] = f"SELECT athlete_id, {', '.join(totals)} FROM ({raw()}) GROUP BY athlete_id"
     q["validate_layers"] = f"""{ALL}
         SELECT 'raw_activities' AS source, 'bronze_activities' AS target,
                (SELECT COUNT(*) FROM raw_activities) AS source_rows, (SELECT COUNT(*) FROM bronze_activities) AS target_rows

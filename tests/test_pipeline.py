@@ -141,3 +141,11 @@ def test_retried_run_is_idempotent(spark, two_runs, tmp_path):
     pipeline.run(spark, lake, path, two_runs["athletes"], batch_id=1, do_publish=False)
     for t, rows in once.items():
         assert sorted(map(tuple, lake.read_table("gold", t).collect())) == rows, t
+
+
+def test_athlete_stats_equal_totals_over_bronze(spark, two_runs):
+    from cairn.operators import ingest
+
+    lake = two_runs["lake"]
+    expected = ingest.athlete_totals(lake.read_table("bronze", "bronze_activity_records"), owner=F.col("athlete_id"))
+    assert _same_rows(lake.read("raw", "raw_stats_for_athlete"), expected)
