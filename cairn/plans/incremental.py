@@ -91,3 +91,40 @@ def refresh_athletes(lake: Lake, new_fact: DataFrame, new_bronze: DataFrame, ath
     if previous is not None:
         owners = owners.unionByName(previous.select("athlete_id")).distinct()
     return dims.name_owners(owners, athletes)
+
+
+# --------------------------------------------------------------- merge on read
+def merge_on_read(lake: Lake, layer: str, table: str, keys) -> DataFrame:
+    """Merged view of an append-only keyed table: the newest compacted base
+    ``v=<n>`` (the merge of batches 1..n), plus only the batches after it,
+    merged by key on their order columns."""
+    from cairn.operators import ingest
+
+    bases = lake.versions(layer, table)
+    later = [b for b in lake.batches(layer, table) if not bases or b > bases[-1]]
+    root = lake.table_path(layer, table)
+    parts = []
+    if bases:
+        parts.append(lake.read_version(layer, table, bases[-1]))
+    if later:
+        parts.append(lake.spark.read.option("basePath", root).parquet(*[f"{root}/batch={b}" for b in later]).drop("batch"))
+    if not parts:
+        raise FileNotFoundError(f"{layer}/{table} has no committed data")
+    union = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return ingest.keyed_merge(union, list(keys))
+
+
+def compact(lake: Lake, layer: str, table: str, keys) -> int | None:
+    """Write the merged view as base ``v=<last batch id>``, so later reads
+    merge one base and the batches after it instead of every batch.
+
+    Never overwrites what it reads: a base for the newest batch already
+    exists -> nothing to do. Returns the new base id (or None).
+    """
+    batches = lake.batches(layer, table)
+    bases = lake.versions(layer, table)
+    if not batches or (bases and bases[-1] >= batches[-1]):
+        return None
+    merged = merge_on_read(lake, layer, table, keys)
+    lake.write_version(merged, layer, table, version=batches[-1])
+    return batches[-1]

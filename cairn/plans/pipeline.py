@@ -36,9 +36,14 @@ APPENDED_GOLD = ("gold_activity_summary", "gold_training_load")
 
 
 def raw_view(lake: Lake, table: str) -> DataFrame:
-    """The merged raw table (merge-on-read): last write wins per key over all
-    landed batches, decided by their order columns."""
-    return ingest.keyed_merge(lake.read_table("raw", table), RAW_KEYS[table])
+    """The merged raw table (merge-on-read): last write wins per key over the
+    compacted base and the landed batches after it, by their order columns."""
+    return incremental.merge_on_read(lake, "raw", table, RAW_KEYS[table])
+
+
+def compact_raw(lake: Lake) -> dict[str, int | None]:
+    """Periodic maintenance: fold landed raw batches into a merged base."""
+    return {table: incremental.compact(lake, "raw", table, keys) for table, keys in RAW_KEYS.items()}
 
 
 RAW_KEYS = {

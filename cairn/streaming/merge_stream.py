@@ -48,4 +48,6 @@ def merge_stream(
 
 def merged(lake: Lake, table: str, keys: Sequence[str]) -> DataFrame:
     """The merged state: one record per key, the latest by order columns."""
-    return ingest.keyed_merge(lake.read_table("raw", table), list(keys))
+    from cairn.plans.incremental import merge_on_read
+
+    return merge_on_read(lake, "raw", table, keys)

@@ -149,3 +149,19 @@ def test_athlete_stats_equal_totals_over_bronze(spark, two_runs):
     lake = two_runs["lake"]
     expected = ingest.athlete_totals(lake.read_table("bronze", "bronze_activity_records"), owner=F.col("athlete_id"))
     assert _same_rows(lake.read("raw", "raw_stats_for_athlete"), expected)
+
+
+def test_compaction_keeps_the_merged_view(spark, two_runs, tmp_path):
+    import shutil
+
+    from cairn.plans import incremental
+
+    src = two_runs["lake"].table_path("raw", "raw_activities")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    shutil.copytree(src, lake.table_path("raw", "raw_activities"))
+    keys = ["id"]
+    before = sorted(map(tuple, incremental.merge_on_read(lake, "raw", "raw_activities", keys).drop("start_latlng", "end_latlng").collect()))
+    assert incremental.compact(lake, "raw", "raw_activities", keys) == 2
+    assert incremental.compact(lake, "raw", "raw_activities", keys) is None  # nothing new to fold
+    after = sorted(map(tuple, incremental.merge_on_read(lake, "raw", "raw_activities", keys).drop("start_latlng", "end_latlng").collect()))
+    assert after == before
