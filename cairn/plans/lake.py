@@ -66,11 +66,9 @@ class Lake:
         return f"{self.table_path(layer, table)}/v={vs[-1]}"
 
     # -- writes -------------------------------------------------------------
-    def _write(self, df: DataFrame, path: str, partitions: int | None = None) -> int:
+    def _write(self, df: DataFrame, path: str) -> int:
         obs = Observation()
         observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        if partitions:
-            observed = observed.repartition(partitions)
         observed.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return int(obs.get["rows"])
 

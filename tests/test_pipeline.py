@@ -165,3 +165,16 @@ def test_compaction_keeps_the_merged_view(spark, two_runs, tmp_path):
     assert incremental.compact(lake, "raw", "raw_activities", keys) is None  # nothing new to fold
     after = sorted(map(tuple, incremental.merge_on_read(lake, "raw", "raw_activities", keys).drop("start_latlng", "end_latlng").collect()))
     assert after == before
+
+
+def test_publish_completeness_and_key_checks(spark, two_runs):
+    from cairn.operators import quality
+
+    listed = listing(spark)
+    assert quality.missing_tables(spark, listed, [f"{t}_table" for t in GOLD_TABLES]).count() == 0
+    missing = quality.missing_tables(spark, listed, ["no_such_table"]).collect()
+    assert [r.table_name for r in missing] == ["no_such_table"]
+    bronze = two_runs["lake"].read_table("bronze", "bronze_activities")
+    quality.assert_unique(bronze, "activity_id")
+    with pytest.raises(ValueError):
+        quality.assert_unique(bronze.unionByName(bronze.limit(1)), "activity_id")
