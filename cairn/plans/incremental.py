@@ -56,11 +56,14 @@ def refresh_periods(lake: Lake, table: str, fact: DataFrame, new_fact: DataFrame
     touched = F.lit(False)
     kept = F.lit(True)
     if bounds.lo is not None:
-        lo, hi = F.lit(bounds.lo).cast("timestamp_ntz"), F.lit(_period_end(unit, bounds.hi)).cast("timestamp_ntz")
+        # literals from ISO text: independent of the driver's local time zone
+        lo = F.lit(bounds.lo.isoformat(sep=" ")).cast("timestamp_ntz")
+        hi = F.lit(_period_end(unit, bounds.hi).isoformat(sep=" ")).cast("timestamp_ntz")
         touched = (ts >= lo) & (ts < hi)
         kept = (F.col(label) < lo) | (F.col(label) >= hi)
-    if bounds.has_null:
+    if bounds.has_null:  # the NULL period is recomputed, so never kept
         touched = touched | ts.isNull()
+        kept = kept & F.col(label).isNotNull()
     else:
         kept = kept | F.col(label).isNull()
     recomputed = gold.period_stats(fact.where(touched), table)
