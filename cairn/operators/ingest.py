@@ -28,11 +28,22 @@ def watermark_value(watermark: DataFrame) -> Column:
     return watermark.select("high_watermark").scalar()
 
 
-def incremental_filter(records: DataFrame, watermark: DataFrame, ts: Column) -> DataFrame:
+def incremental_filter(records: DataFrame, watermark, ts: Column) -> DataFrame:
     """Records strictly newer than the watermark, truncated to whole seconds
     (the API takes a unix second). With no watermark (empty history) the
-    predicate is NULL-safe: everything passes, i.e. a full load."""
-    wm = F.date_trunc("second", watermark_value(watermark)).cast("timestamp_ntz")
+    predicate is NULL-safe: everything passes, i.e. a full load.
+
+    ``watermark`` is the one-row ``high_watermark`` frame (a scalar subquery,
+    one plan) or an already-read value (``datetime`` or ``None``) when the
+    same filter is evaluated several times.
+    """
+    if isinstance(watermark, DataFrame):
+        mark = watermark_value(watermark)
+    elif watermark is None:
+        return records
+    else:  # from ISO text: independent of the driver's local time zone
+        mark = F.lit(watermark.isoformat(sep=" ")).cast("timestamp_ntz")
+    wm = F.date_trunc("second", mark).cast("timestamp_ntz")
     return records.where(wm.isNull() | (ts > wm))
 
 

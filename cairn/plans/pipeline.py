@@ -53,14 +53,15 @@ RAW_KEYS = {
 }
 
 
-def current_watermark(lake: Lake, batch_id: int | None = None) -> DataFrame | None:
-    """Newest start time already in gold (the batch being retried excluded)."""
+def current_watermark(lake: Lake, batch_id: int | None = None):
+    """Newest start time already in gold (the batch being retried excluded),
+    read once per run as a single value (``None`` on a first run)."""
     ids = [b for b in lake.batches("gold", "gold_activity_summary") if b != batch_id]
     if not ids:
         return None
     base = lake.table_path("gold", "gold_activity_summary")
     summary = lake.spark.read.option("basePath", base).parquet(*[f"{base}/batch={b}" for b in ids])
-    return ingest.high_watermark(summary)
+    return ingest.high_watermark(summary).first()[0]
 
 
 def run(
@@ -78,8 +79,7 @@ def run(
     # watermark + incremental read + gate
     landed = read_json_records(spark, activities_landing, RAW_ACTIVITY_LANDED)
     wm = current_watermark(lake, batch_id)
-    if wm is not None:
-        landed = ingest.incremental_filter(landed, wm, parse_ts_ntz(F.col("start_date")))
+    landed = ingest.incremental_filter(landed, wm, parse_ts_ntz(F.col("start_date")))
     if landed.isEmpty():
         log.info("No new data — pipeline complete")
         return counts

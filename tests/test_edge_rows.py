@@ -191,6 +191,10 @@ def test_incremental_filter_truncates_watermark_to_seconds(spark):
     assert [r.id for r in got.collect()] == [2]
     none = spark.createDataFrame([(None,)], "high_watermark timestamp_ntz")
     assert ingest.incremental_filter(raw, none, parse_ts_ntz(F.col("start_date"))).count() == 2
+    # the same filter from an already-read value
+    value = dt.datetime(2024, 1, 3, 6, 0, 0, 900000)
+    assert [r.id for r in ingest.incremental_filter(raw, value, parse_ts_ntz(F.col("start_date"))).collect()] == [2]
+    assert ingest.incremental_filter(raw, None, parse_ts_ntz(F.col("start_date"))).count() == 2
 
 
 def test_dim_activity_type_per_athlete(spark):
