@@ -22,8 +22,6 @@ from cairn.plans.lake import Lake
 from cairn.plans.publish import GOLD_TABLES, listing, publish
 from cairn.schemas import (
     BRONZE_ACTIVITIES,
-    COMMENT,
-    KUDO,
     MERGE_KEYS,
     ORDER_COLS,
     RAW_ACTIVITY,

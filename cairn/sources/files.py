@@ -39,8 +39,12 @@ def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
     With ``keys`` the spread hash-partitions on them, so later joins and
     keyed aggregations on the same key can reuse the partitioning.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as is
+        return df
+    if splits >= cores:
         return df
     return df.repartition(cores, *keys) if keys else df.repartition(cores)
 

@@ -20,7 +20,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.functions import case_map, dbl
 from cairn.schemas import RAW_ACTIVITY
 from cairn.sources.files import spread_small_scan
 

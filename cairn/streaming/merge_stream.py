@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from cairn.operators import ingest
 from cairn.plans.lake import Lake
 
 
