@@ -59,3 +59,23 @@ def test_silver_fact_single_source_has_no_join(spark):
 
     plan = _plan(Layers(fixtures.raw_activities(spark, SF_SMALL)).fact)
     assert "Join" not in plan
+
+
+def test_keyed_merge_reduces_hot_keys_before_the_shuffle(spark):
+    """A key holding a third of all rows is cut to one row per task map-side."""
+    from pyspark.sql import functions as F
+
+    from cairn.operators import ingest
+
+    n = 3000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("id"),
+        F.lit(1).cast("bigint").alias("batch_seq"),
+        F.col("id").alias("row_seq"),
+        (F.col("id") * 2).alias("v"),
+    ).repartition(8)
+    merged = ingest.keyed_merge(rows, ["id"])
+    plan = _plan(merged)
+    assert "partial_max_by" in plan
+    hot = merged.where("id = 0").first()
+    assert hot.row_seq == max(i for i in range(n) if i % 3 == 0) and hot.v == 2 * hot.row_seq
