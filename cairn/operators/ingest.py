@@ -128,15 +128,16 @@ def new_keys_only(
 
     An incremental batch is small and the history grows without bound, so
     the history must not be shuffled or broadcast on every run. When the
-    batch's distinct keys provably fit ``max_broadcast_keys`` (exact count,
-    stopped early), the history's key column is streamed once against a
-    broadcast of those keys (a map-side semi join, no shuffle of history);
-    what it finds is at most that many keys and is anti-joined to the batch.
+    batch's key rows provably number at most ``max_broadcast_keys`` (an
+    exact count that stops after that many rows, no shuffle), the history's
+    key column is streamed once against a broadcast of those keys (a
+    map-side semi join; duplicates on the build side are harmless); what it
+    finds is at most that many keys and is anti-joined to the batch.
     Larger batches take the ordinary shuffled anti join.
     """
     batch = batch.where(F.col(key).isNotNull())
     hist = history.select(key).where(F.col(key).isNotNull())
-    keys = batch.select(key).distinct()
+    keys = batch.select(key)
     if max_broadcast_keys > 0 and fits_in(keys, max_broadcast_keys):
         existing = hist.join(F.broadcast(keys), key, "left_semi")
         return batch.join(F.broadcast(existing), key, "left_anti")
