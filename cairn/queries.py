@@ -300,6 +300,18 @@ def stream_merge(spark, sf_dir):
     return flatten_raw(merged(lake, "raw_activities", MERGE_KEYS["activities"]))
 
 
+def _pinned(fn: Query) -> Query:
+    """Pin the session semantics the results depend on (UTC, ANSI) before
+    the plan is built, whatever session the caller passes in."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_semantics(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = getattr(fn, "__name__", "query")
+    return run
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "scan_json_raw": scan_json_raw,
@@ -345,4 +357,4 @@ def registry() -> dict[str, Query]:
             "stream_merge": stream_merge,
         }
     )
-    return q
+    return {name: _pinned(fn) for name, fn in q.items()}

@@ -38,3 +38,14 @@ def test_catalog_listing_rows(spark):
         ]
     )
     assert {r.table_schema for r in rows} == {"gold"}
+
+
+def test_results_do_not_depend_on_the_callers_time_zone(spark, duck_small):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        for name in ("dim_date", "gold_weekly_stats", "trips_busiest_hours"):
+            spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+            problems, _ = compare(QUERIES[name](spark, SF_SMALL), duck_small, ORACLE[name])
+            assert not problems, (name, problems)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
