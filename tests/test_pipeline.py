@@ -178,3 +178,30 @@ def test_publish_completeness_and_key_checks(spark, two_runs):
     quality.assert_unique(bronze, "activity_id")
     with pytest.raises(ValueError):
         quality.assert_unique(bronze.unionByName(bronze.limit(1)), "activity_id")
+
+
+def test_run_failing_midway_then_retried_is_exact(spark, two_runs, tmp_path, monkeypatch):
+    from cairn.plans import incremental, medallion
+
+    lake = Lake(spark, str(tmp_path / "lake"))
+    paths, athletes = two_runs["paths"], two_runs["athletes"]
+    pipeline.run(spark, lake, paths[0], athletes, batch_id=1, do_publish=False)
+
+    def lost(*args, **kwargs):
+        raise RuntimeError("driver lost after silver and rollups were written")
+
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "refresh_top_paces", lost)
+        with pytest.raises(RuntimeError):
+            pipeline.run(spark, lake, paths[1], athletes, batch_id=2, do_publish=False)
+    pipeline.run(spark, lake, paths[1], athletes, batch_id=2, do_publish=False)
+
+    records = lake.read_table("bronze", "bronze_activity_records")
+    assert records.count() == fixtures.read_table(spark, SF_SMALL, "orders").count()
+    fact = medallion.silver_tables_from_records(records)["silver_activity_fact"]
+    expected = dict(medallion.gold_tables(fact))
+    expected.update(
+        medallion.star_tables(fact, lake.read_table("bronze", "bronze_activities"), lake.read("raw", "raw_athlete"))
+    )
+    for name, df in expected.items():
+        assert _same_rows(lake.read_table("gold", name), df), name
