@@ -77,3 +77,28 @@ def test_case_map_null_takes_default(spark):
     df = spark.createDataFrame([("Run",), ("Kayak",), (None,)], "s string")
     got = [r[0] for r in df.select(case_map(F.col("s"), [("Run", "Cardio")], "Other")).collect()]
     assert got == ["Cardio", "Other", "Other"]
+
+
+def test_round_matches_duckdb_on_random_values(spark):
+    """Property check over many values (exact halves included)."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from cairn.functions import round_half_away_sql
+
+    con = duckdb.connect()
+    finite = st.floats(min_value=-1e9, max_value=1e9, allow_nan=False, allow_infinity=False)
+    halves = st.integers(-10**7, 10**7).map(lambda i: i / 200.0)  # many x.xx5 values
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.one_of(finite, halves), min_size=50, max_size=200), st.integers(0, 3))
+    def check(values, digits):
+        expected = [r[0] for r in con.execute(
+            f"SELECT ROUND(v, {digits}) FROM (SELECT UNNEST(?::DOUBLE[]) AS v, generate_subscripts(?::DOUBLE[], 1) AS i) ORDER BY i",
+            [values, values],
+        ).fetchall()]
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+        got = [r[0] for r in df.orderBy("i").selectExpr(round_half_away_sql("x", digits)).collect()]
+        assert got == expected
+
+    check()
