@@ -15,6 +15,8 @@ exactly once, and the watermark ignores the batch being retried.
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,19 @@ RECORDS = "bronze_activity_records"
 APPENDED_GOLD = ("gold_activity_summary", "gold_training_load")
 
 
+# Independent writes of one stage are submitted as concurrent Spark jobs from
+# driver threads: each is small next to the cluster, and a stage waits for the
+# slowest one instead of the sum of all.
+WRITE_THREADS = 4
+
+
+def _concurrently(writes: dict[str, Callable[[], tuple[str, int]]]) -> dict[str, int]:
+    """Run independent writes as concurrent jobs; rows written per table."""
+    with ThreadPoolExecutor(max_workers=WRITE_THREADS) as pool:
+        futures = {name: pool.submit(fn) for name, fn in writes.items()}
+        return {name: fut.result()[1] for name, fut in futures.items()}
+
+
 def raw_view(lake: Lake, table: str) -> DataFrame:
     """The merged raw table (merge-on-read): last write wins per key over the
     compacted base and the landed batches after it, by their order columns."""
@@ -87,11 +102,17 @@ def run(
     # raw: the landed batch and the child fetches are appended with their
     # order columns; the keyed last-write-wins merge happens on read
     # (``raw_view``), so a run writes O(batch), never the whole raw history
-    _, counts["raw_activities"] = lake.append_batch(landed, "raw", "raw_activities", batch_id)
     fetches = child_fetches(ingest.child_worklist(landed))
-    _, counts["raw_comments"] = lake.append_batch(ingest.stamp_comments(fetches), "raw", "raw_comments", batch_id)
-    _, counts["raw_kudos"] = lake.append_batch(ingest.stamp_kudos(fetches), "raw", "raw_kudos", batch_id)
-    _, counts["raw_athlete"] = lake.write_version(athletes, "raw", "raw_athlete")
+    counts.update(
+        _concurrently(
+            {
+                "raw_activities": lambda: lake.append_batch(landed, "raw", "raw_activities", batch_id),
+                "raw_comments": lambda: lake.append_batch(ingest.stamp_comments(fetches), "raw", "raw_comments", batch_id),
+                "raw_kudos": lambda: lake.append_batch(ingest.stamp_kudos(fetches), "raw", "raw_kudos", batch_id),
+                "raw_athlete": lambda: lake.write_version(athletes, "raw", "raw_athlete"),
+            }
+        )
+    )
 
     # bronze: only keys not yet in history are appended (history is never
     # rewritten). The published bronze tables and one wide keyed record table
@@ -105,8 +126,14 @@ def run(
     # written batch (the dedup and anti join are not recomputed per table)
     path, counts[RECORDS] = lake.append_batch(bronze.records(new_raw), "bronze", RECORDS, batch_id)
     new_records = spark.read.parquet(path)
-    for name in bronze.TABLE_COLUMNS:
-        _, counts[name] = lake.append_batch(bronze.project(new_records, name), "bronze", name, batch_id)
+    counts.update(
+        _concurrently(
+            {
+                name: (lambda n=name: lake.append_batch(bronze.project(new_records, n), "bronze", n, batch_id))
+                for name in bronze.TABLE_COLUMNS
+            }
+        )
+    )
     bronze_activities = lake.read_table("bronze", "bronze_activities")
 
     # athlete stats: previous totals + this batch's new activities. The
@@ -122,8 +149,14 @@ def run(
     quality.validate_counts(quality.layer_counts([("raw_activities", batch, "bronze_activities", bronze_activities)]))
 
     # silver: per-key projections of the new records (no join, no shuffle), appended
-    for name, df in medallion.silver_tables_from_records(new_records).items():
-        _, counts[name] = lake.append_batch(df, "silver", name, batch_id)
+    counts.update(
+        _concurrently(
+            {
+                name: (lambda n=name, d=df: lake.append_batch(d, "silver", n, batch_id))
+                for name, df in medallion.silver_tables_from_records(new_records).items()
+            }
+        )
+    )
     new_fact = spark.read.parquet(f"{lake.table_path('silver', 'silver_activity_fact')}/batch={batch_id}")
     fact = lake.read_table("silver", "silver_activity_fact")
     quality.validate_counts(
@@ -131,25 +164,35 @@ def run(
     )
 
     # gold: per-row tables appended; rollups, top-k and dimensions merged exactly
-    for name in APPENDED_GOLD:
-        _, counts[name] = lake.append_batch(medallion.gold_tables_for(new_fact, [name])[name], "gold", name, batch_id)
-    for name in gold.PERIODS:
-        _, counts[name] = lake.write_version(incremental.refresh_periods(lake, name, fact, new_fact), "gold", name)
-    _, counts["gold_pb_efforts"] = lake.write_version(incremental.refresh_top_paces(lake, new_fact), "gold", "gold_pb_efforts")
-
     new_bronze = bronze.project(new_records, "bronze_activities")
-    star = {
-        "dim_date": incremental.refresh_distinct(lake, "dim_date", dims.date_dim(new_fact)),
-        "dim_activity_type": incremental.refresh_distinct(
-            lake, "dim_activity_type", dims.activity_type_dim(new_fact, new_bronze)
-        ),
-        "dim_athlete": incremental.refresh_athletes(lake, new_fact, new_bronze, lake.read("raw", "raw_athlete")),
+    writes: dict[str, Callable[[], tuple[str, int]]] = {
+        name: (lambda n=name: lake.append_batch(medallion.gold_tables_for(new_fact, [n])[n], "gold", n, batch_id))
+        for name in APPENDED_GOLD
     }
-    for name, df in star.items():
-        _, counts[name] = lake.write_version(df, "gold", name)
-    _, counts["fact_activities"] = lake.append_batch(
+    writes.update(
+        {
+            name: (lambda n=name: lake.write_version(incremental.refresh_periods(lake, n, fact, new_fact), "gold", n))
+            for name in gold.PERIODS
+        }
+    )
+    writes["gold_pb_efforts"] = lambda: lake.write_version(
+        incremental.refresh_top_paces(lake, new_fact), "gold", "gold_pb_efforts"
+    )
+    writes["dim_date"] = lambda: lake.write_version(
+        incremental.refresh_distinct(lake, "dim_date", dims.date_dim(new_fact)), "gold", "dim_date"
+    )
+    writes["dim_activity_type"] = lambda: lake.write_version(
+        incremental.refresh_distinct(lake, "dim_activity_type", dims.activity_type_dim(new_fact, new_bronze)),
+        "gold",
+        "dim_activity_type",
+    )
+    writes["dim_athlete"] = lambda: lake.write_version(
+        incremental.refresh_athletes(lake, new_fact, new_bronze, lake.read("raw", "raw_athlete")), "gold", "dim_athlete"
+    )
+    writes["fact_activities"] = lambda: lake.append_batch(
         dims.activity_fact(new_fact, new_bronze), "gold", "fact_activities", batch_id
     )
+    counts.update(_concurrently(writes))
 
     if do_publish:
         publish(spark, lake)
