@@ -144,13 +144,6 @@ def new_keys_only(
     return batch.join(hist, key, "left_anti")
 
 
-def dedup_batch(batch: DataFrame, key: str = BRONZE_KEY) -> DataFrame:
-    """One row per key inside a landed batch (last by order columns)."""
-    if all(c in batch.columns for c in ORDER_COLS):
-        return keyed_merge(batch, [key]).drop(*ORDER_COLS)
-    return batch.dropDuplicates([key])
-
-
 def pk_violations(table: DataFrame, key: str = BRONZE_KEY) -> DataFrame:
     """Keys that occur more than once (Spark enforces no primary key)."""
     return (

@@ -83,26 +83,6 @@ class Layers:
         return self._get(name, lambda: star_table(name, self.fact, self.bronze("bronze_activities"), self.athletes))
 
 
-def bronze_tables(raw: DataFrame) -> dict[str, DataFrame]:
-    out = {"bronze_activities": bronze.activities(raw)}
-    out.update({name: fn(raw) for name, fn in bronze.SIDE_TABLES.items()})
-    return out
-
-
-def silver_tables(b: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All silver tables from separately stored bronze tables (join form)."""
-    out = {
-        "silver_activities": silver.activities(b["bronze_activities"], b["bronze_metrics"]),
-        "silver_heartrate": silver.heartrate(b["bronze_heartrate"]),
-        "silver_engagement": silver.engagement(b["bronze_engagement"]),
-        "silver_location": silver.location(b["bronze_location"]),
-    }
-    out["silver_activity_fact"] = silver.activity_fact(
-        out["silver_activities"], out["silver_heartrate"], out["silver_engagement"], out["silver_location"]
-    )
-    return out
-
-
 _GOLD = {
     "gold_activity_summary": gold.activity_summary,
     "gold_weekly_stats": gold.weekly_stats,
@@ -146,7 +126,3 @@ def star_table(name: str, fact: DataFrame, bronze_activities: DataFrame, athlete
 
 def star_tables(fact: DataFrame, bronze_activities: DataFrame, athletes: DataFrame) -> dict[str, DataFrame]:
     return {name: star_table(name, fact, bronze_activities, athletes) for name in STAR_NAMES}
-
-
-def silver_fact_from_raw(raw: DataFrame) -> DataFrame:
-    return Layers(raw).fact

@@ -21,10 +21,3 @@ def write_activity_batches(spark: SparkSession, sf_dir: str, root: str) -> list[
     for seq in (1, 2):
         paths.append(write_ndjson(landed.where(F.col("batch_seq") == F.lit(seq)), f"{root}/activities/fetch={seq}"))
     return paths
-
-
-def write_single_object(df: DataFrame, path: str) -> str:
-    """A one-record landing (athlete profile, stats) as one JSON object per
-    file, read back with ``multiLine``."""
-    df.write.mode("overwrite").json(path)
-    return path
