@@ -9,16 +9,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, packing
 from .common import prepare, table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = {
+        "op1_packing": op1_packing,
         "op9_bpe": op9_bpe,
     }
 
