@@ -9,14 +9,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing
-from .common import prepare, table
+from . import bpe, oracle, packing, urlfilter, warc
+from .common import prepare, scratch, table
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.archive_pages(table(spark, sf_dir, "pages"), path, min_bytes=0)
+    return warc.archived_pages(spark, path)
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.rule_frame(spark))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -24,6 +34,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = {
         "op1_packing": op1_packing,
+        "op2_warc": op2_warc,
+        "op4_url_filters": op4_url_filters,
         "op9_bpe": op9_bpe,
     }
 
@@ -38,4 +50,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc": oracle.WARC, "op4_url_filters": oracle.URLS}
