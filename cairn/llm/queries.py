@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, oracle, packing, urlfilter, warc
+from . import bpe, oracle, packing, topk, urlfilter, warc
 from .common import prepare, scratch, table
 
 
@@ -27,6 +27,10 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.rule_frame(spark))
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda key: key % 20 == 0, k=20)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_warc": op2_warc,
         "op4_url_filters": op4_url_filters,
+        "op7_topk": op7_topk,
         "op9_bpe": op9_bpe,
     }
 
@@ -50,4 +55,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": oracle.WARC, "op4_url_filters": oracle.URLS}
+    return {"op2_warc": oracle.WARC, "op4_url_filters": oracle.URLS, "op7_topk": oracle.TOPK}
