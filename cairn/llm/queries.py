@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, oracle, packing, topk, urlfilter, warc
+from . import bpe, oracle, packing, quality, topk, urlfilter, warc
 from .common import prepare, scratch, table
 
 
@@ -27,6 +27,12 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.rule_frame(spark))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judge(docs, model)
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda key: key % 20 == 0, k=20)
 
@@ -40,6 +46,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_warc": op2_warc,
         "op4_url_filters": op4_url_filters,
+        "op6_quality_rules": op6_quality_rules,
         "op7_topk": op7_topk,
         "op9_bpe": op9_bpe,
     }
