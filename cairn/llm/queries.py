@@ -8,9 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, oracle, packing, quality, topk, urlfilter, warc
-from .common import prepare, scratch, table
+from . import bpe, oracle, packing, quality, rule_ensemble, topk, urlfilter, warc
+from .common import fold, prepare, scratch, table
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,14 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(spark, path)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = lambda key: fold(key, 4) == 2
+    ensemble = rule_ensemble.fit(docs, table(spark, sf_dir, "labels"), held_out=held_out)
+    scored = rule_ensemble.score(docs, ensemble, threshold=0.7)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.rule_frame(spark))
 
@@ -45,6 +54,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = {
         "op1_packing": op1_packing,
         "op2_warc": op2_warc,
+        "op3_quality_classifier": op3_quality_classifier,
         "op4_url_filters": op4_url_filters,
         "op6_quality_rules": op6_quality_rules,
         "op7_topk": op7_topk,
