@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, oracle, packing, quality, rule_ensemble, topk, urlfilter, warc
+from . import bpe, oracle, packing, quality, rule_ensemble, topk, toxicity, urlfilter, warc
 from .common import fold, prepare, scratch, table
 
 
@@ -50,6 +50,14 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = lambda key: fold(key, 5) == 0
+    net = toxicity.fit(docs, table(spark, sf_dir, "labels"), held_out=held_out)
+    scored = toxicity.score(docs, net, threshold=0.5)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = {
         "op1_packing": op1_packing,
@@ -59,6 +67,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_rules": op6_quality_rules,
         "op7_topk": op7_topk,
         "op9_bpe": op9_bpe,
+        "op10_toxicity": op10_toxicity,
     }
 
     def prepared(fn):
