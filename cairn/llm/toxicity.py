@@ -373,16 +373,15 @@ class Scorer:
         return [empty if v is None else float(self.net.probability(v)) for v in self.logits(texts)]
 
 
-_SCORERS: dict[int, Scorer] = {}
+_SCORERS: list[Scorer] = []
 
 
 def batch_scores(batch: pa.RecordBatch, shared) -> list[float]:
     if shared.value is None:
         return [0.0] * batch.num_rows
-    if shared._bid not in _SCORERS:  # one a worker, so words met stay known
-        _SCORERS.clear()
-        _SCORERS[shared._bid] = Scorer(shared.value)
-    return _SCORERS[shared._bid].scores(column(batch, "text"))
+    if not _SCORERS or _SCORERS[0].net is not shared.value:
+        _SCORERS[:] = [Scorer(shared.value)]  # one a worker, so words met stay known
+    return _SCORERS[0].scores(column(batch, "text"))
 
 
 def score(docs: DataFrame, net: Network | None, threshold: float = THRESHOLD) -> DataFrame:
