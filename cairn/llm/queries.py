@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, oracle, packing, quality, rule_ensemble, topk, toxicity, urlfilter, warc
+from . import bpe, oracle, packing, pathjoin, quality, rule_ensemble, topk, toxicity, urlfilter, warc
 from .common import fold, prepare, scratch, table
 
 
@@ -36,6 +36,10 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.rule_frame(spark))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pathjoin.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -64,6 +68,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_warc": op2_warc,
         "op3_quality_classifier": op3_quality_classifier,
         "op4_url_filters": op4_url_filters,
+        "op5_ngram_jaccard": op5_ngram_jaccard,
         "op6_quality_rules": op6_quality_rules,
         "op7_topk": op7_topk,
         "op9_bpe": op9_bpe,
