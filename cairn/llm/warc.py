@@ -383,14 +383,12 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def base32_of_hex(column):
-    """Upper-case base32 of 40 hex digits (20 bytes: no padding)."""
+    """Upper-case base32 of 40 hex digits (20 bytes: no padding): each ten hex
+    digits are eight digits of base 32."""
+    digits = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-    fives = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.conv(F.substring(column, i * 5 + 1, F.lit(5)), 16, 10).cast("int"))
-    letters = F.transform(
-        F.sequence(F.lit(0), F.lit(31)),
-        lambda j: F.substring(F.lit(alphabet), F.call_function("shiftright", fives[(j / 4).cast("int")], (15 - 5 * (j % 4)).cast("int")).bitwiseAND(31) + 1, F.lit(1)),
-    )
-    return F.array_join(letters, "")
+    eights = [F.lpad(F.conv(F.substring(column, k, 10), 16, 32), 8, "0") for k in (1, 11, 21, 31)]
+    return F.translate(F.concat(*eights), digits, alphabet)
 
 
 def page_urn(column):
