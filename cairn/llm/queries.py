@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, oracle, packing, pathjoin, quality, rule_ensemble, topk, toxicity, urlfilter, warc
+from . import bpe, chat, oracle, packing, pathjoin, quality, rule_ensemble, topk, toxicity, urlfilter, warc
 from .common import fold, prepare, scratch, table
 
 
@@ -50,6 +50,10 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda key: key % 20 == 0, k=20)
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(*chat.asked_and_answered(table(spark, sf_dir, "conversations"))).drop("errors")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_ngram_jaccard": op5_ngram_jaccard,
         "op6_quality_rules": op6_quality_rules,
         "op7_topk": op7_topk,
+        "op8_chat_format": op8_chat_format,
         "op9_bpe": op9_bpe,
         "op10_toxicity": op10_toxicity,
     }
