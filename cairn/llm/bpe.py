@@ -68,7 +68,10 @@ class Pieces(dict):
 
 
 class ForcedCutBPE:
-    def __init__(self, spec: str):
+    """``by_library``: single fragments are merged by an installed library where
+    the vocabulary's ids are in merge order (callers that only need the ids)."""
+
+    def __init__(self, spec: str, by_library: bool = False):
         j = json.loads(spec)
         letters = byte_letters()
         vocab, merges = j["model"]["vocab"], j["model"]["merges"]
@@ -107,6 +110,13 @@ class ForcedCutBPE:
             i: next((of_bytes[token[:k]] for k in range(len(token) - 1, 0, -1) if token[:k] in of_bytes), -1)
             for token, i in of_bytes.items()
         }
+        made = [i for _, i in self.merge.values()]
+        self.merged_by = None
+        if by_library and made == sorted(made) and all(i < made[0] for i in self.first):
+            import tiktoken
+
+            ranks = {token: i for token, i in of_bytes.items() if len(token) == 1 or i >= made[0]}
+            self.merged_by = tiktoken.Encoding("fragments", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
         self.pair_fits = Pieces(self._pair, 400_000)
         self.token_ids = Pieces(lambda t: self._pretoken(_raw(t)), 100_000)
         self.word_ids = Pieces(self._word, 400_000)
@@ -116,6 +126,8 @@ class ForcedCutBPE:
         """Ids of one fragment. Ids are the encoding exactly if each
         neighbouring pair encodes to itself; so take the longest token that
         fits behind the last one, and step back where none does."""
+        if self.merged_by is not None:
+            return array("I", self.merged_by(piece)).tobytes()
         n, fits, root, shorter = len(piece), self.pair_fits, self.trie, self.shorter
         if n > 4096:  # a run of one script or symbol; stepping is quadratic there at worst
             return array("I", self._merged(piece)).tobytes()
@@ -222,15 +234,15 @@ class ForcedCutBPE:
         return b"".join(map(self.bytes_of.__getitem__, array("I", ids))).decode("utf-8", "replace")
 
 
-_MADE: dict[int, ForcedCutBPE] = {}
+_MADE: dict[tuple[int, bool], ForcedCutBPE] = {}
 
 
-def coder(spec: str) -> ForcedCutBPE:
+def coder(spec: str, by_library: bool = False) -> ForcedCutBPE:
     """One coder per Python worker and vocabulary."""
-    key = zlib.crc32(spec.encode())
+    key = zlib.crc32(spec.encode()), by_library
     if key not in _MADE:
         _MADE.clear()
-        _MADE[key] = ForcedCutBPE(spec)
+        _MADE[key] = ForcedCutBPE(spec, by_library)
     return _MADE[key]
 
 

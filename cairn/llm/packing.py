@@ -69,7 +69,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = N
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches):
-        bpe = coder(spec.value)
+        bpe = coder(spec.value, by_library=True)
         for batch in batches:
             out = {name: [] for name in names}
             for doc_id, text in zip(column(batch, "doc_id"), column(batch, "text")):
