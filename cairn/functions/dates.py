@@ -56,8 +56,3 @@ def parse_ts_ntz(col: ColumnOrName) -> Column:
     Malformed text raises under ANSI mode, as the reference's cast does.
     """
     return _c(col).cast("timestamp_ntz")
-
-
-def iso_text(col: ColumnOrName) -> Column:
-    """Timestamp -> the API's text form ``2024-01-31T06:05:00Z``."""
-    return F.date_format(_c(col), "yyyy-MM-dd'T'HH:mm:ss'Z'")

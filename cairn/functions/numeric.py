@@ -6,48 +6,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def dbl(value: float) -> Column:
-    """A DOUBLE literal. A bare ``60.0`` in Spark SQL is a DECIMAL, which
-    changes both the result type and the digits of a division."""
-    return F.lit(float(value))
-
-
-def round_half_away(col: Column, digits: int = 0) -> Column:
-    """``ROUND(x, n)`` as the reference engine computes it on doubles.
+def round_half_away_sql(expr: str, digits: int = 0) -> str:
+    """``ROUND(x, n)`` as the reference engine computes it on doubles, as SQL.
 
     The reference scales by 10^n, rounds half away from zero on the scaled
     double and scales back; Spark's ``round`` rounds the decimal text of the
     double instead (1.005 -> 1.01 there, 1.0 here). The fractional part of
     the scaled value is exact in floating point, so the half test is exact.
+    From 2^53 on a double has no fraction (and infinity and NaN none at all):
+    such values come back unchanged.
     """
-    scale = float(10**digits)
-    scaled = col * F.lit(scale)
-    mag = F.abs(scaled)
-    whole = F.floor(mag).cast("double")
-    rounded = F.when(mag - whole >= F.lit(0.5), whole + F.lit(1.0)).otherwise(whole)
-    return F.when(col.isNull(), F.lit(None).cast("double")).otherwise(
-        F.signum(scaled) * rounded / F.lit(scale)
-    )
-
-
-def round_half_away_sql(expr: str, digits: int = 0) -> str:
-    """SQL text of ``round_half_away`` (same arithmetic), for ``selectExpr``."""
     scale = f"{float(10**digits)}D"
     v = f"(({expr}) * {scale})"
     mag = f"abs({v})"
+    whole = f"CAST(floor({mag}) AS DOUBLE)"
     return (
-        f"CASE WHEN ({expr}) IS NULL THEN CAST(NULL AS DOUBLE) ELSE signum({v}) * "
-        f"(CASE WHEN {mag} - CAST(floor({mag}) AS DOUBLE) >= 0.5D THEN CAST(floor({mag}) AS DOUBLE) + 1.0D "
-        f"ELSE CAST(floor({mag}) AS DOUBLE) END) / {scale} END"
+        f"CASE WHEN ({expr}) IS NULL THEN CAST(NULL AS DOUBLE) "
+        f"WHEN NOT ({mag} < 9007199254740992D) THEN CAST(({expr}) AS DOUBLE) "
+        f"ELSE signum({v}) * (CASE WHEN {mag} - {whole} >= 0.5D THEN {whole} + 1.0D ELSE {whole} END) / {scale} END"
     )
 
 
 def null_if_zero(col: Column) -> Column:
     """``NULLIF(x, 0)``: the divide guard; a bare ``/ 0`` raises under ANSI."""
     return F.nullif(col, F.lit(0))
-
-
-def guarded_ratio(num: Column, den: Column) -> Column:
-    """``CASE WHEN den > 0 THEN num / den END`` (NULL for zero/negative/NULL)."""
-    return F.when(den > F.lit(0), num / den)
-

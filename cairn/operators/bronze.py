@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cairn.schemas import BRONZE_ACTIVITIES
 
-# Columns of each published bronze table, as named in the records.
+# Columns of each published bronze table, as named in the records.
 TABLE_COLUMNS = {
     "bronze_activities": BRONZE_ACTIVITIES.names,
     "bronze_heartrate": [
@@ -76,10 +76,3 @@ def project(recs: DataFrame, name: str) -> DataFrame:
 def activities(raw: DataFrame) -> DataFrame:
     """raw activity records -> ``bronze_activities`` (23 typed columns)."""
     return project(records(raw), "bronze_activities")
-
-
-def _side(name: str):
-    return lambda raw: project(records(raw), name)
-
-
-SIDE_TABLES = {name: _side(name) for name in TABLE_COLUMNS if name != "bronze_activities"}

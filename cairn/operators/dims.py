@@ -47,17 +47,24 @@ def date_dim(fact: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _with_owner(fact: DataFrame, bronze_activities: DataFrame) -> DataFrame:
-    """LEFT join back to bronze for the owner id (unique key on both sides)."""
+def _with_owner(fact: DataFrame, bronze_activities: DataFrame | None) -> DataFrame:
+    """The fact with its owner id: carried along where the fact holds it, else a
+    LEFT join back to bronze (unique key on both sides)."""
+    if "athlete_id" in fact.columns:
+        return fact
     owners = bronze_activities.select("activity_id", "athlete_id")
     return fact.join(owners, "activity_id", "left")
 
 
-def activity_type_dim(fact: DataFrame, bronze_activities: DataFrame) -> DataFrame:
+def _narrow(fact: DataFrame, *cols: str) -> DataFrame:
+    return fact.select(*cols, *(["athlete_id"] if "athlete_id" in fact.columns else []))
+
+
+def activity_type_dim(fact: DataFrame, bronze_activities: DataFrame | None) -> DataFrame:
     """Distinct (athlete, sport type): the type id is unique per athlete only."""
     sport = F.col("sport_type")
     return (
-        _with_owner(fact.where(sport.isNotNull()).select("activity_id", "sport_type"), bronze_activities)
+        _with_owner(_narrow(fact.where(sport.isNotNull()), "activity_id", "sport_type"), bronze_activities)
         .select(
             "athlete_id",
             sport.alias("activity_type_id"),
@@ -68,19 +75,21 @@ def activity_type_dim(fact: DataFrame, bronze_activities: DataFrame) -> DataFram
     )
 
 
-def owner_ids(fact: DataFrame, bronze_activities: DataFrame) -> DataFrame:
+def owner_ids(fact: DataFrame, bronze_activities: DataFrame | None) -> DataFrame:
     """Distinct owners of the fact's activities (partial aggregation first)."""
-    return _with_owner(fact.select("activity_id"), bronze_activities).select("athlete_id").distinct()
+    return _with_owner(_narrow(fact, "activity_id"), bronze_activities).select("athlete_id").distinct()
 
 
 def name_owners(owners: DataFrame, athletes: DataFrame) -> DataFrame:
-    names = athletes.select(
-        F.col("id").alias("athlete_id"), F.concat_ws(" ", "firstname", "lastname").alias("athlete_name")
-    )
+    """Display names. An athlete with several records has one name (the greatest
+    first and last name, NULLs least); two missing names give NULL."""
+    parts = F.struct("firstname", "lastname")
+    one = athletes.groupBy(F.col("id").alias("athlete_id")).agg(F.max(parts).alias("n"))
+    names = one.select("athlete_id", F.nullif(F.concat_ws(" ", "n.firstname", "n.lastname"), F.lit("")).alias("athlete_name"))
     return owners.join(names, "athlete_id", "left").select("athlete_id", "athlete_name")
 
 
-def athlete_dim(fact: DataFrame, bronze_activities: DataFrame, athletes: DataFrame) -> DataFrame:
+def athlete_dim(fact: DataFrame, bronze_activities: DataFrame | None, athletes: DataFrame) -> DataFrame:
     """Distinct owners with a display name.
 
     The reference writes one hard-coded name; here the name comes from the
@@ -96,6 +105,7 @@ def hr_zone_sql(avg_hr: str) -> str:
     return f"CASE {whens} ELSE '{TOP_ZONE}' END"
 
 
+# Fact columns carried through unchanged.
 FACT_PASSTHROUGH = (
     "distance_km",
     "moving_time_min",
@@ -115,7 +125,7 @@ FACT_PASSTHROUGH = (
 )
 
 
-def activity_fact(fact: DataFrame, bronze_activities: DataFrame) -> DataFrame:
+def activity_fact(fact: DataFrame, bronze_activities: DataFrame | None) -> DataFrame:
     a = fact.where(F.col("activity_id").isNotNull())
     return _with_owner(a, bronze_activities).selectExpr(
         "activity_id",

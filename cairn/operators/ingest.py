@@ -30,8 +30,9 @@ def watermark_value(watermark: DataFrame) -> Column:
 
 def incremental_filter(records: DataFrame, watermark, ts: Column) -> DataFrame:
     """Records strictly newer than the watermark, truncated to whole seconds
-    (the API takes a unix second). With no watermark (empty history) the
-    predicate is NULL-safe: everything passes, i.e. a full load.
+    (the API takes a unix second). With no watermark (empty history)
+    everything passes, i.e. a full load. A record without a time may be new, so
+    it passes too; the key difference decides on it.
 
     ``watermark`` is the one-row ``high_watermark`` frame (a scalar subquery,
     one plan) or an already-read value (``datetime`` or ``None``) when the
@@ -44,7 +45,7 @@ def incremental_filter(records: DataFrame, watermark, ts: Column) -> DataFrame:
     else:  # from ISO text: independent of the driver's local time zone
         mark = F.lit(watermark.isoformat(sep=" ")).cast("timestamp_ntz")
     wm = F.date_trunc("second", mark).cast("timestamp_ntz")
-    return records.where(wm.isNull() | (ts > wm))
+    return records.where(wm.isNull() | ts.isNull() | (ts > wm))
 
 
 def child_worklist(parents: DataFrame) -> DataFrame:
@@ -62,6 +63,13 @@ def child_worklist(parents: DataFrame) -> DataFrame:
     )
 
 
+def landed_comments(records: DataFrame) -> DataFrame:
+    """Landed comments, each with its parent's key, flat."""
+    return records.selectExpr(
+        "id", "activity_id", "text", "created_at", "athlete.firstname AS firstname", "athlete.lastname AS lastname", *ORDER_COLS
+    )
+
+
 def stamp_comments(fetches: DataFrame) -> DataFrame:
     """Explode per-parent comment arrays and stamp the parent key on each.
     ``row_seq`` is the record's position in the fetch (parent, index)."""
@@ -107,40 +115,17 @@ def keyed_merge(records: DataFrame, keys: Sequence[str], order: Sequence[str] =
     ).select(*records.columns)
 
 
-# Largest key set the incremental anti join broadcasts (8-byte keys: ~16 MB
-# as a hashed relation). Above it the shuffled anti join is used.
-BROADCAST_KEY_LIMIT = 2_000_000
-
-
-def fits_in(df: DataFrame, max_rows: int) -> bool:
-    """Exact, early-stopping size proof: at most ``max_rows`` rows?"""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def new_keys_only(
-    batch: DataFrame, history: DataFrame, key: str = BRONZE_KEY, max_broadcast_keys: int = BROADCAST_KEY_LIMIT
-) -> DataFrame:
+def new_keys_only(batch: DataFrame, history: DataFrame, key: str = BRONZE_KEY) -> DataFrame:
     """``WHERE key NOT IN (SELECT key FROM history)`` without the NULL trap.
 
     SQL ``NOT IN`` returns nothing once the history holds a NULL key and plans
     as a null-aware anti join that must broadcast the whole history. NULL keys
-    are dropped on both sides instead.
-
-    An incremental batch is small and the history grows without bound, so
-    the history must not be shuffled or broadcast on every run. When the
-    batch's key rows provably number at most ``max_broadcast_keys`` (an
-    exact count that stops after that many rows, no shuffle), the history's
-    key column is streamed once against a broadcast of those keys (a
-    map-side semi join; duplicates on the build side are harmless); what it
-    finds is at most that many keys and is anti-joined to the batch.
-    Larger batches take the ordinary shuffled anti join.
+    are dropped on both sides instead, and the rest is one shuffled anti join on
+    the history's key column; adaptive execution broadcasts a side only after
+    its shuffle has measured it, and splits a skewed key.
     """
     batch = batch.where(F.col(key).isNotNull())
     hist = history.select(key).where(F.col(key).isNotNull())
-    keys = batch.select(key)
-    if max_broadcast_keys > 0 and fits_in(keys, max_broadcast_keys):
-        existing = hist.join(F.broadcast(keys), key, "left_semi")
-        return batch.join(F.broadcast(existing), key, "left_anti")
     return batch.join(hist, key, "left_anti")
 
 

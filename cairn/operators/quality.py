@@ -32,13 +32,16 @@ def layer_counts(pairs: Sequence[tuple[str, DataFrame, str, DataFrame]]) -> Data
     return reduce(DataFrame.unionByName, rows)
 
 
-def validate_counts(counts: DataFrame) -> list[tuple[str, str, int, int]]:
-    """Log each hop and raise if any target is empty (stops the pipeline)."""
+def validate_counts(counts: DataFrame, equal: bool = False) -> list[tuple[str, str, int, int]]:
+    """Log each hop and raise if a target is empty, or, with ``equal``, if it
+    doesn't have as many rows as its source (stops the pipeline)."""
     result = [(r.source, r.target, r.source_rows, r.target_rows) for r in counts.collect()]
     for src, tgt, n_src, n_tgt in result:
         log.info("%-30s -> %-30s  %d -> %d rows", src, tgt, n_src, n_tgt)
         if n_tgt == 0:
             raise ValueError(f"{tgt} has 0 rows — aborting pipeline")
+        if equal and n_src != n_tgt:
+            raise ValueError(f"{tgt} has {n_tgt} rows, {src} has {n_src} — aborting pipeline")
     return result
 
 

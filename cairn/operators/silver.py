@@ -105,14 +105,15 @@ def activity_fact(
     return activities_.join(h, "activity_id", "left").join(e, "activity_id", "left").join(loc, "activity_id", "left")
 
 
-def activity_fact_from_records(records: DataFrame) -> DataFrame:
+def activity_fact_from_records(records: DataFrame, owner: bool = False) -> DataFrame:
     """``silver_activity_fact`` when every bronze table is a projection of one
     relation keyed by ``activity_id`` (unique, as bronze guarantees).
 
     Then each LEFT JOIN of the general form matches exactly the row it came
     from, so the fact is a single projection: one scan, no join, no shuffle.
     Equal to ``activity_fact(activities(...), ...)`` under that invariant
-    (a test checks both forms against each other).
+    (a test checks both forms against each other). With ``owner`` the fact
+    also carries ``athlete_id``, so the star schema needs no join for it.
     """
     r = records.where(F.col("activity_id").isNotNull()).alias("r")
     return r.selectExpr(
@@ -121,4 +122,5 @@ def activity_fact_from_records(records: DataFrame) -> DataFrame:
         "CASE WHEN r.has_heartrate THEN r.max_heartrate END AS max_heartrate",
         "r.has_heartrate AS has_heartrate",
         *[f"r.{c} AS {c}" for c in FACT_EXTRA_COLUMNS],
+        *(["r.athlete_id AS athlete_id"] if owner else []),
     )

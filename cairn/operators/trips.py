@@ -11,62 +11,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.functions import case_map, date_part, null_if_zero, round_half_away
+from cairn.functions import round_half_away_sql
 
 # Payment type code -> method name (anything else is 'Unknown').
 PAYMENT_METHODS = [(1, "Credit Card"), (2, "Cash"), (3, "No Charge"), (4, "Dispute")]
 UNKNOWN_METHOD = "Unknown"
 
 
+def _count(name: str = "trips"):
+    return F.expr(f"count(1) AS {name}")
+
+
+def _rounded(value: str, name: str):
+    """A rounded aggregate, as one SQL expression (a column built call by call
+    costs dozens of driver round trips a query)."""
+    return F.expr(f"{round_half_away_sql(value, 2)} AS {name}")
+
+
 def row_count(trips: DataFrame) -> DataFrame:
-    return trips.agg(F.count(F.lit(1)).alias("total_trips"))
+    return trips.agg(_count("total_trips"))
 
 
 def revenue_by_month(trips: DataFrame) -> DataFrame:
     return (
-        trips.where(F.col("total_amount") > F.lit(0))
-        .groupBy(date_part("month", "tpep_pickup_datetime").alias("month"))
-        .agg(
-            F.count(F.lit(1)).alias("trips"),
-            round_half_away(F.sum("total_amount"), 2).alias("total_revenue"),
-            round_half_away(F.avg("total_amount"), 2).alias("avg_fare"),
-        )
+        trips.where("total_amount > 0")
+        .groupBy(F.expr("month(tpep_pickup_datetime) AS month"))
+        .agg(_count(), _rounded("sum(total_amount)", "total_revenue"), _rounded("avg(total_amount)", "avg_fare"))
         .orderBy(F.asc_nulls_last("month"))
     )
 
 
 def busiest_hours(trips: DataFrame, k: int = 5) -> DataFrame:
     return (
-        trips.groupBy(date_part("hour", "tpep_pickup_datetime").alias("hour_of_day"))
-        .agg(
-            F.count(F.lit(1)).alias("trips"),
-            round_half_away(F.avg("trip_distance"), 2).alias("avg_distance_miles"),
-        )
+        trips.groupBy(F.expr("hour(tpep_pickup_datetime) AS hour_of_day"))
+        .agg(_count(), _rounded("avg(trip_distance)", "avg_distance_miles"))
         .orderBy(F.desc_nulls_last("trips"), F.asc_nulls_last("hour_of_day"))
         .limit(k)
     )
 
 
 def tip_analysis(trips: DataFrame) -> DataFrame:
-    tip_pct = F.col("tip_amount") / null_if_zero(F.col("fare_amount")) * F.lit(100.0)
+    share = "avg(tip_amount / nullif(fare_amount, 0) * 100.0D)"
     return (
-        trips.where((F.col("fare_amount") > F.lit(0)) & (F.col("passenger_count") > F.lit(0)))
+        trips.where("fare_amount > 0 AND passenger_count > 0")
         .groupBy("passenger_count")
-        .agg(
-            F.count(F.lit(1)).alias("trips"),
-            round_half_away(F.avg("tip_amount"), 2).alias("avg_tip"),
-            round_half_away(F.avg(tip_pct), 2).alias("avg_tip_pct"),
-        )
+        .agg(_count(), _rounded("avg(tip_amount)", "avg_tip"), _rounded(share, "avg_tip_pct"))
         .orderBy(F.asc_nulls_last("passenger_count"))
     )
 
 
 def payment_types(trips: DataFrame) -> DataFrame:
+    cases = " ".join(f"WHEN {code} THEN '{name}'" for code, name in PAYMENT_METHODS)
     return (
-        trips.groupBy(case_map(F.col("payment_type"), PAYMENT_METHODS, UNKNOWN_METHOD).alias("payment_method"))
-        .agg(
-            F.count(F.lit(1)).alias("trips"),
-            round_half_away(F.sum("total_amount"), 2).alias("total_revenue"),
-        )
+        trips.groupBy(F.expr(f"CASE payment_type {cases} ELSE '{UNKNOWN_METHOD}' END AS payment_method"))
+        .agg(_count(), _rounded("sum(total_amount)", "total_revenue"))
         .orderBy(F.desc_nulls_last("trips"), F.asc_nulls_last("payment_method"))
     )

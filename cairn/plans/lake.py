@@ -84,6 +84,9 @@ class Lake:
     def append_batch(self, df: DataFrame, layer: str, table: str, batch_id: int) -> tuple[str, int]:
         """Append-only insert of one batch; rerunning the batch replaces it."""
         path = f"{self.table_path(layer, table)}/batch={batch_id}"
+        for version in self.versions(layer, table):
+            if version >= batch_id:  # a compacted base that holds the batch's old rows
+                self._fs.delete(self._Path(f"{self.table_path(layer, table)}/v={version}"), True)
         return path, self._write(df, path)
 
     # -- reads ----------------------------------------------------------------
@@ -91,14 +94,35 @@ class Lake:
         return self.spark.read.parquet(self.latest_path(layer, table))
 
     def read_table(self, layer: str, table: str) -> DataFrame:
-        """Whole table: the latest version, or all committed batches."""
-        if self.versions(layer, table):
-            return self.read(layer, table)
-        base = self.table_path(layer, table)
-        paths = [f"{base}/batch={b}" for b in self.batches(layer, table)]
-        if not paths:
+        """Whole table: the latest version and all committed batches after it."""
+        versions = self.versions(layer, table)
+        later = [b for b in self.batches(layer, table) if not versions or b > versions[-1]]
+        parts = [self.read_version(layer, table, versions[-1])] if versions else []
+        parts += [self.read_some(layer, table, later)] if later else []
+        if not parts:
             raise FileNotFoundError(f"{layer}/{table} has no committed data")
-        return self.spark.read.option("basePath", base).parquet(*paths).drop("batch")
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def batch_paths(self, layer: str, table: str, ids: list[int] | None = None) -> list[str]:
+        ids = self.batches(layer, table) if ids is None else ids
+        return [f"{self.table_path(layer, table)}/batch={b}" for b in ids]
+
+    def read_some(self, layer: str, table: str, ids: list[int]) -> DataFrame:
+        """Given batches of an append-only table (the batch id is layout, not data)."""
+        return self.spark.read.option("basePath", self.table_path(layer, table)).parquet(*self.batch_paths(layer, table, ids)).drop("batch")
+
+    # -- finished runs ------------------------------------------------------
+    def finish(self, run_id: int, batch_ids: list[int]) -> None:
+        """Record, as a run's last and only atomic step, the batches that are now
+        in every table."""
+        rows = self.spark.createDataFrame([(b,) for b in batch_ids], "batch_id long")
+        self.append_batch(rows.coalesce(1), "meta", "finished", run_id)
+
+    def finished(self) -> tuple[list[int], set[int]]:
+        """(finished runs, batches they finished): one row a batch."""
+        runs = self.batches("meta", "finished")
+        done = {r[0] for r in self.read_some("meta", "finished", runs).collect()} if runs else set()
+        return runs, done
 
     def read_version(self, layer: str, table: str, version: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.table_path(layer, table)}/v={version}")

@@ -80,7 +80,10 @@ class Layers:
         return self._get(name, lambda: gold_tables_for(self.fact, [name])[name])
 
     def star(self, name: str) -> DataFrame:
-        return self._get(name, lambda: star_table(name, self.fact, self.bronze("bronze_activities"), self.athletes))
+        return self._get(name, lambda: star_table(name, self._star_fact(), self.bronze("bronze_activities"), self.athletes))
+
+    def _star_fact(self) -> DataFrame:
+        return silver.activity_fact_from_records(self.records, owner=True) if self.single_source else self.fact
 
 
 _GOLD = {

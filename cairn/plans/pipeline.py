@@ -1,15 +1,18 @@
-"""End-to-end run: watermark -> landing batch -> raw -> bronze -> silver ->
-gold -> star schema -> publish, with the no-new-data gate and layer checks.
-
-Each layer is written to the lake and read back before the next stage, so a
-lost executor only recomputes the current stage and later stages start from
-files, not from a long lineage. Everything downstream of bronze is
-maintained incrementally (``cairn.plans.incremental``): a run's cost follows
-the size of its batch, not of the history.
-
-Retrying a run with the same ``batch_id`` is safe: batch directories are
-overwritten, versioned tables are recomputed from data that holds the batch
-exactly once, and the watermark ignores the batch being retried.
+"""End-to-end run: landing -> raw -> bronze -> silver -> gold -> star schema ->
+publish, with the no-new-data gate and layer checks.
+
+A landing is a folder with ``activities`` and, where they were fetched,
+``comments``, ``kudos``, ``stats`` and ``athlete``: JSON arrays, single objects or
+one record a line. Each layer is written to the lake and read back before the
+next stage, so a lost executor only recomputes the current stage.
+
+No run loses rows. A run works on every bronze batch that no finished run has
+covered (its own and those of runs that failed), writes each again from bronze
+on, and records them as finished in one last step. The watermark comes from
+finished batches only, versioned tables start from the last finished version
+or recompute what a batch touches, and the counts of bronze and fact must agree
+before gold is written. So it doesn't matter whether a failed run is repeated
+under its own batch id or followed by the next one.
 """
 
 from __future__ import annotations
@@ -25,10 +28,9 @@ from cairn.functions import parse_ts_ntz
 from cairn.operators import bronze, dims, gold, ingest, quality
 from cairn.plans import incremental, medallion
 from cairn.plans.lake import Lake
-from cairn.plans.publish import publish
-from cairn.schemas import BRONZE_ACTIVITIES, MERGE_KEYS, ORDER_COLS, RAW_ACTIVITY_LANDED
-from cairn.sources.files import read_json_records
-from cairn.sources.fixtures import child_fetches
+from cairn.plans.publish import GOLD_TABLES, listing, publish
+from cairn.schemas import LANDED_COMMENT, LANDED_KUDO, MERGE_KEYS, ORDER_COLS, RAW_ACTIVITY, RAW_ATHLETE, RAW_STATS
+from cairn.sources.files import path_exists, read_landed
 
 log = logging.getLogger(__name__)
 
@@ -68,133 +70,113 @@ RAW_KEYS = {
 }
 
 
-def current_watermark(lake: Lake, batch_id: int | None = None):
-    """Newest start time already in gold (the batch being retried excluded),
-    read once per run as a single value (``None`` on a first run)."""
-    ids = [b for b in lake.batches("gold", "gold_activity_summary") if b != batch_id]
+def current_watermark(lake: Lake, finished: set[int], batch_id: int | None = None):
+    """Newest start time in the gold of finished batches (the batch being retried
+    excluded), read once per run as a single value (``None`` on a first run)."""
+    ids = [b for b in lake.batches("gold", "gold_activity_summary") if b in finished and b != batch_id]
     if not ids:
         return None
-    base = lake.table_path("gold", "gold_activity_summary")
-    summary = lake.spark.read.option("basePath", base).parquet(*[f"{base}/batch={b}" for b in ids])
-    return ingest.high_watermark(summary).first()[0]
-
-
-def run(
-    spark: SparkSession,
-    lake: Lake,
-    activities_landing: str,
-    athletes: DataFrame,
-    batch_id: int,
-    do_publish: bool = True,
-) -> dict[str, int]:
+    return ingest.high_watermark(lake.read_some("gold", "gold_activity_summary", ids)).first()[0]
+
+
+def land(spark: SparkSession, lake: Lake, landing: str, activities: DataFrame, batch_id: int) -> dict[str, int]:
+    """Append the landed records to raw with their order columns. The keyed
+    last-write-wins merge happens on read (``raw_view``), so a run writes
+    O(batch), never the whole raw history. Single-record files replace."""
+    comments = ingest.landed_comments(read_landed(spark, f"{landing}/comments", LANDED_COMMENT, batch_id))
+    kudos = read_landed(spark, f"{landing}/kudos", LANDED_KUDO, batch_id)
+    writes = {
+        "raw_activities": lambda: lake.append_batch(activities, "raw", "raw_activities", batch_id),
+        "raw_comments": lambda: lake.append_batch(comments, "raw", "raw_comments", batch_id),
+        "raw_kudos": lambda: lake.append_batch(kudos, "raw", "raw_kudos", batch_id),
+    }
+    for name, table, schema in (("athlete", "raw_athlete", RAW_ATHLETE), ("stats", "raw_stats_for_athlete", RAW_STATS)):
+        if path_exists(spark, f"{landing}/{name}") or not lake.versions("raw", table):
+            one = read_landed(spark, f"{landing}/{name}", schema, batch_id).drop(*ORDER_COLS)
+            writes[table] = lambda t=table, df=one: lake.write_version(df, "raw", t, version=batch_id)
+    return _concurrently(writes)
+
+
+def run(spark: SparkSession, lake: Lake, landing: str, batch_id: int, do_publish: bool = True) -> dict[str, int]:
     """One scheduled run over one landed batch. Returns rows written per table
     (empty dict when there was nothing new)."""
     counts: dict[str, int] = {}
+    runs, finished = lake.finished()
+    pending = [b for b in lake.batches("bronze", RECORDS) if b not in finished and b != batch_id]
 
     # watermark + incremental read + gate
-    landed = read_json_records(spark, activities_landing, RAW_ACTIVITY_LANDED)
-    wm = current_watermark(lake, batch_id)
+    wm = current_watermark(lake, finished, batch_id)
+    landed = read_landed(spark, f"{landing}/activities", RAW_ACTIVITY, batch_id)
     landed = ingest.incremental_filter(landed, wm, parse_ts_ntz(F.col("start_date")))
-    if landed.isEmpty():
+    # a record without a time always passes the filter; one seen before is not new
+    old = lake.batches("bronze", RECORDS)
+    known = [b for b in old if b != batch_id]
+    if known:
+        history = lake.read_some("bronze", RECORDS, known).select("activity_id")
+        fresh = ingest.new_keys_only(landed.select(F.col("id").alias("activity_id")), history)
+    else:
+        fresh = landed.where("id IS NOT NULL")
+    if fresh.isEmpty() and not pending and batch_id not in old:
         log.info("No new data — pipeline complete")
         return counts
 
-    # raw: the landed batch and the child fetches are appended with their
-    # order columns; the keyed last-write-wins merge happens on read
-    # (``raw_view``), so a run writes O(batch), never the whole raw history
-    fetches = child_fetches(ingest.child_worklist(landed))
-    counts.update(
-        _concurrently(
-            {
-                "raw_activities": lambda: lake.append_batch(landed, "raw", "raw_activities", batch_id),
-                "raw_comments": lambda: lake.append_batch(ingest.stamp_comments(fetches), "raw", "raw_comments", batch_id),
-                "raw_kudos": lambda: lake.append_batch(ingest.stamp_kudos(fetches), "raw", "raw_kudos", batch_id),
-                "raw_athlete": lambda: lake.write_version(athletes, "raw", "raw_athlete"),
-            }
-        )
-    )
+    # raw: written once, then read back by everything below
+    counts.update(land(spark, lake, landing, landed, batch_id))
+    batch = ingest.keyed_merge(lake.read_some("raw", "raw_activities", [batch_id]), ["id"]).drop(*ORDER_COLS)
 
     # bronze: only keys not yet in history are appended (history is never
-    # rewritten). The published bronze tables and one wide keyed record table
-    # are appended for the same new keys, so every bronze table stays 1:1
-    # with bronze_activities and history keeps its metrics.
-    history = lake.read_batches("bronze", "bronze_activities", BRONZE_ACTIVITIES, exclude=batch_id)
-    batch = ingest.keyed_merge(landed, ["id"]).drop(*ORDER_COLS)
-    new_ids = ingest.new_keys_only(bronze.activities(batch).select("activity_id"), history)
-    new_raw = batch.join(new_ids.withColumnRenamed("activity_id", "id"), "id", "left_semi")
-    # write the new records once, then project the published tables from the
-    # written batch (the dedup and anti join are not recomputed per table)
-    path, counts[RECORDS] = lake.append_batch(bronze.records(new_raw), "bronze", RECORDS, batch_id)
-    new_records = spark.read.parquet(path)
-    counts.update(
-        _concurrently(
-            {
-                name: (lambda n=name: lake.append_batch(bronze.project(new_records, n), "bronze", n, batch_id))
-                for name in bronze.TABLE_COLUMNS
-            }
-        )
-    )
+    # rewritten). The wide keyed record table is written first and is what
+    # later runs compare with; the published tables are projections of it.
+    new = bronze.records(batch).where("activity_id IS NOT NULL")
+    if known:
+        new = ingest.new_keys_only(new, lake.read_some("bronze", RECORDS, known).select("activity_id"))
+    _, counts[RECORDS] = lake.append_batch(new, "bronze", RECORDS, batch_id)
+    work = sorted([*pending, batch_id])
+    for b in work:
+        records = lake.read_some("bronze", RECORDS, [b])
+        tables = {("bronze", n): bronze.project(records, n) for n in bronze.TABLE_COLUMNS}
+        # silver: per-key projections of the records (no join, no shuffle)
+        tables |= {("silver", n): df for n, df in medallion.silver_tables_from_records(records).items()}
+        wrote = _concurrently({key: (lambda k=key, d=df: lake.append_batch(d, *k, b)) for key, df in tables.items()})
+        for (_, name), n in wrote.items():
+            counts[name] = counts.get(name, 0) + n
     bronze_activities = lake.read_table("bronze", "bronze_activities")
-
-    # athlete stats: previous totals + this batch's new activities. The
-    # version is numbered by batch, and a retry starts from the version
-    # before its own, so no batch is counted twice.
-    stats = ingest.athlete_totals(new_records, owner=F.col("athlete_id"))
-    earlier = [v for v in lake.versions("raw", "raw_stats_for_athlete") if v < batch_id]
-    if earlier:
-        stats = ingest.merge_totals(lake.read_version("raw", "raw_stats_for_athlete", earlier[-1]), stats)
-    _, counts["raw_stats_for_athlete"] = lake.write_version(stats, "raw", "raw_stats_for_athlete", version=batch_id)
-    # this run's landed batch -> all of bronze (raises if bronze is empty);
-    # both counts are cheap (a landed batch, Parquet row counts)
-    quality.validate_counts(quality.layer_counts([("raw_activities", batch, "bronze_activities", bronze_activities)]))
-
-    # silver: per-key projections of the new records (no join, no shuffle), appended
-    counts.update(
-        _concurrently(
-            {
-                name: (lambda n=name, d=df: lake.append_batch(d, "silver", n, batch_id))
-                for name, df in medallion.silver_tables_from_records(new_records).items()
-            }
-        )
-    )
-    new_fact = spark.read.parquet(f"{lake.table_path('silver', 'silver_activity_fact')}/batch={batch_id}")
     fact = lake.read_table("silver", "silver_activity_fact")
-    quality.validate_counts(
-        quality.layer_counts([("bronze_activities", bronze_activities, "silver_activity_fact", fact)])
-    )
+    quality.validate_counts(quality.layer_counts([("bronze_activities", bronze_activities, "silver_activity_fact", fact)]), equal=True)
 
     # gold: per-row tables appended; rollups, top-k and dimensions merged exactly
-    new_bronze = bronze.project(new_records, "bronze_activities")
-    writes: dict[str, Callable[[], tuple[str, int]]] = {
-        name: (lambda n=name: lake.append_batch(medallion.gold_tables_for(new_fact, [n])[n], "gold", n, batch_id))
-        for name in APPENDED_GOLD
-    }
-    writes.update(
-        {
-            name: (lambda n=name: lake.write_version(incremental.refresh_periods(lake, n, fact, new_fact), "gold", n))
-            for name in gold.PERIODS
-        }
-    )
-    writes["gold_pb_efforts"] = lambda: lake.write_version(
-        incremental.refresh_top_paces(lake, new_fact), "gold", "gold_pb_efforts"
-    )
-    writes["dim_date"] = lambda: lake.write_version(
-        incremental.refresh_distinct(lake, "dim_date", dims.date_dim(new_fact)), "gold", "dim_date"
-    )
-    writes["dim_activity_type"] = lambda: lake.write_version(
-        incremental.refresh_distinct(lake, "dim_activity_type", dims.activity_type_dim(new_fact, new_bronze)),
-        "gold",
-        "dim_activity_type",
-    )
+    new_records = lake.read_some("bronze", RECORDS, work)
+    new_fact = lake.read_some("silver", "silver_activity_fact", work)
+    owned = medallion.silver.activity_fact_from_records(new_records, owner=True)
+    writes: dict[str, Callable[[], tuple[str, int]]] = {}
+    for b in work:
+        part = lake.read_some("silver", "silver_activity_fact", [b])
+        own = medallion.silver.activity_fact_from_records(lake.read_some("bronze", RECORDS, [b]), owner=True)
+        for name in APPENDED_GOLD:
+            writes[f"{name}:{b}"] = lambda n=name, p=part, i=b: lake.append_batch(medallion.gold_tables_for(p, [n])[n], "gold", n, i)
+        writes[f"fact_activities:{b}"] = lambda o=own, i=b: lake.append_batch(dims.activity_fact(o, None), "gold", "fact_activities", i)
+    for name in gold.PERIODS:
+        writes[name] = lambda n=name: lake.write_version(incremental.refresh_periods(lake, n, fact, new_fact), "gold", n)
+    writes["gold_pb_efforts"] = lambda: lake.write_version(incremental.refresh_top_paces(lake, new_fact), "gold", "gold_pb_efforts")
+    for name, df in (("dim_date", dims.date_dim(new_fact)), ("dim_activity_type", dims.activity_type_dim(owned, None))):
+        writes[name] = lambda n=name, d=df: lake.write_version(incremental.refresh_distinct(lake, n, d), "gold", n)
     writes["dim_athlete"] = lambda: lake.write_version(
-        incremental.refresh_athletes(lake, new_fact, new_bronze, lake.read("raw", "raw_athlete")), "gold", "dim_athlete"
-    )
-    writes["fact_activities"] = lambda: lake.append_batch(
-        dims.activity_fact(new_fact, new_bronze), "gold", "fact_activities", batch_id
+        incremental.refresh_athletes(lake, owned, lake.read("raw", "raw_athlete")), "gold", "dim_athlete"
     )
-    counts.update(_concurrently(writes))
+    # totals: those of the last finished run and this run's batches
+    totals = ingest.athlete_totals(new_records, owner=F.col("athlete_id"))
+    earlier = [v for v in lake.versions("gold", "athlete_totals") if v in runs and v < batch_id]
+    if earlier:
+        totals = ingest.merge_totals(lake.read_version("gold", "athlete_totals", earlier[-1]), totals)
+    writes["athlete_totals"] = lambda: lake.write_version(totals, "gold", "athlete_totals", version=batch_id)
+    for key, n in _concurrently(writes).items():
+        name = key.partition(":")[0]
+        counts[name] = counts.get(name, 0) + n
 
     if do_publish:
         publish(spark, lake)
+        lost = quality.missing_tables(spark, listing(spark), [f"{t}_table" for t in GOLD_TABLES]).collect()
+        if lost:
+            raise ValueError(f"not published: {sorted(r.table_name for r in lost)}")
+    lake.finish(batch_id, work)
     return counts
-

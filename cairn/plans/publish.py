@@ -6,20 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cairn.plans.lake import Lake
+from cairn.plans.medallion import GOLD_NAMES, STAR_NAMES
 
-GOLD_TABLES = [
-    "gold_monthly_stats",
-    "gold_training_load",
-    "gold_activity_summary",
-    "gold_weekly_stats",
-    "gold_pb_efforts",
-    "dim_date",
-    "dim_activity_type",
-    "dim_athlete",
-    "fact_activities",
-]
+GOLD_TABLES = [*GOLD_NAMES, *STAR_NAMES]
 SCHEMA = "gold"
 
 
@@ -27,28 +19,28 @@ def ensure_schema(spark: SparkSession, lake: Lake, schema: str = SCHEMA) -> None
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{lake.root}/catalog/{schema}.db'")
 
 
+def create_if_absent(spark: SparkSession, lake: Lake, table: str, schema: T.StructType, schema_name: str = SCHEMA) -> None:
+    """``CREATE TABLE IF NOT EXISTS``: an empty typed table, or the one there."""
+    ensure_schema(spark, lake, schema_name)
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {schema_name}.{table} ({cols}) USING parquet LOCATION '{lake.root}/catalog/{schema_name}.db/{table}'")
+
+
 def publish(spark: SparkSession, lake: Lake, tables: Sequence[str] = GOLD_TABLES, layer: str = "gold") -> list[str]:
-    """Register the latest version of each gold dataset as a catalog table.
+    """Register the committed files of each gold dataset in the catalog.
 
-    The reference copies each Parquet file into a remote warehouse. Here the
-    catalog entry points at the committed version directory: publishing is a
-    metadata change, not a 100 TB copy, and replacing an entry never deletes
-    data (the table is external).
+    The reference copies each Parquet file into a remote warehouse. Here an
+    entry is a view over the committed version or batch directories: publishing
+    is a metadata change, not a copy, replaces the entry in one step, and never
+    shows files of a write that did not finish.
     """
     ensure_schema(spark, lake)
     names = []
     for table in tables:
         name = f"{SCHEMA}.{table}_table"
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        if lake.versions(layer, table):
-            spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{lake.latest_path(layer, table)}'")
-        else:
-            # append-only table: every committed batch directory, no batch column
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lake.read_table(layer, table).schema)
-            spark.sql(
-                f"CREATE TABLE {name} ({cols}) USING parquet OPTIONS (recursiveFileLookup 'true') "
-                f"LOCATION '{lake.table_path(layer, table)}'"
-            )
+        paths = [lake.latest_path(layer, table)] if lake.versions(layer, table) else lake.batch_paths(layer, table)
+        parts = " UNION ALL ".join(f"SELECT * FROM parquet.`{path}`" for path in paths)
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {parts}")
         names.append(name)
     return names
 

@@ -19,13 +19,17 @@ from cairn.operators import bronze, dims, gold, ingest, quality, trips
 from cairn.plans import medallion
 from cairn.plans.medallion import Layers
 from cairn.plans.lake import Lake
-from cairn.plans.publish import GOLD_TABLES, listing, publish
+from cairn.plans.publish import listing, publish
 from cairn.schemas import (
     BRONZE_ACTIVITIES,
+    LANDED_COMMENT,
+    LANDED_KUDO,
     MERGE_KEYS,
     ORDER_COLS,
     RAW_ACTIVITY,
     RAW_ACTIVITY_LANDED,
+    RAW_ATHLETE,
+    RAW_STATS,
 )
 from cairn.session import ensure_semantics, shared_dir
 from cairn.sources import fixtures, landing
@@ -149,25 +153,52 @@ def _publish_all(spark, sf_dir) -> Lake:
 
 
 def publish_gold(spark, sf_dir):
+    """Every published row: its table, its key and one of its measures."""
     _publish_all(spark, sf_dir)
     return union_by_name(
         [
-            spark.table(f"gold.{t}_table").agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-            for t in GOLD_TABLES
+            spark.table(f"gold.{t}_table").selectExpr(f"'{t}' AS table_name", f"CAST({key} AS STRING) AS row_key", f"CAST({value} AS STRING) AS row_value")
+            for t, (key, value) in PUBLISHED.items()
         ]
     )
 
 
+def _landed(name: str, schema, names: list[str] | None = None) -> Query:
+    """Array landings of both fetches, read with their order columns."""
+
+    def query(spark, sf_dir):
+        root = _scratch(spark, "landing")
+        parts = []
+        for seq, folder in enumerate(landing.write_landings(spark, sf_dir, root, names=(name,)), 1):
+            parts.append(file_sources.read_landed(spark, f"{folder}/{name}", schema, seq))
+        both = union_by_name(parts).drop("row_seq")
+        return both.selectExpr(*names, "batch_seq") if names else flatten_raw(both)
+
+    return query
+
+
+# What publish_gold shows of each table (key, measure).
+PUBLISHED = {
+    "gold_activity_summary": ("activity_id", "kudos_count"),
+    "gold_weekly_stats": ("date_format(week_start, 'yyyy-MM-dd')", "activity_count"),
+    "gold_monthly_stats": ("date_format(month_start, 'yyyy-MM-dd')", "activity_count"),
+    "gold_pb_efforts": ("activity_id", "pr_count"),
+    "gold_training_load": ("activity_id", "CAST(average_heartrate AS BIGINT)"),
+    "dim_date": ("date_id", "week_number"),
+    "dim_activity_type": ("athlete_id", "sport_category"),
+    "dim_athlete": ("athlete_id", "athlete_name"),
+    "fact_activities": ("activity_id", "hr_zone"),
+}
+
+
 # ---------------------------------------------------------------- ingest
 def high_watermark(spark, sf_dir):
-    first, _ = _history_and_batch(spark, sf_dir)
-    summary = Layers(first.drop(*ORDER_COLS)).gold("gold_activity_summary")
-    return ingest.high_watermark(summary)
+    return ingest.high_watermark(_layers(spark, sf_dir).gold("gold_activity_summary"))
 
 
 def incremental_filter(spark, sf_dir):
     first, second = _history_and_batch(spark, sf_dir)
-    wm = high_watermark(spark, sf_dir)
+    wm = ingest.high_watermark(Layers(first.drop(*ORDER_COLS)).gold("gold_activity_summary"))
     return flatten_raw(ingest.incremental_filter(second, wm, parse_ts_ntz(F.col("start_date"))))
 
 
@@ -191,7 +222,7 @@ def anti_join_new_ids(spark, sf_dir):
 
 
 def bronze_first_run(spark, sf_dir):
-    first, _ = _history_and_batch(spark, sf_dir)
+    first = fixtures.activity_batches(spark, sf_dir)  # a first load takes both fetches
     lake = Lake(spark, _scratch(spark, "lake"))
     history, is_first = read_or_empty(spark, lake.table_path("bronze", "bronze_activities"), BRONZE_ACTIVITIES)
     assert is_first
@@ -270,13 +301,18 @@ def trip_query(fn) -> Query:
 
 # ---------------------------------------------------------------- checks / streams
 def validate_layers(spark, sf_dir):
-    layers = _layers(spark, sf_dir)
-    return quality.layer_counts(
-        [
-            ("raw_activities", layers.raw, "bronze_activities", layers.bronze("bronze_activities")),
-            ("bronze_activities", layers.bronze("bronze_activities"), "silver_activity_fact", layers.fact),
-        ]
-    )
+    """Counts of written tables; raises where a hop gains or loses rows."""
+    layers, lake = _layers(spark, sf_dir, single_source=False), Lake(spark, _scratch(spark, "lake"))
+    for layer, name, df in (
+        ("raw", "raw_activities", layers.raw),
+        ("bronze", "bronze_activities", layers.bronze("bronze_activities")),
+        ("silver", "silver_activity_fact", layers.fact),
+    ):
+        lake.write_version(df, layer, name)
+    hops = [("raw", "raw_activities", "bronze", "bronze_activities"), ("bronze", "bronze_activities", "silver", "silver_activity_fact")]
+    counts = quality.layer_counts([(a, lake.read(la, a), b, lake.read(lb, b)) for la, a, lb, b in hops])
+    quality.validate_counts(counts, equal=True)
+    return counts
 
 
 def stream_bronze(spark, sf_dir):
@@ -334,6 +370,15 @@ def registry() -> dict[str, Query]:
         "merge_kudos": merge_kudos,
         "pk_violations": pk_violations,
         "athlete_stats": athlete_stats,
+        "landed_activities": _landed("activities", RAW_ACTIVITY),
+        "landed_comments": _landed(
+            "comments", LANDED_COMMENT, ["id", "activity_id", "text", "created_at", "athlete.firstname AS firstname", "athlete.lastname AS lastname"]
+        ),
+        "landed_kudos": _landed("kudos", LANDED_KUDO, LANDED_KUDO.names),
+        "landed_stats": _landed(
+            "stats", RAW_STATS, ["athlete_id"] + [f"all_{k}_totals.{m} AS {k}_{m}" for _, k in ingest.TOTAL_TYPES for m in ingest.TOTAL_FIELDS]
+        ),
+        "landed_athlete": _landed("athlete", RAW_ATHLETE, RAW_ATHLETE.names),
     }
     for name in ("bronze_heartrate", "bronze_metrics", "bronze_engagement", "bronze_location", "bronze_map", "bronze_geo"):
         q[name] = bronze_query(name)

@@ -78,7 +78,7 @@ ORDER_COLS = ["batch_seq", "row_seq"]
 
 RAW_ACTIVITY_LANDED = T.StructType(list(RAW_ACTIVITY.fields) + [_f("batch_seq", L), _f("row_seq", L)])
 
-# First-run table definition of bronze_activities; activity_id is the key.
+# The first-run table definition of bronze_activities; activity_id is the key.
 BRONZE_ACTIVITIES = T.StructType(
     [
         _f("activity_id", L),
@@ -116,39 +116,9 @@ RAW_COMMENT = T.StructType(
 )
 RAW_KUDO = T.StructType([_f("firstname", S), _f("lastname", S), _f("resource_state", L)])
 
-# One child fetch result: the parent id and the records the API returned.
-CHILD_FETCH = T.StructType(
-    [
-        _f("parent_id", L),
-        _f("batch_seq", L),
-        _f("comments", T.ArrayType(RAW_COMMENT)),
-        _f("kudos", T.ArrayType(RAW_KUDO)),
-    ]
-)
-
-# Stamped, flat child tables (what raw_comments / raw_kudos hold).
-COMMENT = T.StructType(
-    [
-        _f("id", L),
-        _f("activity_id", L),
-        _f("text", S),
-        _f("created_at", S),
-        _f("firstname", S),
-        _f("lastname", S),
-        _f("batch_seq", L),
-        _f("row_seq", L),
-    ]
-)
-KUDO = T.StructType(
-    [
-        _f("activity_id", L),
-        _f("firstname", S),
-        _f("lastname", S),
-        _f("resource_state", L),
-        _f("batch_seq", L),
-        _f("row_seq", L),
-    ]
-)
+# Landed child records carry their parent's key.
+LANDED_COMMENT = T.StructType([*RAW_COMMENT.fields, _f("activity_id", L)])
+LANDED_KUDO = T.StructType([_f("activity_id", L), *RAW_KUDO.fields])
 
 # Keyed-merge keys per landing file (separate columns, never a joined string).
 MERGE_KEYS = {
@@ -162,6 +132,7 @@ RAW_ATHLETE = T.StructType(
 )
 
 _TOTALS = T.StructType([_f("count", L), _f("distance", D), _f("moving_time", L), _f("elevation_gain", D)])
+# The athlete-stats record, one JSON object.
 RAW_STATS = T.StructType(
     [_f("athlete_id", L), _f("all_run_totals", _TOTALS), _f("all_ride_totals", _TOTALS), _f("all_swim_totals", _TOTALS)]
 )

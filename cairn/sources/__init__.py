@@ -1,19 +1,15 @@
 """Scans: JSON landing, Parquet, union-by-name, catalog, plus the fixtures."""
 
 from cairn.sources.files import (
-    read_catalog_table,
     read_json_records,
     read_or_empty,
-    read_parquet,
     scan_union_by_name,
     union_by_name,
 )
 
 __all__ = [
-    "read_catalog_table",
     "read_json_records",
     "read_or_empty",
-    "read_parquet",
     "scan_union_by_name",
     "union_by_name",
 ]

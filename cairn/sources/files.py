@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -27,31 +29,27 @@ def read_json_records(
     return reader.json(list(path) if not isinstance(path, str) else path)
 
 
-def spread_small_scan(df: DataFrame, *keys: str) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than there are cores.
-
-    A Parquet file is split by row group; a file written as one row group is
-    one task however large, and a heavy projection over it then runs on one
-    core. Only then is the (narrow, pruned) scan output spread over the
-    cores before the projection. A scan with at least as many splits as
-    cores, as any large input has, is returned unchanged: no shuffle at scale.
-
-    With ``keys`` the spread hash-partitions on them, so later joins and
-    keyed aggregations on the same key can reuse the partitioning.
-    """
+def holds_one_document(spark: SparkSession, path: str) -> bool:
+    """Does a landing hold one JSON array or object a file (as the API client
+    saves it), rather than one record a line? Told by the first line."""
+    line = spark.read.text(path).where("trim(value) <> ''").head()
+    if line is None:
+        return False
     try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as is
-        return df
-    if splits >= cores:
-        return df
-    return df.repartition(cores, *keys) if keys else df.repartition(cores)
+        return not isinstance(json.loads(line[0]), dict)
+    except ValueError:  # a record that goes on in the next line
+        return True
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """One Parquet path (a file or a directory of part files)."""
-    return spark.read.parquet(path)
+def read_landed(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    """A landing folder or file of any shape, with its order columns:
+    ``batch_seq`` is the batch, ``row_seq`` rises with the position in each file.
+    Empty if nothing landed there."""
+    if not path_exists(spark, path):
+        records = spark.createDataFrame([], schema)
+    else:
+        records = read_json_records(spark, path, schema, multiline=holds_one_document(spark, path))
+    return records.withColumns({"batch_seq": F.lit(batch_id).cast("bigint"), "row_seq": F.monotonically_increasing_id()})
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
@@ -94,8 +92,3 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> tuple
         if "UNABLE_TO_INFER_SCHEMA" in str(exc) or "PATH_NOT_FOUND" in str(exc):
             return spark.createDataFrame([], schema), True
         raise
-
-
-def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
-    """Persistent catalog table scan."""
-    return spark.table(name)

@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.schemas import RAW_ACTIVITY
-from cairn.sources.files import spread_small_scan
 
 # Fixed values of the derivation (must equal the oracle's):
 # order priority -> activity type; status 'P' turns Run/Ride into TrailRun/VirtualRide.
@@ -177,10 +176,7 @@ def activities_from_orders(orders: DataFrame, kudos_bump: int = 0) -> DataFrame:
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the activity projection is heavy (~60 columns, text formatting): make
-    # sure it runs on every core even when the input is a single split, and
-    # spread on the activity key so keyed merges and joins can reuse it
-    return spread_small_scan(read_table(spark, sf_dir, "orders"), "o_orderkey")
+    return read_table(spark, sf_dir, "orders")
 
 
 def raw_activities(spark: SparkSession, sf_dir: str) -> DataFrame:

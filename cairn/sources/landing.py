@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.operators import ingest
 from cairn.sources import fixtures
 
 
@@ -14,6 +15,23 @@ def write_ndjson(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_arrays(df: DataFrame, path: str) -> str:
+    """One indented JSON array a file, as the API client saves it."""
+
+    def lines(batches):
+        import pyarrow as pa
+
+        lead = "["
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([lead + "\n  " + text])], names=["value"])
+                lead = ","
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if lead == "[" else "]"])], names=["value"])
+
+    df.select(F.to_json(F.struct("*")).alias("value")).mapInArrow(lines, "value string").write.mode("overwrite").text(path)
+    return path
+
+
 def write_activity_batches(spark: SparkSession, sf_dir: str, root: str) -> list[str]:
     """Each landed fetch in its own folder, fetch 1 written first."""
     landed = fixtures.activity_batches(spark, sf_dir)
@@ -21,3 +39,36 @@ def write_activity_batches(spark: SparkSession, sf_dir: str, root: str) -> list[
     for seq in (1, 2):
         paths.append(write_ndjson(landed.where(F.col("batch_seq") == F.lit(seq)), f"{root}/activities/fetch={seq}"))
     return paths
+
+
+def landed_tables(spark: SparkSession, sf_dir: str, seq: int) -> dict[str, DataFrame]:
+    """The five files of one fetch as the API client saves them: no order
+    columns, children with their parent's key, totals per athlete."""
+    landed = fixtures.activity_batches(spark, sf_dir).where(F.col("batch_seq") == F.lit(seq))
+    fetches = fixtures.child_fetches(ingest.child_worklist(landed))
+    comments = ingest.stamp_comments(fetches).selectExpr(
+        "id", "text", "created_at", "named_struct('firstname', firstname, 'lastname', lastname) AS athlete", "activity_id"
+    )
+    totals = ingest.athlete_totals(landed).selectExpr(
+        "athlete_id",
+        *[
+            f"named_struct({', '.join(f"'{m}', {kind}_{m}" for m in ingest.TOTAL_FIELDS)}) AS all_{kind}_totals"
+            for _, kind in ingest.TOTAL_TYPES
+        ],
+    )
+    return {
+        "activities": landed.drop("batch_seq", "row_seq"),
+        "comments": comments,
+        "kudos": ingest.stamp_kudos(fetches).select("activity_id", "firstname", "lastname", "resource_state"),
+        "stats": totals,
+        "athlete": fixtures.athletes_from_customers(fixtures.read_table(spark, sf_dir, "customer")),
+    }
+
+
+def write_landings(spark: SparkSession, sf_dir: str, root: str, names=("activities", "comments", "kudos", "stats", "athlete"), seqs=(1, 2)) -> list[str]:
+    """``<root>/fetch=<n>/<name>`` with array files; the folders of the fetches."""
+    for seq in seqs:
+        tables = landed_tables(spark, sf_dir, seq)
+        for name in names:
+            write_arrays(tables[name], f"{root}/fetch={seq}/{name}")
+    return [f"{root}/fetch={seq}" for seq in seqs]

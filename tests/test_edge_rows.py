@@ -234,3 +234,22 @@ def test_incremental_rollup_with_null_only_batch(spark, scratch):
         (str(r.week_start), r.activity_count) for r in expected
     )
     assert sum(r.week_start is None for r in got) == 1
+
+
+def test_record_without_a_time_is_not_lost_behind_a_watermark(spark):
+    raw = raw_rows(spark, [_act(1, start_date=None), _act(2)])
+    ts = F.col("start_date").cast("timestamp_ntz")
+    kept = ingest.incremental_filter(raw, dt.datetime(2090, 1, 1), ts)
+    assert [r.id for r in kept.collect()] == [1]
+
+
+def test_athlete_with_several_records_is_one_row(spark):
+    from cairn.operators import dims
+    from cairn.schemas import RAW_ATHLETE
+
+    athletes = spark.createDataFrame(
+        [(1, "Ann", "B", None, None), (1, "Ann", "C", None, None), (2, None, None, None, None), (1, None, None, None, None)], RAW_ATHLETE
+    )
+    owners = spark.createDataFrame([(1,), (2,), (3,), (None,)], "athlete_id long")
+    got = {r.athlete_id: r.athlete_name for r in dims.name_owners(owners, athletes).collect()}
+    assert got == {1: "Ann C", 2: None, 3: None, None: None}

@@ -2,10 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from cairn.queries import registry
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
+QUERIES = registry()
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
 
 
@@ -39,11 +39,17 @@ def test_top_k_is_take_ordered(spark):
         assert "TakeOrderedAndProject" in _plan(QUERIES[name](spark, SF_SMALL)), name
 
 
-def test_incremental_anti_join_streams_history(spark):
-    plan = _plan(QUERIES["anti_join_new_ids"](spark, SF_SMALL))
-    assert "LeftSemi" in plan and "LeftAnti" in plan and "BroadcastExchange" in plan
-    # the history side is never shuffled for the anti join
-    assert "SortMergeJoin" not in plan
+def test_anti_join_has_one_plan_and_runs_nothing_early(spark):
+    """No job while the query is built, and no exchange of rows to one task."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build only")
+    try:
+        df = QUERIES["anti_join_new_ids"](spark, SF_SMALL)
+        assert not tracker.getJobIdsForGroup("build")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = _plan(df)
+    assert "LeftAnti" in plan and "SinglePartition" not in plan and "BroadcastExchange" not in plan
 
 
 def test_rollups_aggregate_partially_before_the_shuffle(spark):

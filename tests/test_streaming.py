@@ -19,7 +19,7 @@ def test_bronze_stream_rerun_adds_nothing(spark):
     landing.write_activity_batches(spark, SF_SMALL, f"{root}/landing")
     lake = Lake(spark, f"{root}/lake")
     # small triggers: several micro-batches, each anti-joined to the ones before
-    ingest_bronze_stream(spark, f"{root}/landing/activities/*", lake, f"{root}/ckpt", max_files_per_trigger=3)
+    ingest_bronze_stream(spark, f"{root}/landing/activities/*", lake, f"{root}/ckpt", max_files_per_trigger=1)
     first = read_bronze(lake)
     assert len(lake.batches("bronze", "bronze_activities")) > 1
     n = first.count()
@@ -38,7 +38,7 @@ def test_merge_stream_equals_batch_merge(spark):
     landing.write_activity_batches(spark, SF_SMALL, f"{root}/landing")
     lake = Lake(spark, f"{root}/lake")
     merge_stream(spark, f"{root}/landing/activities/*", RAW_ACTIVITY_LANDED, MERGE_KEYS["activities"],
-                 lake, "raw_activities", f"{root}/ckpt", max_files_per_trigger=3)
+                 lake, "raw_activities", f"{root}/ckpt", max_files_per_trigger=1)
     assert len(lake.batches("raw", "raw_activities")) > 1
     streamed = merged(lake, "raw_activities", MERGE_KEYS["activities"]).select("id", "kudos_count", "batch_seq")
     batch = ingest.keyed_merge(fixtures.activity_batches(spark, SF_SMALL), ["id"]).select("id", "kudos_count", "batch_seq")
@@ -68,9 +68,9 @@ def test_bronze_stream_recovers_from_a_failed_micro_batch(spark):
 
     lake.append_batch = append_then_fail
     with pytest.raises(Exception):
-        ingest_bronze_stream(spark, f"{root}/landing/activities/*", lake, f"{root}/ckpt", max_files_per_trigger=3)
+        ingest_bronze_stream(spark, f"{root}/landing/activities/*", lake, f"{root}/ckpt", max_files_per_trigger=1)
     lake.append_batch = real_append
-    ingest_bronze_stream(spark, f"{root}/landing/activities/*", lake, f"{root}/ckpt", max_files_per_trigger=3)
+    ingest_bronze_stream(spark, f"{root}/landing/activities/*", lake, f"{root}/ckpt", max_files_per_trigger=1)
     bronze_rows = read_bronze(lake)
     assert bronze_rows.count() == fixtures.read_table(spark, SF_SMALL, "orders").count()
     assert bronze_rows.groupBy("activity_id").count().where("count > 1").count() == 0

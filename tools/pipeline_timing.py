@@ -25,15 +25,14 @@ def main() -> None:
     spark = build_session(extra={"spark.checkpoint.dir": scratch})
     from cairn.plans import pipeline
     from cairn.plans.lake import Lake
-    from cairn.sources import fixtures, landing
+    from cairn.sources import landing
 
-    paths = landing.write_activity_batches(spark, sf_dir, f"{scratch}/landing")
-    athletes = fixtures.athletes_from_customers(fixtures.read_table(spark, sf_dir, "customer"))
+    paths = landing.write_landings(spark, sf_dir, f"{scratch}/landing")
     lake = Lake(spark, f"{scratch}/lake")
     out = {}
     for label, path, batch_id in (("first_run", paths[0], 1), ("incremental_run", paths[1], 2), ("no_new_data", paths[1], 3)):
         start = time.perf_counter()
-        counts = pipeline.run(spark, lake, path, athletes, batch_id=batch_id)
+        counts = pipeline.run(spark, lake, path, batch_id=batch_id)
         out[label] = {
             "sec": round(time.perf_counter() - start, 2),
             "new_bronze_rows": counts.get("bronze_activities", 0),
