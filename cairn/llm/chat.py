@@ -185,6 +185,8 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> Dat
     """conv_id, turn, kind, call_id, status, level, valid, json: calls with
     what they got, and results."""
     prepare(calls.sparkSession)
+    calls = calls.select("conv_id", "turn", "call_id", "name", "arguments", "depends_on")
+    results = results.select("conv_id", "turn", "call_id", "content")
     order = F.struct("turn", "arguments", "name", "depends_on")
     lead = calls.where(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()).groupBy(*KEY).agg(F.min(order).alias("lead"))
     lead = written(lead.select(*KEY, F.col("lead.depends_on").alias("depends_on"), F.col("lead.turn").alias("lead_turn"), F.col("lead.arguments").alias("lead_arguments")), "chat-calls")

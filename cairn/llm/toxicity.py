@@ -279,8 +279,9 @@ def train(texts: list[list[bytes]], y: np.ndarray, seed: int = 11) -> Network |
         chosen = np.concatenate([top[~held[text[top]]], extra[y[text[extra]] == 0]])
         chosen = rng.permutation(chosen)
         rate = RATE * (1 if epoch < EPOCHS * 2 // 3 else 0.3)
-        for k in range(0, len(chosen), BATCH):
-            ws = chosen[k : k + BATCH]
+        size = int(np.clip(len(chosen) // 16, 32, BATCH))  # small samples make enough steps too
+        for k in range(0, len(chosen), size):
+            ws = chosen[k : k + size]
             at = np.minimum(starts[ws][:, None] + np.arange(WINDOW), len(flat) - 1)
             live = np.arange(WINDOW) < lengths[ws][:, None]
             used, local = np.unique(flat[at], return_inverse=True)

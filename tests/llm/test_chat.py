@@ -1,0 +1,97 @@
+"""Tool calls: canonical JSON, argument checks, links and order."""
+
+import json
+
+from cairn.llm import chat
+
+CALLS = "conv_id long, turn long, call_id string, name string, arguments string, depends_on array<string>, status string"
+RESULTS = "conv_id long, turn long, call_id string, content string, level int"
+MESSAGES = "conv_id long, turn long, role string, text string"
+OK = '{"text": "hi", "turn": 1}'
+
+
+def test_canonical_json():
+    value = json.loads('{"b": 1.0, "a": [true, null, 1e21, 0.1, 1e-7, "é\\u0001\\"/"], "\\ud83d\\ude00": {}, "\\ufb33": -0.0}')
+    assert chat.canonical(value) == '{"a":[true,null,1e+21,0.1,1e-7,"é\\u0001\\"/"],"b":1,"😀":{},"דּ":0}'
+
+
+def test_argument_faults():
+    schema = {"type": "object", "required": ["n"], "properties": {"n": {"type": "integer", "minimum": 1}, "s": {"type": ["string", "null"], "maxLength": 2}, "l": {"items": {"type": "number"}}}, "additionalProperties": False}
+    assert chat.faults({"n": 2.0, "s": None, "l": [1, 2.5]}, schema) == []
+    assert chat.faults({"n": True}, schema) == ["$.n: not integer"]
+    assert chat.faults({"s": "abc", "x": 1, "l": ["a"]}, schema) == ["$.n: missing", "$.l[0]: not number", "$.s: too long", "$.x: unknown"]
+    assert chat.faults([], schema) == ["$: not object"]
+    assert chat.checked("t", None, {"t": schema})[1] == ["$: no JSON"] == chat.checked("t", "{", {"t": schema})[1]
+    assert chat.checked("u", "{}", {"t": schema})[1] == ["unknown tool"]
+
+
+def test_links_order_and_faults(spark):
+    calls = [
+        (1, 1, "a", "respond", OK, [], "s"),
+        (1, 3, "b", "respond", OK, ["a"], "s"),
+        (1, 5, "c", "respond", OK, ["b", "a", "b"], "s"),
+        (1, 9, "a", "respond", OK, [], "s"),  # the id again
+        (1, 2, "p", "respond", OK, ["q"], "s"),  # a cycle and what hangs on it
+        (1, 2, "q", "respond", OK, ["p"], "s"),
+        (1, 7, "r", "respond", OK, ["p"], "s"),
+        (1, 8, "m", "respond", '{"turn": -1}', ["gone"], "s"),
+        (2, 1, "a", "other", None, None, "s"),
+        (None, 1, "z", "respond", OK, [], "s"),
+        (1, 4, None, "respond", OK, [], "s"),
+    ]
+    results = [(1, 2, "a", "first", 9), (1, 4, "a", "second", 9), (1, 2, "a", "first", 9), (1, 1, "none", "lost", 9), (1, 6, "c", None, 9)]
+    df = chat.linked(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS))
+    got = sorted(((r.kind, r.conv_id or 0, r.turn, r.call_id or "", r.status, r.level, r.valid) for r in df.collect()), key=str)
+    assert got == sorted(
+        [
+            ("call", 1, 1, "a", "answered", 0, True),
+            ("call", 1, 3, "b", "unanswered", 1, True),
+            ("call", 1, 5, "c", "answered", 2, True),
+            ("call", 1, 9, "a", "duplicate", None, True),
+            ("call", 1, 2, "p", "unanswered", None, True),
+            ("call", 1, 2, "q", "unanswered", None, True),
+            ("call", 1, 7, "r", "unanswered", None, True),
+            ("call", 1, 8, "m", "unanswered", 0, False),
+            ("call", 2, 1, "a", "unanswered", 0, False),
+            ("call", 0, 1, "z", "unanswered", None, True),
+            ("call", 1, 4, "", "unanswered", None, True),
+            ("result", 1, 2, "a", "linked", 0, True),
+            ("result", 1, 2, "a", "linked", 0, True),
+            ("result", 1, 4, "a", "duplicate", None, True),
+            ("result", 1, 1, "none", "orphan", None, True),
+            ("result", 1, 6, "c", "linked", 2, True),
+        ],
+        key=str,
+    )
+
+
+def test_plain_conversations(spark):
+    turns = [(1, 0, "system", "be"), (1, 1, "user", "q"), (1, 2, "assistant", "a"), (1, 3, "user", ""), (2, 0, "user", None), (2, 1, None, "?"), (3, 1, "assistant", "x")]
+    df = spark.createDataFrame([(*t, "extra") for t in turns], MESSAGES + ", json string")
+    got = {(r.conv_id, r.turn): r for r in chat.formatted(*chat.asked_and_answered(df)).collect()}
+    assert len(got) == len(turns)
+    view = {k: (r.kind, r.status, r.level, r.valid) for k, r in got.items()}
+    assert view == {
+        (1, 0): ("message", "plain", None, True),
+        (1, 1): ("call", "answered", 0, True),
+        (1, 2): ("result", "linked", 0, True),
+        (1, 3): ("call", "unanswered", 1, False),  # an empty text is too short
+        (2, 0): ("call", "unanswered", 0, False),
+        (2, 1): ("message", "plain", None, True),
+        (3, 1): ("result", "orphan", None, True),
+    }
+    assert got[(1, 1)].json == '{"arguments":{"role":"user","text":"q","turn":1},"id":"c1","name":"respond","type":"call"}'
+    assert got[(2, 1)].json == '{"content":"?","role":null,"type":"message"}'
+
+
+def test_turns_that_hold_calls(spark):
+    ask = json.dumps({"tool_calls": [{"id": "k", "name": "respond", "arguments": OK}, {"id": "l", "name": "respond", "arguments": OK, "depends_on": ["k"]}]})
+    turns = [(1, 0, "user", "{not json"), (1, 1, "assistant", ask), (1, 2, "tool", json.dumps({"tool_call_id": "k", "content": "42"})), (1, 3, "assistant", "plain")]
+    calls, results, messages = chat.parsed(spark.createDataFrame(turns, MESSAGES))
+    got = sorted((r.kind, r.call_id or "", r.status, r.level) for r in chat.formatted(calls, results, messages).collect())
+    assert got == [("call", "k", "answered", 0), ("call", "l", "unanswered", 1), ("message", "", "plain", None), ("message", "", "plain", None), ("result", "k", "linked", 0)]
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], MESSAGES)
+    assert chat.formatted(*chat.asked_and_answered(none)).count() == 0
