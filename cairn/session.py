@@ -7,7 +7,9 @@ sizing and memory settings always win.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -62,14 +64,20 @@ def ensure_semantics(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written tables.
 
-    Reads ``spark.checkpoint.dir`` (the cluster names it); only when it is
-    unset, as in tests, a fresh scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir`` (the cluster names it). Where it is unset, a
+    local session that names a scratch folder in ``CAIRN_SCRATCH`` gets a fresh
+    folder there, removed when the process ends; anything else raises, as
+    executors would write to their own disks.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="cairn-ckpt-", dir=os.environ.get("CAIRN_SCRATCH", "/tmp"))
+        scratch = os.environ.get("CAIRN_SCRATCH")
+        if not scratch or not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="cairn-ckpt-", dir=scratch)
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(conf_dir)
