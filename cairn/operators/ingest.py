@@ -3,7 +3,8 @@
 The reference keeps a JSON file per entity and merges fetches in a Python
 dict ("last write wins"). On Spark the same outcome is a keyed aggregate:
 ``max_by(record, (batch_seq, row_seq))`` per key. ``max_by`` is a declarative
-aggregate, so it runs partially on the map side: however many records share
+aggregate, so it runs partially on the map side (sort-based, as its buffer is
+a struct): however many records share
 one key (even a third of all rows), only one candidate per key per task
 crosses the shuffle, and no group is ever collected into a list.
 """
