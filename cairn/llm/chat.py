@@ -11,8 +11,8 @@ assistant's next turn).
 
 Calls and results meet in a hash join by (conv_id, call_id). Each side is first
 reduced to one lead row a key, so a much-repeated identifier makes no product of
-its rows. Calls are ordered by rounds: a call's level is one more than the
-largest level it depends on. Canonical JSON has sorted keys, no white space,
+its rows. Calls are ordered by level: one more than the largest level among
+those a call depends on. Canonical JSON has sorted keys, no white space,
 shortest numbers and unescaped Unicode.
 
 Defined results. A call is ``answered``, ``unanswered``, or ``duplicate`` (not
@@ -154,30 +154,64 @@ def parsed(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 # ------------------------------------------------------------ order
 def levels(lead: DataFrame) -> DataFrame:
-    """conv_id, call_id, level, missing: of lead calls. Every round settles the
-    calls whose known dependencies are all settled; rounds end when none is."""
+    """conv_id, call_id, level, missing: of lead calls.
+
+    A call with one dependency follows it; such chains are followed by doubling
+    steps to their anchor (a call with no dependency, or with several), so a chain
+    of n calls takes log2(n) rounds. Calls with several dependencies are settled
+    in rounds once the anchors they lead to are."""
     spark = lead.sparkSession
     nodes = lead.select(*KEY)
     wants = lead.select(*KEY, F.explode(F.array_distinct("depends_on")).alias("needs"))
-    targets = nodes.select("conv_id", F.col("call_id").alias("needs"), F.lit(1).alias("there"))
-    edges = written(wants.join(targets, ["conv_id", "needs"], "left"), "chat-edges")
-    missing = edges.where("there IS NULL").groupBy(*KEY).agg(F.count(F.lit(1)).alias("missing"))
-    open_edges = edges.where("there = 1").drop("there")
-    settled = written(nodes.join(open_edges.select(*KEY).distinct(), KEY, "left_anti").withColumn("level", F.lit(0)), "chat-level")
-    rounds, waiting, old = [settled], open_edges, []
-    while not rounds[-1].isEmpty() and not waiting.isEmpty():
-        last = rounds[-1].select("conv_id", F.col("call_id").alias("needs"), F.lit(1).alias("now"))
-        step = written(waiting.join(last, ["conv_id", "needs"], "left"), "chat-step")
-        counts = step.groupBy(*KEY).agg(F.count(F.lit(1)).alias("all"), F.count("now").alias("met"))
-        ready = counts.where(F.col("all") == F.col("met")).select(*KEY)
-        rounds.append(written(ready.withColumn("level", F.lit(len(rounds))), "chat-level"))
-        waiting = step.where("now IS NULL").drop("now")
-        old.append(step)
-    out = rounds[0]
+    there = nodes.select("conv_id", F.col("call_id").alias("needs"), F.lit(1).alias("there"))
+    edges = written(wants.join(there, ["conv_id", "needs"], "left"), "chat-edges")
+    met = edges.groupBy(*KEY).agg(F.count("there").alias("deps"), F.min(F.when(F.col("there") == 1, F.col("needs"))).alias("only"), F.count(F.lit(1)).alias("all"))
+    start = nodes.join(met, KEY, "left")
+    single = F.coalesce(F.col("deps") == 1, F.lit(False))
+    state = written(
+        start.select(
+            *KEY,
+            F.when(single, F.col("only")).otherwise(F.col("call_id")).alias("anchor"),
+            F.when(single, 1).otherwise(0).alias("steps"),
+            (~single).alias("settled"),
+            F.coalesce("deps", F.lit(0)).alias("deps"),
+            F.coalesce(F.col("all") - F.col("deps"), F.lit(0)).alias("missing"),
+        ),
+        "chat-state",
+    )
+    total = nodes.count()
+    for _ in range(total.bit_length() + 1):  # then only cycles are unsettled
+        if state.where("NOT settled").isEmpty():
+            break
+        further = state.select("conv_id", F.col("call_id").alias("anchor"), F.col("anchor").alias("far"), F.col("steps").alias("more"), F.col("settled").alias("end"))
+        jumped = state.where("NOT settled").join(further, ["conv_id", "anchor"]).select(
+            *KEY, F.col("far").alias("anchor"), (F.col("steps") + F.col("more")).alias("steps"), F.col("end").alias("settled"), "deps", "missing"
+        )
+        new = written(state.where("settled").unionByName(jumped), "chat-state")
+        forget(spark, state)
+        state = new
+    anchored = state.where("settled")
+    ends = anchored.select("conv_id", F.col("call_id").alias("needs"), "anchor", (F.col("steps") + 1).alias("steps"))
+    several = state.where("deps > 1").select(*KEY)
+    waiting = written(edges.where("there = 1").join(several, KEY).join(ends, ["conv_id", "needs"], "left").select(*KEY, "anchor", "steps"), "chat-waiting")
+    rounds = [written(state.where("settled AND deps = 0").select(*KEY, F.lit(0).alias("level")), "chat-level")]
+    while not waiting.isEmpty() and not rounds[-1].isEmpty():
+        known = rounds[0]
+        for more in rounds[1:]:
+            known = known.unionByName(more)
+        step = waiting.join(known.select("conv_id", F.col("call_id").alias("anchor"), "level"), ["conv_id", "anchor"], "left")
+        ready = step.groupBy(*KEY).agg(F.count(F.lit(1)).alias("all"), F.count("level").alias("met"), F.max(F.col("level") + F.col("steps")).alias("level"))
+        rounds.append(written(ready.where("all = met").select(*KEY, "level"), "chat-level"))
+        left = written(waiting.join(rounds[-1].select(*KEY), KEY, "left_anti"), "chat-waiting")
+        forget(spark, waiting)
+        waiting = left
+    known = rounds[0]
     for more in rounds[1:]:
-        out = out.unionByName(more)
-    out = written(nodes.join(out, KEY, "left").join(missing, KEY, "left").withColumn("missing", F.coalesce("missing", F.lit(0))), "chat-levels")
-    forget(spark, edges, *old, *rounds)
+        known = known.unionByName(more)
+    known = known.select("conv_id", F.col("call_id").alias("anchor"), F.col("level").alias("base"))
+    level = F.when(F.col("settled"), F.col("base") + F.col("steps")).cast("int")
+    out = written(state.join(known, ["conv_id", "anchor"], "left").select(*KEY, level.alias("level"), "missing"), "chat-levels")
+    forget(spark, edges, state, waiting, *rounds)
     return out
 
 

@@ -65,6 +65,25 @@ def test_links_order_and_faults(spark):
     )
 
 
+def test_levels_equal_longest_paths(spark):
+    import random
+
+    rng = random.Random(6)
+    needs = {k: sorted(rng.sample(range(max(0, k - 6), k), min(k, rng.choice([0, 1, 1, 1, 2, 3])))) for k in range(120)}
+    needs |= {200 + k: [199 + k] if k else [] for k in range(100)}  # a long chain
+    needs |= {400: [401], 401: [402], 402: [400], 403: [402, 5], 404: [403], 405: [405]}  # cycles and what hangs on them
+    level: dict = {}
+    while True:
+        more = {k: 1 + max((level[d] for d in ds), default=-1) for k, ds in needs.items() if k not in level and all(d in level for d in ds)}
+        if not more:
+            break
+        level |= more
+    rows = [(1, f"k{k}", [f"k{d}" for d in ds] + ["gone"] * (k % 7 == 0)) for k, ds in needs.items()]
+    got = chat.levels(spark.createDataFrame(rows, "conv_id long, call_id string, depends_on array<string>")).collect()
+    assert {int(r.call_id[1:]): r.level for r in got} == {k: level.get(k) for k in needs}
+    assert all(r.missing == (int(r.call_id[1:]) % 7 == 0) for r in got)
+
+
 def test_plain_conversations(spark):
     turns = [(1, 0, "system", "be"), (1, 1, "user", "q"), (1, 2, "assistant", "a"), (1, 3, "user", ""), (2, 0, "user", None), (2, 1, None, "?"), (3, 1, "assistant", "x")]
     df = spark.createDataFrame([(*t, "extra") for t in turns], MESSAGES + ", json string")
