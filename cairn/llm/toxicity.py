@@ -112,7 +112,12 @@ class Network:
 
     def products(self, words: list[bytes]) -> np.ndarray:
         """Gate inputs of both directions: 6 HIDDEN numbers a word."""
-        return self.inputs(words)[0] @ self.w["into"] + self.w["into_bias"]
+        return self.vectors(words) @ self.w["into"] + self.w["into_bias"]
+
+    def vectors(self, words: list[bytes], step: int = 16_384) -> np.ndarray:
+        """Input vectors only, for some words at a time: n-grams take memory."""
+        parts = [self.inputs(words[k : k + step])[0] for k in range(0, len(words), step)]
+        return np.concatenate(parts) if parts else np.empty((0, 2 * WIDE), np.float32)
 
     def states(self, gates: np.ndarray, at: np.ndarray, live: np.ndarray | None, kept: list | None = None) -> np.ndarray:
         """States (windows, WINDOW, 2 HIDDEN). ``gates``: gate inputs by row;
@@ -190,7 +195,7 @@ def new_network(texts: list[list[bytes]], y: np.ndarray, rng) -> Network:
     gram_texts = np.zeros((2, GRAM_BUCKETS))
     for words, label in zip(texts, y):
         if words:
-            gram_texts[int(label), np.unique(gram_buckets(sorted(set(words)))[0])] += 1
+            gram_texts[int(label), np.unique(gram_buckets(list(set(words)))[0])] += 1
     gram_odds = np.where(gram_texts.sum(axis=0) >= MIN_TEXTS, odds(gram_texts[0], gram_texts[1]), 0)
     grams = rng.normal(0, 0.02, (GRAM_BUCKETS, WIDE)).astype(np.float32)
     grams[:, 0] = gram_odds / 4
@@ -268,7 +273,7 @@ def train(texts: list[list[bytes]], y: np.ndarray, seed: int = 11) -> Network |
 
     for epoch in range(EPOCHS):
         if epoch == 0:
-            prior = net.inputs(words)[0][:, [0, WIDE]].sum(axis=1)[flat]
+            prior = net.vectors(words)[:, [0, WIDE]].sum(axis=1)[flat]
             reach = np.minimum(starts[:, None] + np.arange(WINDOW), len(flat) - 1)
             values = np.where(np.arange(WINDOW) < lengths[:, None], prior[reach], -9).max(axis=1)
         elif epoch % 2 == 0:
