@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import WordHashes, ascii_words, arrow_map, column, mix, prepare, window_hashes
 
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 3000
 SAMPLE_CHARS = 200_000
 #: Buckets of each n-gram family (a power of two).
 BUCKETS = 2048
@@ -126,7 +126,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, held_out, rows: int =
         F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS)
     )
     # the ids are at most ``rows`` rows, so this side may be broadcast
-    return texts.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    # rows that repeat an id give its smallest text, so the sample never depends on order
+    return texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out=lambda key: F.lit(False), rows: int = SAMPLE_ROWS) -> Model | None:
@@ -156,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out=lam
     if len({r["y"] for r in got}) < 2:
         return None
     got.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
-    x = np.zeros((len(got), width), np.float32)  # at most 160 MB
+    x = np.zeros((len(got), width), np.float32)  # at most 120 MB
     for k, r in enumerate(got):
         x[k, np.frombuffer(r["f"]["at"], np.uint16)] = np.frombuffer(r["f"]["x"], np.float32)
     y = np.array([r["y"] for r in got], np.float32)
