@@ -127,20 +127,21 @@ def solve_master(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> list
     """
     m = len(lengths)
     at = {int(v): k for k, v in enumerate(lengths)}
-    basis = np.zeros((m, m))
+    basis, inverse = np.zeros((m, m)), np.zeros((m, m))
     used = np.zeros(m)
     cost = np.ones(m)
     for k, v in enumerate(lengths):
         basis[k, k] = capacity // v
+        inverse[k, k] = 1 / basis[k, k]
         used[k] = demand[k] / basis[k, k]
     for k, v in enumerate(lengths):
         j = at.get(int(capacity - v))
         if j is not None and j != k and (demand[k], k) < (demand[j], j):
             basis[:, k] = 0
-            basis[k, k] = basis[j, k] = 1
+            basis[k, k] = basis[j, k] = inverse[k, k] = 1
+            inverse[j, k] = -inverse[j, j]  # column j keeps its diagonal only
             used[k] = demand[k]
             used[j] = (demand[j] - demand[k]) / (capacity // lengths[j])
-    inverse = np.linalg.inv(basis)
     bound = float(demand @ lengths) / capacity
     pivots = 0
     while pivots < MAX_PIVOTS:
@@ -252,13 +253,20 @@ def places(plan: list[tuple[dict[int, int], int]]) -> np.ndarray:
     return np.array(sorted(rows), dtype=np.int64).reshape(-1, 6)
 
 
+def dealt_buckets(cut: DataFrame, total: int) -> DataFrame:
+    """Pieces of a written table with their ``bucket``. The place in the table
+    parts pieces that are alike in every column."""
+    buckets = max(16, -(-total // BUCKET_ROWS))
+    dealt = F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens", F.col("_metadata.row_index"))
+    return cut.withColumn("bucket", F.pmod(dealt, F.lit(buckets)))
+
+
 def ranked(cut: DataFrame, total: int) -> DataFrame:
     """``place_rank``: the number of a piece among those of its length, from 0.
 
     A length may hold most pieces, so each is dealt into buckets; ranks count
     within a bucket, behind the pieces of the buckets before it."""
-    buckets = max(16, -(-total // BUCKET_ROWS))
-    cut = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(buckets)))
+    cut = dealt_buckets(cut, total)
     sizes = cut.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))

@@ -1,6 +1,9 @@
 """Packing: every id once, in gapless sequences, with little padding."""
 
+import os
 import random
+import subprocess
+import sys
 import zlib
 from array import array
 from collections import defaultdict
@@ -56,6 +59,45 @@ def test_master_reaches_the_material_bound():
     assert sum(times for _, times in solved) <= 60 + 35 + 30 + 1e-6
 
 
+def test_first_basis_is_inverted_right():
+    """Complements, equal demands and lengths without a partner, by hand and
+    against the material bound (no pivot starts from a wrong inverse)."""
+    lengths, demand = np.array([100, 512, 600, 924]), np.array([7.0, 9.0, 5.0, 7.0])
+    covered = sum(pattern * times for pattern, times in packing.solve_master(lengths, demand, 1024))
+    assert (covered >= demand - 1e-6).all()
+
+
+FRESH = """
+import numpy as np
+from cairn.session import build_session
+from cairn.llm import packing
+spark = build_session(master="local[2]", app="fresh")
+spark.range(10).count()
+counts = {int(v): int(n) for v, n in zip(range(1, 1025, 3), np.random.default_rng(0).integers(1, 500, 400))}
+print(len(packing.cutting_plan(counts)) > 0)
+spark.stop()
+"""
+
+
+def test_plan_after_a_session_has_started():
+    """In a process of its own, without any thread setting: no library call may
+    wait for threads that were lost when the session started the JVM."""
+    env = {k: v for k, v in os.environ.items() if not k.endswith("_NUM_THREADS")}
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", FRESH], env=env | {"PYTHONPATH": root}, capture_output=True, text=True, timeout=120)
+    assert done.stdout.strip().endswith("True"), done.stderr[-2000:]
+
+
+def test_pieces_alike_in_every_column_spread(spark, tmp_path):
+    """Null ids and one text: no bucket gets all of them."""
+    rows = [(None, "one and the same text")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    cut = packing.written(packing.pieces(docs, 1024, None, False), "alike")
+    sizes = packing.ranked(cut, 3000).groupBy("place_rank").count().collect()
+    assert len(sizes) == 3000 and {r["count"] for r in sizes} == {1}
+    assert packing.dealt_buckets(cut, 3000).groupBy("bucket").count().agg({"count": "max"}).first()[0] < 1000
+
+
 def docs_of(spark):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 9)))
