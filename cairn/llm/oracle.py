@@ -52,3 +52,39 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
 ) WHERE rank <= 20
 """
+
+DIVERGENCE = r"""
+WITH d AS (
+  SELECT coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS id FROM documents
+), t AS (
+  SELECT id, lang, source,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM d
+), k AS (
+  SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 10
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term
+), cell AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.lang_n
+  FROM (SELECT DISTINCT lang, source FROM d) g JOIN k ON g.lang = k.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), x AS (
+  SELECT lang, source, term, n,
+         (1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER g + 2 * count(*) OVER g)::HUGEINT)::HUGEINT AS p,
+         (1 + (1000000000::HUGEINT * (lang_n + 2)) // (sum(lang_n) OVER g + 2 * count(*) OVER g)::HUGEINT)::HUGEINT AS q
+  FROM cell WINDOW g AS (PARTITION BY lang, source)
+), far AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM x a JOIN x b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), g AS (SELECT DISTINCT lang, source FROM d), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(far.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source
+), words AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM x WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM words)
+) WHERE part = 'pair' OR rank <= 10
+"""

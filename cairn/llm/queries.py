@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and the pipeline.
+"""Registered queries of the operators.
 
 Each applies its operator, with production parameters, to its whole table.
 """
@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, oracle, packing, pathjoin, quality, rule_ensemble, topk, toxicity, urlfilter, warc
+from . import bpe, chat, divergence, oracle, packing, pathjoin, quality, rule_ensemble, topk, toxicity, urlfilter, warc
 from .common import fold, prepare, scratch, table
 
 
@@ -66,6 +66,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = {
         "op1_packing": op1_packing,
@@ -78,6 +82,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_format": op8_chat_format,
         "op9_bpe": op9_bpe,
         "op10_toxicity": op10_toxicity,
+        "op11_divergence": op11_divergence,
     }
 
     def prepared(fn):
@@ -91,4 +96,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": oracle.WARC, "op4_url_filters": oracle.URLS, "op7_topk": oracle.TOPK}
+    return {"op2_warc": oracle.WARC, "op4_url_filters": oracle.URLS, "op7_topk": oracle.TOPK, "op11_divergence": oracle.DIVERGENCE}
