@@ -29,8 +29,9 @@ All sums are exact: counts are longs, the products with 10^9 decimals, p at most
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ _TERM_BYTES = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
 )
 #: Sums of a task are handed on when they hold so many terms.
-HELD_TERMS = 300_000
+HELD_TERMS = 500_000
 #: Shares into which the rows of a group are dealt to meet its totals.
 SALTS = 32
 SCALE = 1_000_000_000
@@ -76,57 +77,76 @@ def collapsed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def term_sums(texts: DataFrame) -> DataFrame:
-    """lang, source, term, n, df: partial sums, one row or a few a task."""
-    fields = [("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("df", pa.int64())]
-
+    """lang, term, df, held: partial sums, a row or a few a task; ``held`` has
+    the term's occurrences (source, n) by source."""
     most = HELD_TERMS
-
-    def batch_of(sums: dict) -> pa.RecordBatch:
-        cols: list[list] = [[], [], [], [], []]
-        for (lang, source), found in sums.items():
-            cols[0] += [lang] * len(found)
-            cols[1] += [source] * len(found)
-            cols[2] += [t.decode("utf-8", "replace") for t in found]
-            cols[3] += [v[0] for v in found.values()]
-            cols[4] += [v[1] for v in found.values()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, fields)], names=[f for f, _ in fields])
+    entry = pa.struct([("source", pa.string()), ("n", pa.int64())])
+    schema = pa.schema([("lang", pa.string()), ("term", pa.string()), ("df", pa.int64()), ("held", pa.list_(entry))])
+
+    def batch_of(lang: str, dfs: Counter, sums: dict[str, Counter]) -> pa.RecordBatch:
+        at = {t: k for k, t in enumerate(dfs)}
+        place = np.concatenate([np.fromiter(map(at.__getitem__, c), np.int64, len(c)) for c in sums.values()])
+        count = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for c in sums.values()])
+        of = np.repeat(np.arange(len(sums)), [len(c) for c in sums.values()])
+        order = np.argsort(place, kind="stable")
+        ends = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(at)))])
+        held = pa.StructArray.from_arrays([pa.array(list(sums), pa.string()).take(pa.array(of[order])), pa.array(count[order])], fields=list(entry))
+        cols = [
+            pa.repeat(pa.scalar(lang, pa.string()), len(at)),
+            pa.array([t.decode("utf-8", "replace") for t in dfs], pa.string()),
+            pa.array(np.fromiter(dfs.values(), np.int64, len(at))),
+            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), held),
+        ]
+        return pa.RecordBatch.from_arrays(cols, schema=schema)
 
     def run(batches):
-        sums: dict = defaultdict(dict)
-        size = 0
+        sums, dfs, size = defaultdict(lambda: defaultdict(Counter)), defaultdict(Counter), 0
         for batch in batches:
             langs, held = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for lang, text, groups in zip(langs, batch.column(1).cast(pa.binary()).to_pylist(), held):
-                counts: dict = {}
-                for t in terms(text):
-                    counts[t] = counts.get(t, 0) + 1
+                words = terms(text)
+                if not words:
+                    continue
+                copies = sum(g["n"] for g in groups)
+                add(dfs[lang], set(words), copies)
                 for g in groups:
-                    into, copies = sums[lang, g["source"]], g["n"]
+                    into = sums[lang][g["source"]]
                     size -= len(into)
-                    for t, c in counts.items():
-                        if t in into:
-                            into[t][0] += c * copies
-                            into[t][1] += copies
-                        else:
-                            into[t] = [c * copies, copies]
+                    add(into, words, g["n"])
                     size += len(into)
-                    if size >= most:
-                        yield batch_of(sums)
-                        sums.clear()
-                        size = 0
-        if size:
-            yield batch_of(sums)
+                if size >= most:
+                    for x in dfs:
+                        yield batch_of(x, dfs[x], sums[x])
+                    sums.clear()
+                    dfs.clear()
+                    size = 0
+        for x in dfs:
+            yield batch_of(x, dfs[x], sums[x])
+
+    return texts.mapInArrow(run, "lang string, term string, df long, held array<struct<source:string,n:long>>")
+
 
-    return texts.mapInArrow(run, "lang string, source string, term string, n long, df long")
+def add(into: Counter, words, copies: int) -> None:
+    if copies == 1:
+        into.update(words)
+    else:
+        into.update({t: n * copies for t, n in Counter(words).items()})
 
 
 def kept_terms(sums: DataFrame, min_docs: int) -> DataFrame:
     """lang, source, term, n of the terms in ``min_docs`` documents of the lang;
-    ``total``, the term's count in the lang."""
-    whole = sums.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
-    whole = written(whole, "divergence-terms")
-    kept = whole.groupBy("lang", "term").agg(F.sum("df").alias("df"), F.sum("n").alias("total"))
-    return whole.drop("df").join(kept.where(F.col("df") >= min_docs).drop("df"), ["lang", "term"])
+    ``total``, the term's count in the lang.
+
+    One shuffle by (lang, term); a term's document frequency goes along as the
+    row without a source, and a window over its rows (one a source) hands it on."""
+    dealt = sums.repartition("lang", "term")
+    flat = dealt.select("lang", "term", F.inline(F.array_append("held", F.struct(F.lit(None).cast("string").alias("source"), F.col("df").alias("n")))))
+    whole = flat.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
+    term = Window.partitionBy("lang", "term")
+    docs = F.max(F.when(F.col("source").isNull(), F.col("n"))).over(term)
+    total = F.sum(F.when(F.col("source").isNotNull(), F.col("n"))).over(term)
+    held = whole.select("lang", "source", "term", "n", total.alias("total"), docs.alias("df"))
+    return held.where((F.col("df") >= min_docs) & F.col("source").isNotNull()).drop("df")
 
 
 def chance(count: str, total: str, size: str) -> Column:

@@ -71,7 +71,7 @@ def test_small_tasks_sums_and_no_kept_terms(spark, monkeypatch):
     task = divergence.term_sums
     monkeypatch.setattr(divergence, "HELD_TERMS", 3)  # read when the task is made
     texts, _ = divergence.collapsed(spark.createDataFrame(rows, "text string, lang string, source string"))
-    many = task(texts)
+    many = task(texts).selectExpr("lang", "term", "inline(held)")
     sums = {(r.lang, r.source, r.term): r.n for r in many.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).collect()}
     want = Counter((lang or "", s or "", t.translate(LOWER)) for text, lang, s in rows for t in TERM.findall(text or ""))
     assert sums == dict(want)
