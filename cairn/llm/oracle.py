@@ -88,3 +88,25 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM
   FROM (SELECT * FROM pairs UNION ALL SELECT * FROM words)
 ) WHERE part = 'pair' OR rank <= 10
 """
+
+NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END) AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::BIGINT AS score
+  FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM (
+  SELECT p.anchor_id, positive_id, s.other AS negative_id, positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+  WHERE 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+) WHERE rank <= 10
+"""

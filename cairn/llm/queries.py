@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, divergence, oracle, packing, pathjoin, quality, rule_ensemble, topk, toxicity, urlfilter, warc
+from . import bpe, chat, divergence, hardneg, oracle, packing, pathjoin, quality, rule_ensemble, topk, toxicity, urlfilter, warc
 from .common import fold, prepare, scratch, table
 
 
@@ -70,6 +70,11 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings"), lambda key: key % 100 == 0, label)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = {
         "op1_packing": op1_packing,
@@ -83,6 +88,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_bpe": op9_bpe,
         "op10_toxicity": op10_toxicity,
         "op11_divergence": op11_divergence,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
     def prepared(fn):
@@ -96,4 +102,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": oracle.WARC, "op4_url_filters": oracle.URLS, "op7_topk": oracle.TOPK, "op11_divergence": oracle.DIVERGENCE}
+    return {"op2_warc": oracle.WARC, "op4_url_filters": oracle.URLS, "op7_topk": oracle.TOPK, "op11_divergence": oracle.DIVERGENCE, "op13_hard_negatives": oracle.NEGATIVES}
