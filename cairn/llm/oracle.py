@@ -110,3 +110,19 @@ SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, n
   WHERE 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
 ) WHERE rank <= 10
 """
+
+LINES = r"""
+WITH d AS (
+  SELECT coalesce(text, '') AS text, doc_id, row_number() OVER () AS id FROM documents
+), l AS (
+  SELECT id, doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place FROM d
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), m AS (
+  SELECT *, length(key) >= 10 AND min(doc_id) OVER (PARTITION BY key) < doc_id AS lost FROM k
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT lost), '')) AS kept_sha256
+FROM m GROUP BY id, doc_id
+"""

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, divergence, hardneg, oracle, packing, pathjoin, quality, rule_ensemble, topk, toxicity, urlfilter, warc
+from . import bpe, chat, divergence, hardneg, linededup, oracle, packing, pathjoin, quality, rule_ensemble, topk, toxicity, urlfilter, warc
 from .common import fold, prepare, scratch, table
 
 
@@ -70,6 +70,16 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table enters in two increments (by a hash of the id), so the second
+    passes the filters of the first."""
+    docs = table(spark, sf_dir, "documents")
+    index = linededup.LineIndex(spark, scratch(spark, "lines"))
+    for half in (0, 1):
+        index.insert(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == half))
+    return index.kept(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hardneg.mine(table(spark, sf_dir, "embeddings"), lambda key: key % 100 == 0, label)
@@ -88,6 +98,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_bpe": op9_bpe,
         "op10_toxicity": op10_toxicity,
         "op11_divergence": op11_divergence,
+        "op12_line_dedup": op12_line_dedup,
         "op13_hard_negatives": op13_hard_negatives,
     }
 
@@ -102,4 +113,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": oracle.WARC, "op4_url_filters": oracle.URLS, "op7_topk": oracle.TOPK, "op11_divergence": oracle.DIVERGENCE, "op13_hard_negatives": oracle.NEGATIVES}
+    return {"op2_warc": oracle.WARC, "op4_url_filters": oracle.URLS, "op7_topk": oracle.TOPK, "op11_divergence": oracle.DIVERGENCE, "op12_line_dedup": oracle.LINES, "op13_hard_negatives": oracle.NEGATIVES}
