@@ -70,6 +70,50 @@ def period_stats(fact: DataFrame, table: str) -> DataFrame:
     return _period_stats(fact, unit, label, with_comments)
 
 
+# Mergeable state of a period: how each part is made from the fact's rows and from
+# the parts of other states. Averages are kept as a sum and a count.
+_SUMS = ("distance_km", "moving_time_min", "total_elevation_m", "kudos_count", "comment_count", "pr_count")
+_MEANS = ("pace_min_per_km", "average_heartrate")
+
+
+def period_state(fact: DataFrame, table: str) -> DataFrame:
+    """One row a period of ``fact``: what its statistics can be merged from."""
+    unit, label, _ = PERIODS[table]
+    return fact.groupBy(trunc_ntz(unit, "start_date_utc").alias(label)).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(c).alias(f"sum_{c}") for c in (*_SUMS, *_MEANS)],
+        *[F.count(c).alias(f"n_{c}") for c in _MEANS],
+        F.min("pace_min_per_km").alias("min_pace_min_per_km"),
+        F.max("max_heartrate").alias("max_max_heartrate"),
+    )
+
+
+def period_stats_from_states(states: DataFrame, table: str) -> DataFrame:
+    """The rollup of everything the states were made from (any number a period)."""
+    _, label, with_comments = PERIODS[table]
+    merged = states.groupBy(label).agg(
+        F.sum("n").alias("n"),
+        *[F.sum(c).alias(c) for c in states.columns if c.startswith(("sum_", "n_"))],
+        F.min("min_pace_min_per_km").alias("best_pace"),
+        F.max("max_max_heartrate").alias("max_heartrate"),
+    )
+    mean = lambda c: F.expr(f"CASE WHEN n_{c} > 0 THEN sum_{c} / n_{c} END")
+    return merged.select(
+        label,
+        F.col("n").alias("activity_count"),
+        F.col("sum_distance_km").alias("total_distance_km"),
+        F.col("sum_moving_time_min").alias("total_time_min"),
+        mean("pace_min_per_km").alias("avg_pace"),
+        "best_pace",
+        mean("average_heartrate").alias("avg_heartrate"),
+        "max_heartrate",
+        F.col("sum_total_elevation_m").alias("total_elevation_m"),
+        F.col("sum_kudos_count").alias("total_kudos"),
+        *([F.col("sum_comment_count").alias("total_comments")] if with_comments else []),
+        F.col("sum_pr_count").alias("total_prs"),
+    ).orderBy(F.asc_nulls_last(label))
+
+
 def weekly_stats(fact: DataFrame) -> DataFrame:
     return _period_stats(fact, "week", "week_start", with_comments=True)
 

@@ -12,6 +12,7 @@ crosses the shuffle, and no group is ever collected into a list.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,7 +117,32 @@ def keyed_merge(records: DataFrame, keys: Sequence[str], order: Sequence[str] =
     ).select(*records.columns)
 
 
-def new_keys_only(batch: DataFrame, history: DataFrame, key: str = BRONZE_KEY) -> DataFrame:
+def key_ranges(batch: DataFrame, key: str = BRONZE_KEY, parts: int = 64) -> list[tuple[int, int]]:
+    """At most ``parts`` ranges (least, greatest) that hold every key of a batch.
+
+    The batch's span is cut into equal parts, and each part shrinks to the keys in
+    it: keys that lie close together give short ranges, a part with one key gives
+    that key. Two narrow passes over the batch; a bounded list on the driver.
+    """
+    keys = batch.where(F.col(key).isNotNull()).select(F.col(key).alias("k"))
+    span = keys.agg(F.min("k").alias("lo"), F.max("k").alias("hi")).first()
+    if span["lo"] is None:
+        return []
+    width = (span["hi"] - span["lo"]) // parts + 1
+    part = F.expr(f"(CAST(k AS DECIMAL(20,0)) - {span['lo']}BD) DIV {width}BD")
+    return sorted((r["lo"], r["hi"]) for r in keys.groupBy(part.alias("part")).agg(F.min("k").alias("lo"), F.max("k").alias("hi")).collect())
+
+
+def within(table: DataFrame, ranges: Sequence[tuple[int, int]], key: str = BRONZE_KEY) -> DataFrame:
+    """Rows whose key lies in one of the ranges. The condition reaches the scan:
+    row groups and pages by their statistics, single keys by Bloom filters."""
+    held = [F.col(key) == F.lit(lo) if lo == hi else F.col(key).between(F.lit(lo), F.lit(hi)) for lo, hi in ranges]
+    return table.where(reduce(Column.__or__, held)) if held else table.limit(0)
+
+
+def new_keys_only(
+    batch: DataFrame, history: DataFrame, key: str = BRONZE_KEY, ranges: Sequence[tuple[int, int]] | None = None
+) -> DataFrame:
     """``WHERE key NOT IN (SELECT key FROM history)`` without the NULL trap.
 
     SQL ``NOT IN`` returns nothing once the history holds a NULL key and plans
@@ -124,10 +150,13 @@ def new_keys_only(batch: DataFrame, history: DataFrame, key: str = BRONZE_KEY) -
     are dropped on both sides instead, and the rest is one shuffled anti join on
     the history's key column; adaptive execution broadcasts a side only after
     its shuffle has measured it, and splits a skewed key.
+
+    With the batch's ``key_ranges``, only the part of the history that can hold a
+    key of the batch is read.
     """
     batch = batch.where(F.col(key).isNotNull())
     hist = history.select(key).where(F.col(key).isNotNull())
-    return batch.join(hist, key, "left_anti")
+    return batch.join(hist if ranges is None else within(hist, ranges, key), key, "left_anti")
 
 
 def pk_violations(table: DataFrame, key: str = BRONZE_KEY) -> DataFrame:

@@ -52,6 +52,25 @@ def assert_unique(table: DataFrame, key: str) -> None:
         raise ValueError(f"duplicate key {key}={dup[0][key]!r}")
 
 
+def assert_new_and_unique(rows: DataFrame, history: DataFrame | None, key: str) -> None:
+    """Raise if a key of ``rows`` is null, repeats, or is in ``history`` (which
+    the caller limits to what can hold one)."""
+    if not rows.where(F.col(key).isNull()).isEmpty():
+        raise ValueError(f"null key {key}")
+    assert_unique(rows, key)
+    if history is not None:
+        known = rows.join(history.select(key), key, "left_semi").limit(1).collect()
+        if known:
+            raise ValueError(f"duplicate key {key}={known[0][key]!r}: in the table already")
+
+
+def written_counts(spark: SparkSession, lake, hops: Sequence[tuple[str, str, str, str]]) -> DataFrame:
+    """Like :func:`layer_counts`, for tables of a lake, each hop (layer, source,
+    layer, target): the rows each write counted, added up. Reads no data."""
+    rows = [(a, b, lake.rows(of_a, a), lake.rows(of_b, b)) for of_a, a, of_b, b in hops]
+    return spark.createDataFrame(rows, "source string, target string, source_rows long, target_rows long")
+
+
 def missing_tables(spark: SparkSession, listing: DataFrame, expected: Sequence[str]) -> DataFrame:
     """Expected table names that the catalog listing does not show."""
     want = spark.createDataFrame([(n,) for n in expected], "table_name string")

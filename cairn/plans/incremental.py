@@ -5,29 +5,25 @@ or training-load row and every fact row depends on its own bronze row only,
 so those tables are appended per batch as well. The other tables are merged
 exactly:
 
-* weekly / monthly rollups: only the periods the batch touches are
-  recomputed, from a range read of the silver fact (Parquet row-group
-  statistics prune everything outside the range); the previous version
-  supplies every other period;
+* weekly / monthly rollups: each batch appends its own partial states (sums,
+  counts, least and greatest, one row a period it touches), and the rollup is
+  merged from all states; late rows over any number of periods cost their batch;
 * top-10 paces: top-10 of (previous top-10 + the batch), exact because the
   order is total;
-* distinct dimensions: previous rows + the batch's rows, made distinct;
-  athlete names are re-joined for all owners so a renamed athlete is not
-  kept twice.
+* date and activity-type dimensions: only members not seen yet are appended;
+* athlete names are re-joined for all owners, so a renamed athlete is not kept
+  twice (the one dimension that is written whole).
 
-A run still scans the history's key column once (the key difference), lists
-its folders and rewrites the small dimension tables; the rest of its cost
-follows the batch.
+A run reads of the history's keys only what can hold a key of its batch (the
+batch's key ranges against the commits' ranges, then the scan's statistics); the
+rest of its cost follows the batch, the states and the folder listings.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.functions import trunc_ntz
 from cairn.operators import dims, gold
 from cairn.plans.lake import Lake
 
@@ -36,42 +32,15 @@ def _previous(lake: Lake, layer: str, table: str) -> DataFrame | None:
     return lake.read(layer, table) if lake.versions(layer, table) else None
 
 
-def _period_end(unit: str, start: dt.datetime) -> dt.datetime:
-    if unit == "week":
-        return start + dt.timedelta(days=7)
-    year, month = (start.year + 1, 1) if start.month == 12 else (start.year, start.month + 1)
-    return start.replace(year=year, month=month)
-
-
-def refresh_periods(lake: Lake, table: str, fact: DataFrame, new_fact: DataFrame) -> DataFrame:
-    """New version of a period rollup after ``new_fact`` was appended to ``fact``."""
-    unit, label, _ = gold.PERIODS[table]
-    ts = F.col("start_date_utc")
-    bounds = new_fact.agg(
-        F.min(trunc_ntz(unit, ts)).alias("lo"),
-        F.max(trunc_ntz(unit, ts)).alias("hi"),
-        F.max(ts.isNull().cast("int")).alias("has_null"),
-    ).first()  # one row: the touched range
-    previous = _previous(lake, "gold", table)
-    if bounds.lo is None and not bounds.has_null:
-        return previous if previous is not None else gold.period_stats(fact, table)
-    touched = F.lit(False)
-    kept = F.lit(True)
-    if bounds.lo is not None:
-        # literals from ISO text: independent of the driver's local time zone
-        lo = F.lit(bounds.lo.isoformat(sep=" ")).cast("timestamp_ntz")
-        hi = F.lit(_period_end(unit, bounds.hi).isoformat(sep=" ")).cast("timestamp_ntz")
-        touched = (ts >= lo) & (ts < hi)
-        kept = (F.col(label) < lo) | (F.col(label) >= hi)
-    if bounds.has_null:  # the NULL period is recomputed, so never kept
-        touched = touched | ts.isNull()
-        kept = kept & F.col(label).isNotNull()
-    else:
-        kept = kept | F.col(label).isNull()
-    recomputed = gold.period_stats(fact.where(touched), table)
-    if previous is None:
-        return recomputed
-    return previous.where(kept).unionByName(recomputed).orderBy(F.asc_nulls_last(label))
+def append_states(lake: Lake, table: str, batch_fact: DataFrame, batch_id: int) -> tuple[str, int]:
+    """The period states of one batch, appended: a row for each period in it."""
+    return lake.append_batch(gold.period_state(batch_fact, table), "state", table, batch_id)
+
+
+def merged_periods(lake: Lake, table: str) -> DataFrame:
+    """A period rollup from all batches' states: batches times periods short rows
+    at most, whichever periods the last batch touched; the fact is not read."""
+    return gold.period_stats_from_states(lake.read_table("state", table), table)
 
 
 def refresh_top_paces(lake: Lake, new_fact: DataFrame) -> DataFrame:
@@ -85,9 +54,19 @@ def refresh_top_paces(lake: Lake, new_fact: DataFrame) -> DataFrame:
     return gold.pb_efforts(previous.unionByName(batch_top).distinct())
 
 
-def refresh_distinct(lake: Lake, table: str, batch_rows: DataFrame) -> DataFrame:
-    previous = _previous(lake, "gold", table)
-    return batch_rows if previous is None else previous.unionByName(batch_rows).distinct()
+# Keys of the dimensions that only gain members.
+MEMBER_KEYS = {"dim_date": ["date_id"], "dim_activity_type": ["athlete_id", "activity_type_id"]}
+
+
+def new_members(lake: Lake, table: str, batch_members: DataFrame, batch_id: int) -> DataFrame:
+    """Members of a batch that the dimension lacks (NULL keys are members too).
+    The batch's own earlier try doesn't count, so a retry appends them again."""
+    there = [b for b in lake.batches("gold", table) if b != batch_id]
+    if not there:
+        return batch_members
+    have = lake.read_some("gold", table, there).select(*[F.col(k).alias(f"have_{k}") for k in MEMBER_KEYS[table]])
+    same = [F.col(k).eqNullSafe(F.col(f"have_{k}")) for k in MEMBER_KEYS[table]]
+    return batch_members.join(have, same, "left_anti")
 
 
 def refresh_athletes(lake: Lake, owned_fact: DataFrame, athletes: DataFrame) -> DataFrame:

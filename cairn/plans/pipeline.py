@@ -29,7 +29,7 @@ from cairn.operators import bronze, dims, gold, ingest, quality
 from cairn.plans import incremental, medallion
 from cairn.plans.lake import Lake
 from cairn.plans.publish import GOLD_TABLES, listing, publish
-from cairn.schemas import LANDED_COMMENT, LANDED_KUDO, MERGE_KEYS, ORDER_COLS, RAW_ACTIVITY, RAW_ATHLETE, RAW_STATS
+from cairn.schemas import BRONZE_KEY, LANDED_COMMENT, LANDED_KUDO, MERGE_KEYS, ORDER_COLS, RAW_ACTIVITY, RAW_ATHLETE, RAW_STATS
 from cairn.sources.files import path_exists, read_landed
 
 log = logging.getLogger(__name__)
@@ -110,12 +110,12 @@ def run(spark: SparkSession, lake: Lake, landing: str, batch_id: int, do_publish
     landed = ingest.incremental_filter(landed, wm, parse_ts_ntz(F.col("start_date")))
     # a record without a time always passes the filter; one seen before is not new
     old = lake.batches("bronze", RECORDS)
-    known = [b for b in old if b != batch_id]
-    if known:
-        history = lake.read_some("bronze", RECORDS, known).select("activity_id")
-        fresh = ingest.new_keys_only(landed.select(F.col("id").alias("activity_id")), history)
-    else:
-        fresh = landed.where("id IS NOT NULL")
+    ids = landed.select(F.col("id").alias(BRONZE_KEY))
+    ranges = ingest.key_ranges(ids)
+    # of the history only what can hold a key of this batch is opened and read
+    near = lake.overlapping("bronze", RECORDS, [b for b in old if b != batch_id], ranges)
+    history = lake.read_some("bronze", RECORDS, near).select(BRONZE_KEY) if near else None
+    fresh = ids.where(F.col(BRONZE_KEY).isNotNull()) if history is None else ingest.new_keys_only(ids, history, ranges=ranges)
     if fresh.isEmpty() and not pending and batch_id not in old:
         log.info("No new data — pipeline complete")
         return counts
@@ -128,9 +128,15 @@ def run(spark: SparkSession, lake: Lake, landing: str, batch_id: int, do_publish
     # rewritten). The wide keyed record table is written first and is what
     # later runs compare with; the published tables are projections of it.
     new = bronze.records(batch).where("activity_id IS NOT NULL")
-    if known:
-        new = ingest.new_keys_only(new, lake.read_some("bronze", RECORDS, known).select("activity_id"))
-    _, counts[RECORDS] = lake.append_batch(new, "bronze", RECORDS, batch_id)
+    if history is not None:
+        new = ingest.new_keys_only(new, history, ranges=ranges)
+        history = ingest.within(history, ranges)
+
+    def audit(rows: DataFrame) -> None:
+        quality.assert_new_and_unique(rows, history, BRONZE_KEY)
+
+    # written aside, audited as the key it is, and only then readable
+    _, counts[RECORDS] = lake.append_batch(new, "bronze", RECORDS, batch_id, key=BRONZE_KEY, audit=audit)
     work = sorted([*pending, batch_id])
     for b in work:
         records = lake.read_some("bronze", RECORDS, [b])
@@ -140,13 +146,18 @@ def run(spark: SparkSession, lake: Lake, landing: str, batch_id: int, do_publish
         wrote = _concurrently({key: (lambda k=key, d=df: lake.append_batch(d, *k, b)) for key, df in tables.items()})
         for (_, name), n in wrote.items():
             counts[name] = counts.get(name, 0) + n
-    bronze_activities = lake.read_table("bronze", "bronze_activities")
-    fact = lake.read_table("silver", "silver_activity_fact")
-    quality.validate_counts(quality.layer_counts([("bronze_activities", bronze_activities, "silver_activity_fact", fact)]), equal=True)
+    hops = [("bronze", RECORDS, "bronze", "bronze_activities"), ("bronze", "bronze_activities", "silver", "silver_activity_fact")]
+    quality.validate_counts(quality.written_counts(spark, lake, hops), equal=True)
 
     # gold: per-row tables appended; rollups, top-k and dimensions merged exactly
     new_records = lake.read_some("bronze", RECORDS, work)
     new_fact = lake.read_some("silver", "silver_activity_fact", work)
+    states = {}
+    for b in work:
+        part = lake.read_some("silver", "silver_activity_fact", [b])
+        for name in gold.PERIODS:
+            states[name, b] = lambda n=name, p=part, i=b: incremental.append_states(lake, n, p, i)
+    _concurrently(states)
     owned = medallion.silver.activity_fact_from_records(new_records, owner=True)
     writes: dict[str, Callable[[], tuple[str, int]]] = {}
     for b in work:
@@ -156,10 +167,10 @@ def run(spark: SparkSession, lake: Lake, landing: str, batch_id: int, do_publish
             writes[f"{name}:{b}"] = lambda n=name, p=part, i=b: lake.append_batch(medallion.gold_tables_for(p, [n])[n], "gold", n, i)
         writes[f"fact_activities:{b}"] = lambda o=own, i=b: lake.append_batch(dims.activity_fact(o, None), "gold", "fact_activities", i)
     for name in gold.PERIODS:
-        writes[name] = lambda n=name: lake.write_version(incremental.refresh_periods(lake, n, fact, new_fact), "gold", n)
+        writes[name] = lambda n=name: lake.write_version(incremental.merged_periods(lake, n), "gold", n)
     writes["gold_pb_efforts"] = lambda: lake.write_version(incremental.refresh_top_paces(lake, new_fact), "gold", "gold_pb_efforts")
     for name, df in (("dim_date", dims.date_dim(new_fact)), ("dim_activity_type", dims.activity_type_dim(owned, None))):
-        writes[name] = lambda n=name, d=df: lake.write_version(incremental.refresh_distinct(lake, n, d), "gold", n)
+        writes[name] = lambda n=name, d=df: lake.append_batch(incremental.new_members(lake, n, d, batch_id), "gold", n, batch_id)
     writes["dim_athlete"] = lambda: lake.write_version(
         incremental.refresh_athletes(lake, owned, lake.read("raw", "raw_athlete")), "gold", "dim_athlete"
     )

@@ -22,6 +22,7 @@ from cairn.plans.lake import Lake
 from cairn.plans.publish import listing, publish
 from cairn.schemas import (
     BRONZE_ACTIVITIES,
+    BRONZE_KEY,
     LANDED_COMMENT,
     LANDED_KUDO,
     MERGE_KEYS,
@@ -227,7 +228,7 @@ def bronze_first_run(spark, sf_dir):
     history, is_first = read_or_empty(spark, lake.table_path("bronze", "bronze_activities"), BRONZE_ACTIVITIES)
     assert is_first
     new = ingest.new_keys_only(bronze.activities(ingest.keyed_merge(first, ["id"])), history)
-    lake.append_batch(new, "bronze", "bronze_activities", 1)
+    lake.append_batch(new, "bronze", "bronze_activities", 1, key=BRONZE_KEY, audit=lambda rows: quality.assert_new_and_unique(rows, None, BRONZE_KEY))
     return lake.read_batches("bronze", "bronze_activities", BRONZE_ACTIVITIES).select(*BRONZE_ACTIVITIES.names)
 
 
@@ -235,9 +236,13 @@ def bronze_incremental(spark, sf_dir):
     first, second = _history_and_batch(spark, sf_dir)
     lake = Lake(spark, _scratch(spark, "lake"))
     for batch_id, batch in ((1, first), (2, second)):
-        history = lake.read_batches("bronze", "bronze_activities", BRONZE_ACTIVITIES, exclude=batch_id)
-        rows = bronze.activities(ingest.keyed_merge(batch, ["id"]))
-        lake.append_batch(ingest.new_keys_only(rows, history), "bronze", "bronze_activities", batch_id)
+        ranges = ingest.key_ranges(batch, "id")
+        history = lake.read_batches("bronze", "bronze_activities", BRONZE_ACTIVITIES, exclude=batch_id, ranges=ranges)
+        new = ingest.new_keys_only(bronze.activities(ingest.keyed_merge(batch, ["id"])), history, ranges=ranges)
+        past = history if batch_id > 1 else None
+        lake.append_batch(
+            new, "bronze", "bronze_activities", batch_id, key=BRONZE_KEY, audit=lambda rows, past=past: quality.assert_new_and_unique(rows, past, BRONZE_KEY)
+        )
     return lake.read_batches("bronze", "bronze_activities", BRONZE_ACTIVITIES).select(*BRONZE_ACTIVITIES.names)
 
 
@@ -301,7 +306,8 @@ def trip_query(fn) -> Query:
 
 # ---------------------------------------------------------------- checks / streams
 def validate_layers(spark, sf_dir):
-    """Counts of written tables; raises where a hop gains or loses rows."""
+    """Counts of written tables, from their writes; raises where a hop gains or
+    loses rows."""
     layers, lake = _layers(spark, sf_dir, single_source=False), Lake(spark, _scratch(spark, "lake"))
     for layer, name, df in (
         ("raw", "raw_activities", layers.raw),
@@ -310,7 +316,7 @@ def validate_layers(spark, sf_dir):
     ):
         lake.write_version(df, layer, name)
     hops = [("raw", "raw_activities", "bronze", "bronze_activities"), ("bronze", "bronze_activities", "silver", "silver_activity_fact")]
-    counts = quality.layer_counts([(a, lake.read(la, a), b, lake.read(lb, b)) for la, a, lb, b in hops])
+    counts = quality.written_counts(spark, lake, hops)
     quality.validate_counts(counts, equal=True)
     return counts
 

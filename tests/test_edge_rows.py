@@ -222,14 +222,11 @@ def test_incremental_rollup_with_null_only_batch(spark, scratch):
     from cairn.plans.lake import Lake
 
     lake = Lake(spark, scratch)
-    first = Layers(raw_rows(spark, [_act(1), _act(2, start_date=None)])).fact
-    lake.append_batch(first, "silver", "silver_activity_fact", 1)
-    lake.write_version(gold.weekly_stats(first), "gold", "gold_weekly_stats")
-    second = Layers(raw_rows(spark, [_act(3, start_date=None)])).fact
-    lake.append_batch(second, "silver", "silver_activity_fact", 2)
-    fact = lake.read_table("silver", "silver_activity_fact")
-    got = incremental.refresh_periods(lake, "gold_weekly_stats", fact, second).collect()
-    expected = gold.weekly_stats(fact).collect()
+    parts = [Layers(raw_rows(spark, rows)).fact for rows in ([_act(1), _act(2, start_date=None)], [_act(3, start_date=None)])]
+    for b, part in enumerate(parts, 1):
+        incremental.append_states(lake, "gold_weekly_stats", part, b)
+    got = incremental.merged_periods(lake, "gold_weekly_stats").collect()
+    expected = gold.weekly_stats(parts[0].unionByName(parts[1])).collect()
     assert sorted((str(r.week_start), r.activity_count) for r in got) == sorted(
         (str(r.week_start), r.activity_count) for r in expected
     )

@@ -59,8 +59,8 @@ def test_bronze_stream_recovers_from_a_failed_micro_batch(spark):
     real_append = lake.append_batch
     calls = {"n": 0}
 
-    def append_then_fail(df, layer, table, batch_id):
-        out = real_append(df, layer, table, batch_id)
+    def append_then_fail(*args, **kwargs):
+        out = real_append(*args, **kwargs)
         calls["n"] += 1
         if calls["n"] == 2:  # the second micro-batch is lost after its write
             raise RuntimeError("executor lost")
