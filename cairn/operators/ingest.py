@@ -2,11 +2,9 @@
 
 The reference keeps a JSON file per entity and merges fetches in a Python
 dict ("last write wins"). On Spark the same outcome is a keyed aggregate:
-``max_by(record, (batch_seq, row_seq))`` per key. ``max_by`` is a declarative
-aggregate, so it runs partially on the map side (sort-based, as its buffer is
-a struct): however many records share
-one key (even a third of all rows), only one candidate per key per task
-crosses the shuffle, and no group is ever collected into a list.
+the greatest ``(batch_seq, row_seq)`` per key, found from the narrow columns, and
+then the records that have it. However many records share one key (even a third
+of all rows), no group is collected into a list or sent to one task.
 """
 
 from __future__ import annotations
@@ -16,8 +14,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cairn.schemas import BRONZE_KEY, ORDER_COLS
+from cairn.schemas import BRONZE_KEY, LANDED_ORDER, ORDER_COLS
 
 
 def high_watermark(summary: DataFrame, ts_col: str = "start_date_utc") -> DataFrame:
@@ -68,7 +67,7 @@ def child_worklist(parents: DataFrame) -> DataFrame:
 def landed_comments(records: DataFrame) -> DataFrame:
     """Landed comments, each with its parent's key, flat."""
     return records.selectExpr(
-        "id", "activity_id", "text", "created_at", "athlete.firstname AS firstname", "athlete.lastname AS lastname", *ORDER_COLS
+        "id", "activity_id", "text", "created_at", "athlete.firstname AS firstname", "athlete.lastname AS lastname", *LANDED_ORDER
     )
 
 
@@ -109,7 +108,27 @@ def keyed_merge(records: DataFrame, keys: Sequence[str], order: Sequence[str] =
 
     Keys are separate columns compared null-safely (grouping treats NULLs as
     equal), never a joined string, so ('A_B', 'C') and ('A', 'B_C') stay apart.
+
+    Records of fixed-width columns are merged at once. Others in two phases: the
+    greatest order per key from the narrow columns alone, then the winners' wide
+    rows by key and order. Key and order together are a record's own, so a hot key
+    spreads over all tasks, and full records are neither sorted nor aggregated.
+    Of records that tie in key and order one is kept.
     """
+    payload = [f for f in records.schema if f.name not in keys]
+    if all(isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)) for f in payload):
+        return _merged_at_once(records, keys, order)
+    at = [*keys, *order]
+    held = records.groupBy(*at).agg(F.count(F.lit(1)).alias("merge_n"))
+    best = held.groupBy(*keys).agg(F.expr(f"max({_struct_sql([*order, 'merge_n'])})").alias("merge_best"))
+    best = best.selectExpr(*[f"`{k}`" for k in keys], "merge_best.*").hint("shuffle_hash").alias("b")
+    same = [F.col(f"r.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in at]
+    won = records.alias("r").join(best, same).select("r.*", "b.merge_n")
+    alone, tied = (won.where(cond).drop("merge_n") for cond in ("merge_n = 1", "merge_n > 1"))
+    return alone.unionByName(_merged_at_once(tied, keys, order))
+
+
+def _merged_at_once(records: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     payload = [c for c in records.columns if c not in keys]
     best = F.expr(f"max_by({_struct_sql(payload)}, {_struct_sql(order)})").alias("r")
     return records.groupBy(*keys).agg(best).selectExpr(

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from cairn.operators import dims, gold
 from cairn.plans.lake import Lake
+from cairn.schemas import ORDER_COLS
 
 
 def _previous(lake: Lake, layer: str, table: str) -> DataFrame | None:
@@ -78,7 +79,7 @@ def refresh_athletes(lake: Lake, owned_fact: DataFrame, athletes: DataFrame) ->
 
 
 # --------------------------------------------------------------- merge on read
-def merge_on_read(lake: Lake, layer: str, table: str, keys) -> DataFrame:
+def merge_on_read(lake: Lake, layer: str, table: str, keys, order=tuple(ORDER_COLS)) -> DataFrame:
     """Merged view of an append-only keyed table: the newest compacted base
     ``v=<n>`` (the merge of batches 1..n), plus only the batches after it,
     merged by key on their order columns."""
@@ -95,10 +96,10 @@ def merge_on_read(lake: Lake, layer: str, table: str, keys) -> DataFrame:
     if not parts:
         raise FileNotFoundError(f"{layer}/{table} has no committed data")
     union = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return ingest.keyed_merge(union, list(keys))
+    return ingest.keyed_merge(union, list(keys), list(order))
 
 
-def compact(lake: Lake, layer: str, table: str, keys) -> int | None:
+def compact(lake: Lake, layer: str, table: str, keys, order=tuple(ORDER_COLS)) -> int | None:
     """Write the merged view as base ``v=<last batch id>``, so later reads
     merge one base and the batches after it instead of every batch.
 
@@ -109,6 +110,6 @@ def compact(lake: Lake, layer: str, table: str, keys) -> int | None:
     bases = lake.versions(layer, table)
     if not batches or (bases and bases[-1] >= batches[-1]):
         return None
-    merged = merge_on_read(lake, layer, table, keys)
+    merged = merge_on_read(lake, layer, table, keys, order)
     lake.write_version(merged, layer, table, version=batches[-1])
     return batches[-1]

@@ -23,19 +23,21 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cairn.functions import parse_ts_ntz
 from cairn.operators import bronze, dims, gold, ingest, quality
 from cairn.plans import incremental, medallion
 from cairn.plans.lake import Lake
 from cairn.plans.publish import GOLD_TABLES, listing, publish
-from cairn.schemas import BRONZE_KEY, LANDED_COMMENT, LANDED_KUDO, MERGE_KEYS, ORDER_COLS, RAW_ACTIVITY, RAW_ATHLETE, RAW_STATS
+from cairn.schemas import BRONZE_KEY, LANDED_COMMENT, LANDED_KUDO, LANDED_ORDER, MERGE_KEYS, RAW_ACTIVITY, RAW_ATHLETE, RAW_STATS
 from cairn.sources.files import path_exists, read_landed
 
 log = logging.getLogger(__name__)
 
 # Wide bronze table: every bronze column, keyed by activity_id.
 RECORDS = "bronze_activity_records"
+KEY_ONLY = T.StructType([T.StructField(BRONZE_KEY, T.LongType())])
 APPENDED_GOLD = ("gold_activity_summary", "gold_training_load")
 
 
@@ -55,12 +57,12 @@ def _concurrently(writes: dict[str, Callable[[], tuple[str, int]]]) -> dict[str,
 def raw_view(lake: Lake, table: str) -> DataFrame:
     """The merged raw table (merge-on-read): last write wins per key over the
     compacted base and the landed batches after it, by their order columns."""
-    return incremental.merge_on_read(lake, "raw", table, RAW_KEYS[table])
+    return incremental.merge_on_read(lake, "raw", table, RAW_KEYS[table], LANDED_ORDER)
 
 
 def compact_raw(lake: Lake) -> dict[str, int | None]:
     """Periodic maintenance: fold landed raw batches into a merged base."""
-    return {table: incremental.compact(lake, "raw", table, keys) for table, keys in RAW_KEYS.items()}
+    return {table: incremental.compact(lake, "raw", table, keys, LANDED_ORDER) for table, keys in RAW_KEYS.items()}
 
 
 RAW_KEYS = {
@@ -92,7 +94,7 @@ def land(spark: SparkSession, lake: Lake, landing: str, activities: DataFrame, b
     }
     for name, table, schema in (("athlete", "raw_athlete", RAW_ATHLETE), ("stats", "raw_stats_for_athlete", RAW_STATS)):
         if path_exists(spark, f"{landing}/{name}") or not lake.versions("raw", table):
-            one = read_landed(spark, f"{landing}/{name}", schema, batch_id).drop(*ORDER_COLS)
+            one = read_landed(spark, f"{landing}/{name}", schema, batch_id).drop(*LANDED_ORDER)
             writes[table] = lambda t=table, df=one: lake.write_version(df, "raw", t, version=batch_id)
     return _concurrently(writes)
 
@@ -113,24 +115,22 @@ def run(spark: SparkSession, lake: Lake, landing: str, batch_id: int, do_publish
     ids = landed.select(F.col("id").alias(BRONZE_KEY))
     ranges = ingest.key_ranges(ids)
     # of the history only what can hold a key of this batch is opened and read
-    near = lake.overlapping("bronze", RECORDS, [b for b in old if b != batch_id], ranges)
-    history = lake.read_some("bronze", RECORDS, near).select(BRONZE_KEY) if near else None
-    fresh = ids.where(F.col(BRONZE_KEY).isNotNull()) if history is None else ingest.new_keys_only(ids, history, ranges=ranges)
+    # (an empty typed table on a first run)
+    history = ingest.within(lake.read_batches("bronze", RECORDS, KEY_ONLY, exclude=batch_id, ranges=ranges), ranges)
+    fresh = ingest.new_keys_only(ids, history)
     if fresh.isEmpty() and not pending and batch_id not in old:
         log.info("No new data — pipeline complete")
         return counts
 
     # raw: written once, then read back by everything below
     counts.update(land(spark, lake, landing, landed, batch_id))
-    batch = ingest.keyed_merge(lake.read_some("raw", "raw_activities", [batch_id]), ["id"]).drop(*ORDER_COLS)
+    batch = ingest.keyed_merge(lake.read_some("raw", "raw_activities", [batch_id]), ["id"], LANDED_ORDER).drop(*LANDED_ORDER)
 
     # bronze: only keys not yet in history are appended (history is never
     # rewritten). The wide keyed record table is written first and is what
     # later runs compare with; the published tables are projections of it.
     new = bronze.records(batch).where("activity_id IS NOT NULL")
-    if history is not None:
-        new = ingest.new_keys_only(new, history, ranges=ranges)
-        history = ingest.within(history, ranges)
+    new = ingest.new_keys_only(new, history)
 
     def audit(rows: DataFrame) -> None:
         quality.assert_new_and_unique(rows, history, BRONZE_KEY)

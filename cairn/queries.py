@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cairn.functions import parse_ts_ntz
 from cairn.operators import bronze, dims, gold, ingest, quality, trips
 from cairn.plans import medallion
+from cairn.plans.bucketed import FACT_SOURCES, BucketedLayer
 from cairn.plans.medallion import Layers
 from cairn.plans.lake import Lake
 from cairn.plans.publish import listing, publish
@@ -283,6 +284,17 @@ def silver_query(name: str) -> Query:
     return lambda spark, sf_dir: _layers(spark, sf_dir, single_source=single).silver(name)
 
 
+def bucketed_activity_fact(spark, sf_dir):
+    """The same fact from bronze tables bucketed by key, written in two batches."""
+    layer = BucketedLayer(spark, f"bronze_{uuid.uuid4().hex[:8]}", _scratch(spark, "bucketed"), buckets=8)
+    early = F.coalesce(F.col("start_date") < F.lit(fixtures.FIRST_FETCH_BEFORE), F.lit(False))
+    for batch_id, part in ((1, early), (2, ~early)):
+        records = bronze.records(_raw(spark, sf_dir).where(part))
+        for name in FACT_SOURCES:
+            layer.write_batch(bronze.project(records, name), name, batch_id)
+    return layer.silver_fact()
+
+
 def gold_query(name: str) -> Query:
     return lambda spark, sf_dir: _layers(spark, sf_dir).gold(name)
 
@@ -392,6 +404,7 @@ def registry() -> dict[str, Query]:
         q[name] = silver_query(name)
     for name in medallion.GOLD_NAMES:
         q[name] = gold_query(name)
+    q["bucketed_activity_fact"] = bucketed_activity_fact
     q["gold_monthly_by_distance"] = gold_monthly_by_distance
     for name in medallion.STAR_NAMES:
         q[name] = star_query(name)

@@ -76,6 +76,10 @@ RAW_ACTIVITY = T.StructType(
 # "Last write wins" is decided on these, never on Spark's row order.
 ORDER_COLS = ["batch_seq", "row_seq"]
 
+# The same of records read from landed files: the fetch, the file's name, where in
+# the file the block that a task read begins, and the place among the task's rows.
+LANDED_ORDER = ["batch_seq", "file_seq", "block_seq", "row_seq"]
+
 RAW_ACTIVITY_LANDED = T.StructType(list(RAW_ACTIVITY.fields) + [_f("batch_seq", L), _f("row_seq", L)])
 
 # The first-run table definition of bronze_activities; activity_id is the key.

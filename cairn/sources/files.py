@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -29,27 +28,37 @@ def read_json_records(
     return reader.json(list(path) if not isinstance(path, str) else path)
 
 
-def holds_one_document(spark: SparkSession, path: str) -> bool:
-    """Does a landing hold one JSON array or object a file (as the API client
-    saves it), rather than one record a line? Told by the first line."""
-    line = spark.read.text(path).where("trim(value) <> ''").head()
-    if line is None:
-        return False
-    try:
-        return not isinstance(json.loads(line[0]), dict)
-    except ValueError:  # a record that goes on in the next line
-        return True
+def landed_shapes(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """(files that hold one JSON array or object, as the API client saves them;
+    files with one record a line). Told for each file by its first line that is
+    not blank; the lines stay in the tasks, only file names reach the driver."""
+    lines = spark.read.text(path).where("trim(value) <> ''")
+    placed = lines.select(F.col("_metadata.file_path").alias("file"), F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"), "value")
+    first = placed.groupBy("file").agg(F.min_by(F.ltrim("value"), "at").alias("line"))
+    # a record that goes on in the next line is no document by itself
+    whole = F.when(F.startswith("line", F.lit("[")), False).otherwise(F.get_json_object("line", "$").isNotNull())
+    found = first.select("file", whole.alias("by_line")).collect()
+    return sorted(r["file"] for r in found if not r["by_line"]), sorted(r["file"] for r in found if r["by_line"])
 
 
 def read_landed(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
-    """A landing folder or file of any shape, with its order columns:
-    ``batch_seq`` is the batch, ``row_seq`` rises with the position in each file.
-    Empty if nothing landed there."""
-    if not path_exists(spark, path):
-        records = spark.createDataFrame([], schema)
-    else:
-        records = read_json_records(spark, path, schema, multiline=holds_one_document(spark, path))
-    return records.withColumns({"batch_seq": F.lit(batch_id).cast("bigint"), "row_seq": F.monotonically_increasing_id()})
+    """A landing folder or file, its files of any shape, with its order columns:
+    ``batch_seq`` is the batch, ``file_seq`` the file's name, ``block_seq`` where the
+    block that a task read begins in it, and ``row_seq`` rises within the block. So
+    the order is that of the files' names and of the records in them, however
+    Spark splits and packs the files. Empty if nothing landed there."""
+    order = {
+        "batch_seq": F.lit(batch_id).cast("bigint"),
+        "file_seq": F.col("_metadata.file_name"),
+        "block_seq": F.col("_metadata.file_block_start"),
+        "row_seq": F.monotonically_increasing_id(),
+    }
+    documents, lines = landed_shapes(spark, path) if path_exists(spark, path) else ([], [])
+    parts = [read_json_records(spark, files, schema, multiline=one).withColumns(order) for files, one in ((documents, True), (lines, False)) if files]
+    if not parts:
+        nothing = T.StructType([T.StructField("batch_seq", T.LongType()), T.StructField("file_seq", T.StringType()), T.StructField("block_seq", T.LongType()), T.StructField("row_seq", T.LongType())])
+        return spark.createDataFrame([], T.StructType([*schema.fields, *nothing.fields]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:

@@ -342,6 +342,7 @@ def queries() -> dict[str, str]:
     q["catalog_table_read"] = q["gold_monthly_stats"]
     q["sink_full_refresh"] = q["gold_weekly_stats"]
     q["sink_parquet_zstd"] = q["silver_activities"]
+    q["bucketed_activity_fact"] = q["silver_activity_fact"]
     q["scan_union_by_name"] = f"{TRIPS} SELECT * FROM trips"
     from cairn.queries import PUBLISHED
 
