@@ -1,11 +1,11 @@
 """Quality rules: text statistics with fixed limits, then a calibrated logistic
 regression over hashed word and character n-grams.
 
-Features of a text are the shares of its word 1- and 2-grams and its byte 1-,
-2- and 3-grams, each hashed into a fixed number of buckets. A text's score
-needs one weighted sum per n-gram family, so scoring an Arrow batch is table
-lookups over all its bytes and words at once: whole texts, whatever their
-length. The regression is fitted in numpy on the driver from a bounded sample
+Features of a text are the shares of its word 1- and 2-grams and its character
+1-, 2- and 3-grams (of code points), each hashed into a fixed number of buckets.
+A text's score needs one weighted sum per n-gram family, so scoring an Arrow
+batch is table lookups over all its characters and words at once: whole texts,
+whatever their length. The regression is fitted in numpy on the driver from a bounded sample
 of labelled rows (``SAMPLE_ROWS`` rows of at most ``SAMPLE_CHARS`` characters);
 their features are computed by tasks. It learns from those that pass the fixed
 limits, as only these need its verdict. Calibration (Platt) uses the part of the
@@ -34,9 +34,11 @@ SAMPLE_ROWS = 3000
 SAMPLE_CHARS = 200_000
 #: Buckets of each n-gram family (a power of two).
 BUCKETS = 2048
-FAMILIES = ("word 1", "word 2", "byte 1", "byte 2", "byte 3")
+FAMILIES = ("word 1", "word 2", "character 1", "character 2", "character 3")
 #: Texts are kept from this calibrated probability of label 1 on.
 KEEP_FROM = 0.5
+#: Odd factors of the character hashes.
+_FACTORS = tuple(np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 # Fixed values of the rules.
 SYMBOLS = "#*$%&|<>"
@@ -85,15 +87,21 @@ def word_hashes(words: list[bytes], known: WordHashes) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def grams(raw: bytes, hashes: np.ndarray) -> list[np.ndarray]:
-    """Bucket of every n-gram, one array per family."""
-    mask = np.uint64(BUCKETS - 1)
-    b = np.frombuffer(raw, np.uint8).astype(np.uint32)
-    two = (b[:-1] << 8 | b[1:]) * np.uint32(0x9E3779B1)
-    three = ((b[:-2] << 16 | b[1:-1] << 8 | b[2:]) if len(b) > 2 else b[:0]) * np.uint32(0x85EBCA6B)
-    shift = np.uint32(32 - (BUCKETS - 1).bit_length())
+def characters(text: str | None) -> np.ndarray:
+    """The text's code points."""
+    return np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def grams(chars: np.ndarray, hashes: np.ndarray) -> list[np.ndarray]:
+    """Bucket of every n-gram, one array per family. A code point has 21 bits, so
+    up to three of them fit in a long, which a product and a shift hash."""
+    mask, shift = np.uint64(BUCKETS - 1), np.uint64(64 - (BUCKETS - 1).bit_length())
+    one = chars.astype(np.uint64)
+    two = one[:-1] << np.uint64(21) | one[1:]
+    three = two[:-1] << np.uint64(21) | one[2:]
+    spread = [((n * factor) >> shift).astype(np.intp) for n, factor in zip((one, two, three), _FACTORS)]
     pairs = mix(hashes[:-1] * np.uint64(3) + hashes[1:])
-    return [(hashes & mask).astype(np.intp), (pairs & mask).astype(np.intp), b.astype(np.intp), (two >> shift).astype(np.intp), (three >> shift).astype(np.intp)]
+    return [(hashes & mask).astype(np.intp), (pairs & mask).astype(np.intp), *spread]
 
 
 @dataclass
@@ -103,28 +111,30 @@ class Model:
     slope: float
     shift: float
 
-    def probability(self, raw: bytes, hashes: np.ndarray) -> float:
+    def probability(self, chars: np.ndarray, hashes: np.ndarray) -> float:
         z = self.bias
-        for w, g in zip(self.weights, grams(raw, hashes)):
+        for w, g in zip(self.weights, grams(chars, hashes)):
             if len(g):
                 z += float(w[g].mean())
         return 1 / (1 + np.exp(-np.clip(self.slope * z + self.shift, -40, 40)))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, held_out, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """doc_id, text, y: at most ``rows`` labelled rows, chosen by a hash of the
-    id among those that are not held out."""
+def sample(docs: DataFrame, labels: DataFrame, label: str, held_out, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> DataFrame:
+    """doc_id, text, y: at most ``rows`` labelled rows of at most ``chars``
+    characters, chosen by a hash of the id among those that are not held out and
+    have such a text. Labels of other documents don't count against ``rows``."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(
+        F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= chars)
+    )
     ids = (
         labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min(label).cast("double").alias("y"))
         .where(~held_out(F.col("doc_id")))
+        .join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(
-        F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS)
-    )
     # the ids are at most ``rows`` rows, so this side may be broadcast
     # rows that repeat an id give its smallest text, so the sample never depends on order
     return texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
@@ -142,9 +152,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out=lam
             stats = statistics(text, words, hashes)
             if rejected(stats[0], stats[4]):
                 continue
-            raw = text.encode("utf-8", "surrogatepass")
             x = np.zeros(width, np.float32)
-            for f, g in enumerate(grams(raw, hashes)):
+            for f, g in enumerate(grams(characters(text), hashes)):
                 if len(g):
                     x[f * BUCKETS : (f + 1) * BUCKETS] = np.bincount(g, minlength=BUCKETS) / np.float32(len(g))
             at = np.flatnonzero(x).astype(np.uint16)
@@ -229,7 +238,7 @@ def judge_batch(batch: pa.RecordBatch, model: Model | None, keep_from: float) ->
         failed = rejected(stats[0], stats[4])
         score = None
         if model is not None:
-            score = float(model.probability((text or "").encode("utf-8", "surrogatepass"), hashes))
+            score = float(model.probability(characters(text), hashes))
         kept = not failed and (score is None or score >= keep_from)
         for name, value in zip(names, (*stats, failed, kept, score)):
             out[name].append(value)

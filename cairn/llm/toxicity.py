@@ -311,7 +311,7 @@ def train(texts: list[list[bytes]], y: np.ndarray, seed: int = 11) -> Network |
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out=lambda key: F.lit(False), rows: int = SAMPLE_ROWS) -> Network | None:
     prepare(docs.sparkSession)
     # bounded: at most ``rows`` texts of at most SAMPLE_CHARS characters
-    got = sample(docs, labels, label, held_out, rows).where(F.length("text") <= SAMPLE_CHARS).collect()
+    got = sample(docs, labels, label, held_out, rows, SAMPLE_CHARS).collect()
     got.sort(key=lambda r: r["doc_id"])
     texts = [[w for part in words_of(r["text"]) for w in part] for r in got]
     return train(texts, np.array([r["y"] for r in got], dtype=float))

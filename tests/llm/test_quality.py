@@ -81,3 +81,29 @@ def test_platt_is_a_probability():
     y = (rng.random(4000) < 1 / (1 + np.exp(-(0.5 * z - 1)))).astype(float)
     slope, shift = quality.platt(z, y)
     assert abs(slope - 0.5) < 0.1 and abs(shift + 1) < 0.2
+
+
+def test_labels_of_other_documents_leave_the_sample_full(spark):
+    """A hundred labels for each document; long and null texts are replaced too."""
+    docs = spark.range(300).selectExpr("id * 100 AS doc_id", "IF(id % 10 = 0, NULL, IF(id % 10 = 1, repeat('x ', 500), concat('text ', id))) AS text")
+    labels = spark.range(30_000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    got = quality.sample(docs, labels, "quality", lambda key: key % 700 == 0, rows=150, chars=400).collect()
+    assert len(got) == 150 and all(r.text.startswith("text ") and r.doc_id % 700 and r.doc_id % 100 == 0 for r in got)
+    fewer = quality.sample(docs.union(docs), labels, "quality", lambda key: key < 0, rows=1000, chars=400).collect()
+    assert len(fewer) == 240 and len({r.doc_id for r in fewer}) == 240
+
+
+def slow_grams(text, words):
+    families = [[(w,) for w in words], list(zip(words, words[1:]))]
+    return families + [[text[k : k + n] for k in range(len(text) - n + 1)] for n in (1, 2, 3)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("ab é日😀\ud800 \n"), max_size=40))
+def test_grams_are_of_words_and_characters(text):
+    """As many as there are, equal buckets for equal ones, others mostly apart."""
+    words = ascii_words(text)
+    got = quality.grams(quality.characters(text), quality.word_hashes(words, WordHashes()))
+    for buckets, want in zip(got, slow_grams(text, words)):
+        assert len(buckets) == len(want) and all(0 <= b < quality.BUCKETS for b in buckets)
+        assert len({(b, w) for b, w in zip(buckets.tolist(), want)}) == len(set(want))
