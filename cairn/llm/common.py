@@ -114,3 +114,11 @@ def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
             )
 
     return df.mapInArrow(run, schema)
+
+
+def matrices(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Length of the vectors in column ``q`` -> (rows of the table, their vectors)."""
+    lists = table.column("q").combine_chunks()
+    flat, ends = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    sizes = np.diff(ends)
+    return {int(d): (rows := np.flatnonzero(sizes == d), flat[(ends[rows] - ends[0])[:, None] + np.arange(d)]) for d in np.unique(sizes)}

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import written
+from .common import matrices, written
 
 #: Rows in an anchor block and in a row block, on average.
 ANCHORS, ROWS = 4096, 8192
@@ -106,14 +106,6 @@ def usable(vectors: DataFrame, key: str, label: Column, vector: str, scale: int)
     )
 
 
-def matrices(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Length of vector -> (rows of the table, their vectors)."""
-    lists = table.column("q").combine_chunks()
-    flat, ends = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-    sizes = np.diff(ends)
-    return {int(d): (rows := np.flatnonzero(sizes == d), flat[(ends[rows] - ends[0])[:, None] + np.arange(d)]) for d in np.unique(sizes)}
-
-
 def best_of_label(anchors: pa.Table, rows: pa.Table, primes: list[int], k: int) -> pa.Table:
     """anchor_id, positive_id, positive_score: the k best rows of an anchor's label."""
     out: list[tuple] = []

@@ -1,15 +1,20 @@
 """Exact top-k inner products by no-random-access aggregation.
 
 Vectors become integers, floor(64 x). A query's score is a sum over one list
-per dimension, each sorted by what it adds. Queries and candidates are dealt in
-blocks, every query block meets every candidate block once (a stated query set
-against all rows). Within a block pair the lists are read from the top, all to
-the same depth. A candidate's lower bound is what its entries read so far add
-plus the least the others can add; its upper bound takes for these the value
-at the reading position. Reading stops when few candidates can still reach
-the k-th best lower bound; only these are scored in full, and the pair gives
-its k best. All queries of a block are bounded at once by matrix products over
-the entries read. A last ranking joins the blocks' answers.
+per dimension, each sorted by value. Queries and candidates are dealt in blocks,
+every query block meets every candidate block once (a stated query set against
+all rows). Within a block pair the lists are read from both ends inwards, all to
+the same depth. What a candidate's entries read so far add is known; each of the
+others lies between the two reading positions of its list, which bounds the
+score from below and from above. Reading goes on while too many candidates can
+still reach the k-th best lower bound, to the lists' ends if need be; then each
+query's own candidates alone, the few that are left, get their final scores. All
+queries of a block are bounded at once by matrix products over the entries read.
+A last ranking joins the blocks' answers.
+
+(Read from the top alone, as the textbook does, an entry not seen is bounded from
+below by the least of its list, and on vectors of many like dimensions nothing
+settles before the end. The far ends bound both sides.)
 
 Defined results: vectors that are null, or hold null or non-finite components,
 take no part, nor do rows without an id; vectors of another length than the
@@ -22,19 +27,21 @@ give no rows.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import matrices
+
 #: Rows in a candidate block and queries in a query block, on average.
 CANDIDATES, QUERIES = 8192, 1024
 #: Queries of a block that are bounded at once.
 AT_ONCE = 256
-#: Depths (shares of a list) at which bounds are compared.
-DEPTHS = (0.125, 0.25, 0.5, 0.75)
-#: Reading stops when so many candidates a query are left on average.
-FEW = 256
+#: Shares of the lists read, half from each end, at which bounds are compared.
+DEPTHS = (0.5, 0.8, 0.9, 0.95, 1.0)
+#: Reading stops when at most this share of the candidates is left on average.
+FEW = 0.05
 
 
 def quantised(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -49,65 +56,54 @@ def quantised(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding"
 
 
 def block_topk(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """:func:`few_topk` for some queries at a time, which bounds memory."""
+    """(query row, candidate id, score) of the k best candidates a query, ties to
+    the smaller id. Matrices of float64 that hold integers. Some queries at a
+    time, which bounds memory."""
+    order = np.argsort(cid, kind="stable")
+    cid, c = cid[order], c[order]
+    places = np.argsort(np.argsort(c, axis=0, kind="stable"), axis=0, kind="stable")  # in each sorted list
+    ordered = np.sort(c, axis=0)
     found = []
     for at in range(0, len(q), AT_ONCE):
-        rows, ids, scores = few_topk(qid[at : at + AT_ONCE], q[at : at + AT_ONCE], cid, c, k)
-        found.append((rows + at, ids, scores))
+        rows, cols, scores = settled(qid[at : at + AT_ONCE], q[at : at + AT_ONCE], cid, c, places, ordered, k)
+        found.append((rows + at, cid[cols], scores))
     return tuple(np.concatenate(part) for part in zip(*found))
 
 
-def few_topk(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, candidate row, score) of the k best candidates a query,
-    ties to the smaller id. Arrays of float64 that hold integers."""
-    n, dims = c.shape
-    order = np.argsort(cid, kind="stable")
-    cid, c = cid[order], c[order]
-    same = np.searchsorted(cid, qid, "left"), np.searchsorted(cid, qid, "right")
-
-    def without_self(scores):
-        for row, (a, b) in enumerate(zip(*same)):
-            scores[row, a:b] = -np.inf
-        return scores
-
-    alive = None
-    if n > 4 * FEW:
-        falling = np.argsort(np.argsort(-c, axis=0, kind="stable"), axis=0, kind="stable")  # place in the list from the top
-        up, down = np.maximum(q, 0), np.minimum(q, 0)
-        top, low = -np.sort(-c, axis=0), np.sort(c, axis=0)
-        for depth in (int(n * share) for share in DEPTHS):
-            seen_up, seen_down = falling < depth, falling >= n - depth
-            # entries read: exact; others lie between the list's end and its reading position
-            exact = up @ (c * seen_up).T + down @ (c * seen_down).T
-            upper = exact + up @ (top[depth][:, None] * ~seen_up.T) + down @ (low[depth][:, None] * ~seen_down.T)
-            lower = exact + up @ (low[0][:, None] * ~seen_up.T) + down @ (top[0][:, None] * ~seen_down.T)
-            lower = without_self(lower)
-            kth = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(q), -np.inf)
-            alive = upper >= kth[:, None]  # an equal score may win by its id
-            if alive.sum() <= FEW * len(q):
-                break
-    # final scores of those left
-    live = np.flatnonzero(alive.any(axis=0)) if alive is not None else np.arange(n)
-    scores = q @ c[live].T
-    if alive is not None:
-        scores[~alive[:, live]] = -np.inf
-    for row, (a, b) in enumerate(zip(*same)):
-        a, b = np.searchsorted(live, (a, b))
-        scores[row, a:b] = -np.inf
-    take = min(k, len(live))
-    rows, cols = [], []
-    if take < len(live):
-        edge = np.partition(scores, len(live) - take, axis=1)[:, len(live) - take]
-    else:
-        edge = np.full(len(q), -np.inf)
-    for row in range(len(q)):
-        above = np.flatnonzero(scores[row] > edge[row])
-        ties = np.flatnonzero(scores[row] == edge[row])[: max(0, take - len(above))] if np.isfinite(edge[row]) else above[:0]
-        best = np.concatenate([above, ties])
-        rows.append(np.full(len(best), row))
-        cols.append(best)
-    rows, cols = np.concatenate(rows), np.concatenate(cols)
-    return rows, cid[live[cols]], scores[rows, cols].astype(np.int64)
+def candidates_left(q, own, c, places, ordered, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(which candidates may be among a query's k best, what their entries read
+    add, which entries are read). ``own`` marks the query's own rows."""
+    n = len(c)
+    up, down = np.maximum(q, 0), np.minimum(q, 0)
+    for depth in DEPTHS:
+        ends = int(n * depth / 2) if depth < 1 else n
+        read = (places < ends) | (places >= n - ends)
+        low, high = ordered[min(ends, n - 1)], ordered[max(n - 1 - ends, 0)]  # the reading positions
+        exact = q @ (c * read).T
+        rest = (~read).T.astype(np.float64)
+        lower = exact + (up * low + down * high) @ rest
+        upper = exact + (up * high + down * low) @ rest
+        lower[own], upper[own] = -np.inf, -np.inf
+        kth = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(q), -np.inf)
+        left = (upper >= kth[:, None]) & ~own  # an equal score may win by its id
+        if left.sum() <= max(k, FEW * n) * len(q):
+            break
+    return left, exact, read
+
+
+def settled(qid, q, cid, c, places, ordered, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, candidate row, score) of the k best a query."""
+    own = cid[None, :] == qid[:, None]
+    left, exact, read = candidates_left(q, own, c, places, ordered, k)
+    rows, cols = np.nonzero(left)
+    scores = exact[rows, cols]
+    for at in range(0, len(rows), 1 << 16):  # the entries not read, of candidates left only
+        r, x = rows[at : at + (1 << 16)], cols[at : at + (1 << 16)]
+        scores[at : at + (1 << 16)] += np.einsum("ij,ij->i", q[r], c[x] * ~read[x])
+    best = np.lexsort((cols, -scores, rows))  # rows of candidates are in the order of their ids
+    rows, cols, scores = rows[best], cols[best], scores[best]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows, "left")
+    return rows[place < k], cols[place < k], scores[place < k].astype(np.int64)
 
 
 def search(queries: DataFrame, candidates: DataFrame, k: int = 20, n_queries: int | None = None, n_candidates: int | None = None) -> DataFrame:
@@ -120,25 +116,22 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = 20, n_queries: in
     once = queries.groupBy("key_").agg(F.min("q").alias("q"))
     left = once.withColumn("qb", dealt(q_blocks)).withColumn("cb", every(c_blocks))
     right = candidates.withColumn("cb", dealt(c_blocks)).withColumn("qb", every(q_blocks))
-    schema = "query_id long, found array<struct<score:long,vec_id:long>>"
-
-    def meet(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
-        out: dict[int, list] = {}
-        for dims, part in qs.groupby(qs["q"].map(len)):
-            other = cs[cs["q"].map(len) == dims]
-            if len(other):
-                qid, cid = part["key_"].to_numpy(), other["key_"].to_numpy()
-                as_matrix = lambda s: np.array(s.tolist(), dtype=np.float64).reshape(-1, dims)
-                rows, ids, scores = block_topk(qid, as_matrix(part["q"]), cid, as_matrix(other["q"]), k)
-                for row, vec, score in zip(rows.tolist(), ids.tolist(), scores.tolist()):
-                    out.setdefault(int(qid[row]), []).append({"score": score, "vec_id": vec})
-        return pd.DataFrame({"query_id": list(out), "found": list(out.values())}, columns=["query_id", "found"])
-
-    met = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(meet, schema)
+    schema = "query_id long, vec_id long, score long"
+
+    def meet(qs: pa.Table, cs: pa.Table) -> pa.Table:
+        parts, other = [[np.empty(0, np.int64)] * 3], matrices(cs)
+        for dims, (mine, vectors) in matrices(qs).items():
+            if dims in other:
+                theirs, held = other[dims]
+                qid, cid = qs.column("key_").to_numpy()[mine], cs.column("key_").to_numpy()[theirs]
+                rows, ids, scores = block_topk(qid, vectors.astype(np.float64), cid, held.astype(np.float64), k)
+                parts.append([qid[rows], ids, scores])
+        return pa.table([pa.array(np.concatenate(col)) for col in zip(*parts)], names=["query_id", "vec_id", "score"])
+
+    met = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(meet, schema)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return (
-        met.select("query_id", F.inline("found"))
-        .withColumn("rank", place.cast("int"))
+        met.withColumn("rank", place.cast("int"))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )

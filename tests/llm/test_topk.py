@@ -31,18 +31,33 @@ def test_block_equals_full_product(n, dims, spread):
     assert got == brute(cid[rows], c[rows], cid, c, 20)
 
 
-def test_reading_stops_early(monkeypatch):
-    """One strong match a query: bounds settle before the lists' ends."""
+def share_left(q, own, c, k=20):
+    places = np.argsort(np.argsort(c, axis=0, kind="stable"), axis=0, kind="stable")
+    left, _, read = topk.candidates_left(q, own, c, places, np.sort(c, axis=0), k)
+    return left.sum() / left.size, read.mean()
+
+
+def test_reading_stops_early():
+    """One strong match a query: bounds settle at the first depth."""
     rng = np.random.default_rng(5)
     c = rng.normal(0, 1, (4000, 4)).round()
     q = np.array([[50.0, 0, 0, 0]])
     c[:30, 0] = 200
-    seen = []
-    real = np.partition
-    monkeypatch.setattr(topk.np, "partition", lambda a, k, axis=-1: seen.append(a.shape) or real(a, k, axis=axis))
+    share, read = share_left(q, np.zeros((1, 4000), bool), c)
+    assert share * 4000 <= 30 and read <= 0.55
     rows, ids, scores = topk.block_topk(np.array([-1]), q, np.arange(4000), c, 20)
     assert sorted(ids.tolist()) == list(range(20)) and set(scores.tolist()) == {10_000}
-    assert len(seen) <= 3  # far fewer rounds than depths
+
+
+def test_few_candidates_of_the_given_vectors_are_scored(spark):
+    """At every size the bounds decide: no more than FEW of the candidates get a
+    final score, and part of the lists is never read."""
+    for sf in ("sf0.01", "sf0.1"):
+        got = topk.quantised(spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")).toPandas()
+        c, ids = np.array(got["q"].tolist(), float), got["key_"].to_numpy()
+        some = ids % 20 == 0
+        share, read = share_left(c[some], ids[None, :] == ids[some][:, None], c)
+        assert share <= max(topk.FEW, 20 / len(c)) + 1e-9 and read < 1, (sf, share, read)
 
 
 def test_table_with_odd_rows(spark, monkeypatch):
