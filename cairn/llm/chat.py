@@ -1,6 +1,13 @@
 """Chat formatting with tool calls: link calls and results, order them, check
 arguments, and write canonical JSON.
 
+A conversation table is read by :func:`conversations_read`: conversations with turns
+that hold calls or results as JSON by :func:`parsed`, plain ones by
+:func:`asked_and_answered`, which takes what a user asks as a call of ``respond``
+and the assistant's next turn as its result (so that a corpus without a single
+tool call gives calls too; they depend on the one before, and are invalid only
+for an empty or null text).
+
 Input frames: ``calls`` (conv_id, turn, call_id, name, arguments as JSON text,
 depends_on as array of call ids), ``results`` (conv_id, turn, call_id, content)
 and ``messages`` (conv_id, turn, role, text). :func:`parsed` makes them from a
@@ -152,6 +159,23 @@ def parsed(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return calls, results, seen.where(~asks & ~answers).select("conv_id", "turn", "role", "text")
 
 
+#: Shares into which the turns of a conversation are dealt to learn its kind.
+SALTS = 16
+
+
+def conversations_read(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(calls, results, messages) of a table in which some conversations hold
+    calls as JSON and others are plain. A conversation may hold most turns, so
+    its turns are dealt by their number to meet its id."""
+    calls, results, messages = parsed(conversations)
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    busy = calls.select("conv_id").unionByName(results.select("conv_id")).where("conv_id IS NOT NULL").distinct().withColumn("salt", salts)
+    dealt = messages.withColumn("salt", F.pmod(F.xxhash64("turn"), F.lit(SALTS)))
+    of_calls = dealt.join(busy, ["conv_id", "salt"], "left_semi").drop("salt")
+    more_calls, more_results, plain = asked_and_answered(dealt.join(busy, ["conv_id", "salt"], "left_anti").drop("salt"))
+    return calls.unionByName(more_calls), results.unionByName(more_results), of_calls.unionByName(plain)
+
+
 # ------------------------------------------------------------ order
 def levels(lead: DataFrame) -> DataFrame:
     """conv_id, call_id, level, missing: of lead calls.

@@ -51,7 +51,9 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.formatted(*chat.asked_and_answered(table(spark, sf_dir, "conversations"))).drop("errors")
+    """Turns that hold calls as calls; plain conversations as asked and answered
+    (see ``chat``: the given ones hold no tool call)."""
+    return chat.formatted(*chat.conversations_read(table(spark, sf_dir, "conversations"))).drop("errors")
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

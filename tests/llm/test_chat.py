@@ -111,6 +111,105 @@ def test_turns_that_hold_calls(spark):
     assert got == [("call", "k", "answered", 0), ("call", "l", "unanswered", 1), ("message", "", "plain", None), ("message", "", "plain", None), ("result", "k", "linked", 0)]
 
 
+def slow_lines(turns, schema_ok):
+    """Every line of a conversation table, one turn at a time, in plain Python."""
+    held = {}
+    for conv, turn, role, text in turns:
+        try:
+            j = json.loads(text) if text and text.startswith("{") else None
+        except ValueError:
+            j = None
+        j = j if isinstance(j, dict) else {}
+        kind = "calls" if role == "assistant" and j.get("tool_calls") else "result" if role == "tool" and j.get("tool_call_id") is not None else None
+        held.setdefault(conv, []).append((turn, role, text, kind, j))
+    lines = []
+    for conv, rows in held.items():
+        calls, results, messages = [], [], []
+        plain = conv is None or not any(r[3] for r in rows)
+        for turn, role, text, kind, j in rows:
+            if kind == "calls":
+                calls += [(turn, c["id"], c.get("name"), c.get("arguments"), c.get("depends_on") or []) for c in j["tool_calls"]]
+            elif kind == "result":
+                results.append((turn, j["tool_call_id"], j.get("content")))
+            elif plain and role == "user":
+                body = json.dumps({"turn": turn, "text": text, "role": role})
+                calls.append((turn, f"c{turn}", "respond", body, [f"c{turn - 2}"] if turn >= 2 else []))
+            elif plain and role == "assistant":
+                results.append((turn, f"c{turn - 1}", text))
+            else:
+                messages.append((turn, role, text))
+        first = {}
+        for c in sorted(calls, key=lambda c: (c[0], c[3] or "")):
+            first.setdefault(c[1], c)
+        answer = {}
+        for r in sorted(results, key=lambda r: (r[0], r[2] or "")):
+            answer.setdefault(r[1], r)
+        level, grown = {}, True
+        while grown:
+            new = {i: 1 + max((level[d] for d in c[4] if d in first), default=-1) for i, c in first.items() if i not in level and all(d in level for d in c[4] if d in first)}
+            level |= new
+            grown = bool(new)
+        dump = lambda v: json.dumps(v, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+        for turn, i, name, body, needs in calls:
+            lead = first[i] == (turn, i, name, body, needs)
+            try:
+                value, good = json.loads(body), True
+            except (TypeError, ValueError):
+                value, good = body, False
+            good = good and schema_ok(name, value) and not (lead and any(d not in first for d in needs))
+            status = ("answered" if i in answer else "unanswered") if lead else "duplicate"
+            lines.append((conv, turn, "call", i, status, level.get(i) if lead else None, good, dump({"arguments": value, "id": i, "name": name, "type": "call"})))
+        for r in results:
+            status = "orphan" if r[1] not in first else "linked" if answer[r[1]] == r else "duplicate"
+            lines.append((conv, r[0], "result", r[1], status, level.get(r[1]) if status == "linked" else None, True, dump({"content": r[2], "id": r[1], "type": "result"})))
+        for turn, role, text in messages:
+            lines.append((conv, turn, "message", None, "plain", None, True, dump({"content": text, "role": role, "type": "message"})))
+    return sorted(lines, key=str)
+
+
+def responds(name, value):
+    return (
+        name == "respond" and isinstance(value, dict) and set(value) <= {"text", "turn", "role"} and isinstance(value.get("text"), str) and value["text"] != ""
+        and isinstance(value.get("turn"), int) and value["turn"] >= 0 and value.get("role", "user") == "user"
+    )
+
+
+def all_lines(spark, df):
+    columns = ["conv_id", "turn", "kind", "call_id", "status", "level", "valid", "json"]
+    return sorted((tuple(r) for r in chat.formatted(*chat.conversations_read(df)).select(*columns).collect()), key=str)
+
+
+def test_a_table_of_calls_and_plain_talk_equals_brute_force(spark):
+    import random
+
+    rng = random.Random(12)
+    turns = []
+    for conv in range(40):
+        for turn in range(rng.randint(1, 9)):
+            role = rng.choice(["user", "assistant", "tool", "system"])
+            text = rng.choice(["hi", "", None, "{broken", "[1]", "ünï \n \"q\""])
+            if conv % 2 and role == "assistant":
+                body = rng.choice(['{"turn":1,"text":"x"}', '{"text":"y","turn":-1}', "no json", None, '{"text":"z","turn":2,"extra":[true,null]}'])
+                calls = [{"id": f"k{rng.randint(0, 5)}", "name": rng.choice(["respond", "other"]), "arguments": body, "depends_on": [f"k{rng.randint(0, 7)}" for _ in range(rng.randint(0, 2))]} for _ in range(rng.randint(1, 2))]
+                text = json.dumps({"tool_calls": list({c["id"]: c for c in calls}.values())})
+            elif conv % 2 and role == "tool":
+                text = json.dumps({"tool_call_id": f"k{rng.randint(0, 6)}", "content": rng.choice(["42", "é"])})
+            turns.append((conv, turn, role, text))
+    turns += [(99, turn, "user" if turn % 2 else "assistant", f"turn {turn}") for turn in range(400)]  # one long conversation
+    assert all_lines(spark, spark.createDataFrame(turns, MESSAGES).repartition(4)) == slow_lines(turns, responds)
+
+
+def test_the_query_equals_brute_force(spark):
+    from cairn.llm import queries
+    from conftest import SF_SMALL
+
+    turns = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    df = queries.registry()["op8_chat_format"](spark, SF_SMALL)
+    got = sorted((tuple(r) for r in df.select("conv_id", "turn", "kind", "call_id", "status", "level", "valid", "json").collect()), key=str)
+    assert got == slow_lines(turns, responds) and len(got) == len(turns) > 0
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], MESSAGES)
+    assert chat.formatted(*chat.conversations_read(none)).count() == 0
     assert chat.formatted(*chat.asked_and_answered(none)).count() == 0
