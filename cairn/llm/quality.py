@@ -119,6 +119,16 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * z + self.shift, -40, 40)))
 
 
+def labels_fit(docs: DataFrame, labels: DataFrame, label: str) -> None:
+    """Raise where there are labels, and documents to learn from, but no label is of
+    one of these documents: a stage would then keep everything without a word."""
+    usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
+    texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    known = texts.join(usable.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    if not usable.isEmpty() and not texts.isEmpty() and known.isEmpty():
+        raise ValueError(f"no {label} label is of a document at hand")
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, held_out, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> DataFrame:
     """doc_id, text, y: at most ``rows`` labelled rows of at most ``chars``
     characters, chosen by a hash of the id among those that are not held out and

@@ -19,6 +19,7 @@ COLUMNS = {
     "op3_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
     "op10_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op5_ngram_jaccard": ["doc_id", "class_id", "n_links", "n_copies"],
+    "op12_line_dedup": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
     "op9_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
@@ -53,7 +54,7 @@ def test_pipeline_equals_brute_force(spark):
         words = ascii_words(text)
         hashes = quality.word_hashes(words, WordHashes())
         stats = quality.statistics(text, words, hashes)
-        if not quality.rejected(stats[0], stats[4]) and (model is None or model.probability((text or "").encode(), hashes) >= 0.5):
+        if not quality.rejected(stats[0], stats[4]) and (model is None or model.probability(quality.characters(text), hashes) >= 0.5):
             kept.append((i, text))
     first = docs.where(F.col("doc_id").isin([i for i, _ in kept]))
     net = toxicity.fit(first, labels)
@@ -75,3 +76,18 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     for name in ("documents", "labels"):
         table(spark, SF_SMALL, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("ids,fails", [("doc_id + 10000000", True), ("doc_id", False)])
+def test_pipeline_with_labels_of_other_documents(spark, tmp_path, ids, fails):
+    docs = table(spark, SF_SMALL, "documents")
+    docs.withColumn("place_", F.lit(1)).withColumn("y", F.lit("clash")).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = table(spark, SF_SMALL, "labels").withColumn("doc_id", F.expr(ids))
+    (labels if fails else labels.withColumn("toxic", F.lit(0))).write.parquet(f"{tmp_path}/labels.parquet")
+    if fails:
+        with pytest.raises(ValueError, match="no quality label is of a document at hand"):
+            corpus_pipeline.run(spark, str(tmp_path))
+    else:  # one class only: nothing to learn, nothing dropped
+        stage = corpus_pipeline.toxicity_filter(spark, table(spark, str(tmp_path), "documents"), str(tmp_path))
+        assert stage.columns == [*docs.columns, "place_", "y"] and stage.count() == docs.count()
+        assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0  # clashing columns go through
