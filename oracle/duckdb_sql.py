@@ -318,6 +318,21 @@ BRONZE_ALL = f"SELECT {BRONZE_ACTIVITIES_COLS} FROM ({raw()})"
 FIRST_WATERMARK = f"SELECT MAX(start_date::TIMESTAMP) FROM ({raw(FIRST, 0)})"
 
 
+# What publish_gold shows of each published table (key, measure),
+# stated here in this engine's own terms.
+PUBLISHED = {
+    "gold_activity_summary": ("activity_id", "kudos_count"),
+    "gold_weekly_stats": ("strftime(week_start, '%Y-%m-%d')", "activity_count"),
+    "gold_monthly_stats": ("strftime(month_start, '%Y-%m-%d')", "activity_count"),
+    "gold_pb_efforts": ("activity_id", "pr_count"),
+    "gold_training_load": ("activity_id", "average_heartrate::BIGINT"),
+    "dim_date": ("date_id", "week_number"),
+    "dim_activity_type": ("athlete_id", "sport_category"),
+    "dim_athlete": ("athlete_id", "athlete_name"),
+    "fact_activities": ("activity_id", "hr_zone"),
+}
+
+
 def queries() -> dict[str, str]:
     q: dict[str, str] = {}
     for name in BRONZE_SIDE:
@@ -344,12 +359,9 @@ def queries() -> dict[str, str]:
     q["sink_parquet_zstd"] = q["silver_activities"]
     q["bucketed_activity_fact"] = q["silver_activity_fact"]
     q["scan_union_by_name"] = f"{TRIPS} SELECT * FROM trips"
-    from cairn.queries import PUBLISHED
-
     published = ", ".join(f"{t} AS ({(GOLD | STAR)[t]})" for t in PUBLISHED)
-    as_sql = lambda e: e.replace("date_format(", "strftime(").replace("yyyy-MM-dd", "%Y-%m-%d")
     q["publish_gold"] = f"{ALL}, {published} " + " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, CAST({as_sql(k)} AS VARCHAR) AS row_key, CAST({v} AS VARCHAR) AS row_value FROM {t}"
+        f"SELECT '{t}' AS table_name, CAST({k} AS VARCHAR) AS row_key, CAST({v} AS VARCHAR) AS row_value FROM {t}"
         for t, (k, v) in PUBLISHED.items()
     )
 
