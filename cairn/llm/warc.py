@@ -1,9 +1,13 @@
 """WARC archives as a Spark data source (``format("warc")``).
 
 Writing: every task writes its own record-compressed files (one gzip member a
-record, rolled at ``roll_bytes``); the driver's commit lists the finished files,
-so files of a lost or repeated task are never read. Each member carries its
-compressed length in an ``sl`` extra field.
+record, rolled at ``roll_bytes``) into the folder ``_parts``. The driver's commit
+writes one new list of the finished files beside the others, under another name
+first, and renames it. Only listed files of ``_parts`` are read, so a write still
+going on, a failed one, and files of a lost or repeated task read as nothing;
+writers that append at once lose none of each other's files. An overwrite names
+in its list what it replaces, and deletes that once the list stands. Each member
+carries its compressed length in an ``sl`` extra field.
 
 Reading: files are planned into partitions of about ``partition_bytes``.
 Predicates on the record type and on header columns are pushed into the
@@ -16,7 +20,7 @@ are read too.
 Defined results: a null payload is empty; a null url writes no target header;
 line ends in header values become %0D and %0A; a null identifier ranks below
 all others. Of rows that repeat both identifier and payload, one may be the
-response and the others revisit it. An empty table writes an empty archive
+response (of those with the largest url) and the others revisit it. An empty table writes an empty archive
 that reads as no rows. Extra columns are not written.
 """
 
@@ -47,7 +51,8 @@ from pyspark.sql.datasource import (
     StringStartsWith,
     WriterCommitMessage,
 )
-from pyspark.sql.window import Window
+
+from .common import written
 
 SCHEMA = (
     "record_id string, record_type string, target_uri string, warc_date string, payload_digest string, "
@@ -67,13 +72,30 @@ HEADERS = {
 }
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-COMMITTED = "_committed.json"
+PARTS, LISTS = "_parts", "_lists"
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
 
 
+def committed(fs: pafs.FileSystem, root: str) -> tuple[list[tuple[str, int]], list[str]]:
+    """The archives of a folder that are to be read, as (place in it, size), and
+    all that an overwrite replaces: archives first, then the lists of them."""
+    lists = {}
+    for i in fs.get_file_info(pafs.FileSelector(f"{root}/{LISTS}", allow_not_found=True)):
+        if i.path.endswith(".json"):
+            with fs.open_input_stream(i.path, compression=None) as f:
+                lists[f"{LISTS}/{i.base_name}"] = json.loads(f.read())
+    files = {f"{PARTS}/{name}": size for one in lists.values() for name, size in one["files"]}
+    for i in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
+        name = i.path[len(root.rstrip("/")) + 1 :]
+        if i.type == pafs.FileType.File and name.endswith((".warc", ".warc.gz")) and not any(x[0] in "_." for x in name.split("/")):
+            files[name] = i.size
+    gone = {name for one in lists.values() for name in one["replaces"]}
+    return [f for f in files.items() if f[0] not in gone], [*files, *lists]
+
+
 # ------------------------------------------------------------ records
 def record_block(row: dict) -> bytes:
     clean = lambda v: str(v).replace("\r", "%0D").replace("\n", "%0A")
@@ -226,14 +248,10 @@ class WarcReader(DataSourceReader):
 
     def partitions(self):
         fs, root = filesystem(self.path)
-        listed = f"{root}/{COMMITTED}"
         if fs.get_file_info(root).type == pafs.FileType.File:
             found = [(root, fs.get_file_info(root).size)]
-        elif fs.get_file_info(listed).type == pafs.FileType.File:
-            with fs.open_input_stream(listed, compression=None) as f:
-                found = [(f"{root}/{name}", size) for name, size in json.loads(f.read())]
         else:
-            found = [(i.path, i.size) for i in fs.get_file_info(pafs.FileSelector(root, recursive=True)) if i.path.endswith((".warc", ".warc.gz"))]
+            found = [(f"{root}/{name}", size) for name, size in committed(fs, root)[0]]
         groups: list[list] = []
         room = 0
         for name, size in sorted(found):
@@ -284,13 +302,13 @@ class WarcWriter(DataSourceArrowWriter):
 
     def write(self, iterator):
         fs, root = filesystem(self.path)
-        fs.create_dir(root, recursive=True)
+        fs.create_dir(f"{root}/{PARTS}", recursive=True)
         done, out, size, name = [], None, 0, ""
         for batch in iterator:
             for row in batch.to_pylist():
                 if out is None:
                     name, size = f"part-{uuid.uuid4().hex}.warc.gz", 0
-                    out = fs.open_output_stream(f"{root}/{name}", compression=None)
+                    out = fs.open_output_stream(f"{root}/{PARTS}/{name}", compression=None)
                 member = gzip_member(record_block(row))
                 out.write(member)
                 size += len(member)
@@ -305,20 +323,23 @@ class WarcWriter(DataSourceArrowWriter):
 
     def commit(self, messages):
         fs, root = filesystem(self.path)
-        fs.create_dir(root, recursive=True)
-        listed = f"{root}/{COMMITTED}"
+        for folder in (PARTS, LISTS):
+            fs.create_dir(f"{root}/{folder}", recursive=True)
+        replaces = committed(fs, root)[1] if self.overwrite else []
         files = [list(f) for m in messages if m is not None for f in m.files]
-        if not self.overwrite and fs.get_file_info(listed).type == pafs.FileType.File:
-            with fs.open_input_stream(listed, compression=None) as f:
-                files = json.loads(f.read()) + files
-        with fs.open_output_stream(listed, compression=None) as f:
-            f.write(json.dumps(files).encode())
+        place = f"{root}/{LISTS}/{uuid.uuid4().hex}"
+        with fs.open_output_stream(f"{place}.writing", compression=None) as f:
+            f.write(json.dumps({"files": files, "replaces": replaces}).encode())
+        fs.move(f"{place}.writing", f"{place}.json")
+        for name in replaces:
+            if fs.get_file_info(f"{root}/{name}").type == pafs.FileType.File:
+                fs.delete_file(f"{root}/{name}")
 
     def abort(self, messages):
         fs, root = filesystem(self.path)
         for m in messages:
             for name, _ in m.files if m is not None else ():
-                fs.delete_file(f"{root}/{name}")
+                fs.delete_file(f"{root}/{PARTS}/{name}")
 
 
 class WarcSource(DataSource):
@@ -347,41 +368,75 @@ def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFr
 
 
 # ------------------------------------------------------------ pages
-#: A digest's copies are dealt over so many tasks.
+#: Beyond the broadcast, a digest's copies are dealt over so many tasks.
 SALTS = 32
+#: Bytes of the shared digests' leads that are broadcast at most.
+BROADCAST_BYTES = 32 << 20
+#: Copies of a row that is there several times are made in chunks of so many.
+CHUNK = 10_000
 
 
-def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """page_id, url, payload, digest (hex), payload_bytes and ``first_id``: for a
-    row that revisits another, that row's page_id; ``is_revisit`` tells.
-
-    Of rows with equal payloads of at least ``min_bytes`` bytes that with the
-    largest page_id is the response. Payload copies may hold a third of all
-    rows: digests are reduced per (digest, salt) before they meet, and the
-    answer goes back only to the salts in use."""
-    base = pages.select(
+def page_rows(pages: DataFrame) -> DataFrame:
+    return pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"),
-    ).select(
-        "*",
-        F.sha1("payload").alias("digest"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).alias("salt"),
-    )
-    parts = base.where(F.col("payload_bytes") >= min_bytes).groupBy("digest", "salt").agg(F.max("page_id").alias("top"), F.count(F.lit(1)).alias("n"))
-    groups = parts.groupBy("digest").agg(F.max("top").alias("top"), F.sum("n").alias("n"), F.collect_set("salt").alias("salts"))
-    answers = groups.where("n > 1").select("digest", "top", F.lit(True).alias("shared"), F.explode("salts").alias("salt"))
-    repeat = F.row_number().over(Window.partitionBy("digest", "salt", "page_id").orderBy("url"))
-    leads = F.col("page_id").eqNullSafe(F.col("top")) & (F.col("repeat") == 1)
+    ).select("*", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("payload_bytes"))
+
+
+def shared_digests(base: DataFrame, min_bytes: int) -> DataFrame:
+    """digest, payload_bytes, top, top_url, n_top, salts of the payloads that
+    several rows have: the page_id and url of the row that is the response, how
+    many rows are equal to it, and the salts in use. Payloads take no part in the
+    shuffles, and a digest's rows are reduced before they meet."""
+    ones = base.where(F.col("payload_bytes") >= min_bytes).groupBy("digest", "payload_bytes", "page_id", "url").agg(F.count(F.lit(1)).alias("n"))
     return (
-        base.join(answers, ["digest", "salt"], "left")
-        .withColumn("repeat", repeat)
-        .withColumn("is_revisit", F.coalesce(F.col("shared"), F.lit(False)) & ~leads)
-        .select("page_id", "url", "payload", "digest", "payload_bytes", "is_revisit", F.when(F.col("is_revisit"), F.col("top")).alias("first_id"))
+        ones.groupBy("digest", "payload_bytes")
+        .agg(F.max(F.struct("page_id", "url", "n")).alias("lead"), F.sum("n").alias("n"), F.collect_set(salt()).alias("salts"))
+        .where("n > 1")
+        .select("digest", "payload_bytes", F.col("lead.page_id").alias("top"), F.col("lead.url").alias("top_url"), F.col("lead.n").alias("n_top"), "salts")
     )
 
 
+def salt():
+    return F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS))
+
+
+def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """page_id, url, payload (of responses), digest (hex), payload_bytes and
+    ``first_id``: for a row that revisits another, that row's page_id;
+    ``is_revisit`` tells.
+
+    Of rows with equal payloads of at least ``min_bytes`` bytes that with the
+    largest page_id is the response. The shared digests are found first, in a
+    written table without payloads. Where it is small, it is broadcast and no
+    payload is shuffled; else rows meet it by digest and salt. Of rows that are
+    equal in all columns one goes on and its copies are counted out."""
+    base = page_rows(pages)
+    shared = written(shared_digests(base, min_bytes), "warc-shared")
+    size = shared.agg(F.sum(F.coalesce(F.octet_length("top_url"), F.lit(0)) + F.size("salts") * 8 + 120).alias("bytes"), F.max("n_top").alias("most")).first()
+    if (size["bytes"] or 0) <= BROADCAST_BYTES:
+        rows = base.join(F.broadcast(shared.drop("salts", "payload_bytes")), "digest", "left")
+    else:
+        answers = shared.drop("payload_bytes").withColumn("salt", F.explode("salts")).drop("salts")
+        rows = base.withColumn("salt", salt()).join(answers, ["digest", "salt"], "left")
+    lead = F.col("page_id").eqNullSafe(F.col("top")) & F.col("url").eqNullSafe(F.col("top_url"))
+    rows = rows.withColumn("is_shared", F.col("n_top").isNotNull()).withColumn("leads", F.col("is_shared") & lead)
+    columns = ["page_id", "url", "payload", "digest", "payload_bytes", "is_revisit", F.when(F.col("is_revisit"), F.col("top")).alias("first_id")]
+    revisit = F.col("is_shared") & ~F.col("leads")
+    payload = F.when(~F.col("is_revisit"), F.col("payload")).alias("payload")
+    once = rows.where(~F.col("leads") | (F.col("n_top") == 1)).withColumn("is_revisit", revisit).withColumn("payload", payload).select(*columns)
+    if (size["most"] or 0) <= 1:
+        return once
+    first = ["page_id", "url", "digest", "payload_bytes", "top"]
+    responses = rows.where(F.col("leads") & (F.col("n_top") > 1)).groupBy(*first).agg(F.first("payload").alias("payload"))
+    chunks = shared.where("n_top > 1").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n_top - 2) div {CHUNK}"))))
+    left = F.least(F.lit(CHUNK), F.col("n_top") - 1 - F.col("chunk") * CHUNK).cast("int")
+    again = chunks.repartition("digest", "chunk").withColumn("copy", F.explode(F.sequence(F.lit(1), left)))
+    copies = again.withColumns({"page_id": F.col("top"), "url": F.col("top_url"), "payload": F.lit(None).cast("binary"), "is_revisit": F.lit(True)})
+    return once.unionByName(responses.withColumn("is_revisit", F.lit(False)).select(*columns)).unionByName(copies.select(*columns))
+
+
 def base32_of_hex(column):
     """Upper-case base32 of 40 hex digits (20 bytes: no padding): each ten hex
     digits are eight digits of base 32."""
@@ -400,8 +455,9 @@ def page_of_urn(column):
     return F.when(number != "", number.cast("long"))
 
 
-def archive_pages(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "1970-01-01T00:00:00Z") -> None:
-    """One record per page. Ids are ``<urn:page:N>``."""
+def archive_pages(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "1970-01-01T00:00:00Z", mode: str = "append") -> None:
+    """One record per page, added to the archive or (mode ``overwrite``) in its
+    place. Ids are ``<urn:page:N>``."""
     register(pages.sparkSession)
     planned = with_revisits(pages, min_bytes)
     revisit = F.col("is_revisit")
@@ -413,8 +469,8 @@ def archive_pages(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "
         F.concat(F.lit("sha1:"), base32_of_hex(F.col("digest"))).alias("payload_digest"),
         "payload_bytes",
         F.when(revisit, page_urn(F.col("first_id"))).alias("refers_to"),
-        F.when(~revisit, F.col("payload")).alias("payload"),
-    ).write.format("warc").mode("append").save(path)
+        "payload",
+    ).write.format("warc").mode(mode).save(path)
 
 
 def archived_pages(spark: SparkSession, path: str) -> DataFrame:

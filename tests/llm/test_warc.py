@@ -7,6 +7,9 @@ import os
 import uuid
 from collections import defaultdict
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pytest
 from pyspark.sql import functions as F
 
 from cairn.llm import warc
@@ -25,6 +28,10 @@ ROWS = [
     (9, "u", "dup"),
     (5, "x", ""),
     (None, "n", "dup"),
+    (11, "r", "many"),
+    *[(11, "r", "many")] * 7,
+    (11, None, "many"),
+    (10, "r", "many"),
     (7, "long", "é<x>\r\n\r\nWARC/1.1" * 60_000),
     (8, "https://b.example/", "\r\n\r\n"),
 ]
@@ -42,7 +49,10 @@ def expected(rows):
             yield page, len(payload), digest, "revisit", pages[-1]
 
 
-def test_round_trip_with_revisits(spark):
+@pytest.mark.parametrize("most", [warc.BROADCAST_BYTES, -1])
+def test_round_trip_with_revisits(spark, monkeypatch, most):
+    monkeypatch.setattr(warc, "BROADCAST_BYTES", most)  # below: digests meet by shuffle
+    monkeypatch.setattr(warc, "CHUNK", 3)
     path = place(spark)
     pages = spark.createDataFrame([(*r, "extra") for r in ROWS], "page_id long, url string, html string, payload string").repartition(4)
     warc.archive_pages(pages, path)
@@ -100,13 +110,72 @@ def test_files_roll_and_group(spark):
     assert warc.archived_pages(spark, path).count() == 60
 
 
+def one_page(spark, k):
+    return spark.createDataFrame([(k, "u", f"h{k}")], "page_id long, url string, html string")
+
+
+def ids(spark, path):
+    return sorted(r.page_id for r in warc.archived_pages(spark, path).collect())
+
+
+def test_payloads_are_not_shuffled(spark):
+    pages = spark.createDataFrame(ROWS, "page_id long, url string, html string")
+    plan = warc.with_revisits(pages.where("page_id != 11 AND page_id != 9"))
+    text = spark._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "simple")
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
 def test_unfinished_files_are_not_read(spark):
     path = place(spark)
-    warc.archive_pages(spark.createDataFrame([(1, "u", "h")], "page_id long, url string, html string"), path)
     fs, root = warc.filesystem(path)
-    with fs.open_output_stream(f"{root}/part-lost.warc.gz", compression=None) as f:
+    writer = warc.WarcWriter({"path": path}, False)
+    message = writer.write(warc.WarcReader.batch([]) for _ in ())
+    with_row = warc.WarcWriter({"path": path}, False)
+    rows = [{"record_type": "response", "record_id": "<urn:page:7>", "payload": b"p"}]
+    done = with_row.write(iter([pa.RecordBatch.from_pylist(rows)]))
+    # a first write that has not committed reads as nothing, not in part
+    assert done.files and ids(spark, path) == []
+    warc.archive_pages(one_page(spark, 1), path)
+    with fs.open_output_stream(f"{root}/{warc.PARTS}/part-lost.warc.gz", compression=None) as f:
         f.write(b"\x1f\x8b half a file of a lost task")
-    assert warc.archived_pages(spark, path).count() == 1
+    with fs.open_output_stream(f"{root}/{warc.LISTS}/lost.writing", compression=None) as f:
+        f.write(b"{half a list")
+    assert ids(spark, path) == [1]
+    # both writers commit, in any order: no list is written over
+    with_row.commit([done, None])
+    writer.commit([message])
+    assert ids(spark, path) == [1, 7]
+
+
+def test_overwrite_replaces_and_removes(spark):
+    path = place(spark)
+    fs, root = warc.filesystem(path)
+    for k in (1, 2):
+        warc.archive_pages(one_page(spark, k), path)
+    with fs.open_output_stream(f"{root}/foreign.warc.gz", compression=None) as f:
+        f.write(warc.gzip_member(warc.record_block({"record_type": "response", "record_id": "<urn:page:3>", "payload": b"p"})))
+    assert ids(spark, path) == [1, 2, 3]
+    warc.archive_pages(one_page(spark, 4), path, mode="overwrite")
+    assert ids(spark, path) == [4]
+    archives = [i.path for i in fs.get_file_info(pafs.FileSelector(root, recursive=True)) if i.path.endswith((".gz", ".json"))]
+    assert len(archives) == 2  # one archive, its list
+    warc.archive_pages(one_page(spark, 5), path)
+    assert ids(spark, path) == [4, 5]
+
+
+def test_overwrite_that_crashed_before_its_deletes(spark, monkeypatch):
+    path = place(spark)
+    fs, root = warc.filesystem(path)
+    warc.archive_pages(one_page(spark, 1), path)
+    old = {i.path: fs.open_input_stream(i.path, compression=None).read() for i in fs.get_file_info(pafs.FileSelector(root, recursive=True)) if i.path.endswith((".gz", ".json"))}
+    warc.archive_pages(one_page(spark, 2), path, mode="overwrite")
+    for name, data in old.items():
+        with fs.open_output_stream(name, compression=None) as f:
+            f.write(data)
+    assert ids(spark, path) == [2]
+    warc.archive_pages(one_page(spark, 3), path, mode="overwrite")
+    assert ids(spark, path) == [3]
+    assert not any(fs.get_file_info(name).type == pafs.FileType.File for name in old)
 
 
 def test_empty_table(spark):
