@@ -35,7 +35,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import WordHashes, arrow_map, ascii_words, column, forget, prepare, window_hashes, written
 
@@ -106,7 +105,8 @@ def text_rows(docs: DataFrame) -> DataFrame:
 
 
 def text_key(text: str = "text"):
-    return F.unhex(F.md5(F.col(text).cast("binary")))
+    """SHA-256: texts made to collide under a weaker digest would be merged."""
+    return F.unhex(F.sha2(F.col(text).cast("binary"), 256))
 
 
 # ------------------------------------------------------------ buckets
@@ -322,8 +322,9 @@ def linked(entries: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return full.mapInArrow(run, "key binary, links long, root binary")
 
 
-def shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """key, size, sketch, shingles of the keys' texts."""
+def shingle_sets(docs: DataFrame, keys: DataFrame, total: int) -> DataFrame:
+    """key, size, sketch, shingles of the keys' (key, rep, copies) texts; ``total``
+    is the number of rows."""
 
     def run(batch):
         known = WordHashes()
@@ -331,29 +332,52 @@ def shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
         return {"key": column(batch, "key"), "size": [len(s) for s in sets], "sketch": sketches(sets), "shingles": [s.tobytes() for s in sets]}
 
     texts = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("key"))
-    # one row a text: the one with the class's id
-    rows = texts.join(keys, "key").where(F.col("doc_id").eqNullSafe(F.col("rep"))).groupBy("key").agg(F.first("text").alias("text"))
+    # one row a text: the one with the class's id. Rows meet by text and id; of a
+    # hot text, whose rows may all repeat that id, by broadcast (few, see HOT)
+    hot = F.col("copies") > F.lit(max(1, total * HOT))
+    rows = None
+    for some in (F.broadcast(keys.where(hot)), keys.where(~hot)):
+        one = texts.join(some, "key").where(F.col("doc_id").eqNullSafe(F.col("rep"))).groupBy("key").agg(F.first("text").alias("text"))
+        rows = one if rows is None else rows.unionByName(one)
     return arrow_map(rows, run, "key binary, size int, sketch binary, shingles binary")
 
 
 # ------------------------------------------------------------ components
+#: A join key that more than this share of the rows hold is met by broadcast:
+#: there are less than 1 / HOT of them.
+HOT = 1e-3
+
+
+def hot_join(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame | None = None) -> DataFrame:
+    """``rows.join(table, key)``, where ``table`` has one row a key. Keys that more
+    than ``HOT`` of the rows hold are met by broadcast, the others by shuffle, so
+    a key that a third of all rows hold fills no task. Both are read again, so
+    they are to be written tables."""
+    if hot is None:
+        hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(1, rows.count() * HOT)).select(key)
+    hot = written(hot, "join-hot")
+    few = rows.join(F.broadcast(table.join(F.broadcast(hot), key, "left_semi")), key)
+    return few.unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(table, key))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label: the smallest node of each connected component. ``edges``
     (a, b) need not be symmetric. Labels are passed to neighbours, then to the
-    label's own label, until none changes; each step reads written tables, so
-    skewed joins on a much-linked node are split."""
+    label's own label, until none changes; each step reads written tables, and a
+    much-linked node or a label of many nodes is met by broadcast."""
     both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "cc-edges")
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "cc-labels")
+    hubs = written(both.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(1, both.count() * HOT)).select("b"), "cc-hubs")
     while True:
-        heard = both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("theirs")), "b").groupBy(F.col("a").alias("node")).agg(F.min("theirs").alias("theirs"))
+        heard = hot_join(both, labels.select(F.col("node").alias("b"), F.col("label").alias("theirs")), "b", hubs).groupBy(F.col("a").alias("node")).agg(F.min("theirs").alias("theirs"))
         lower = written(labels.join(heard, "node").select("node", F.col("label").alias("old"), F.least("label", "theirs").alias("label")), "cc-lower")
         jump = lower.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        new = written(lower.join(jump, "label").select("node", F.least("label", "further").alias("label"), "old"), "cc-labels")
+        new = written(hot_join(lower, jump, "label").select("node", F.least("label", "further").alias("label"), "old"), "cc-labels")
         changed = not new.where(F.col("label") != F.col("old")).isEmpty()
         forget(edges.sparkSession, lower, labels)
         labels = new.select("node", "label")
         if not changed:
-            forget(edges.sparkSession, both)
+            forget(edges.sparkSession, both, hubs)
             return labels
 
 
@@ -374,8 +398,8 @@ def joined_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     classes = written(classes_of(rows), "join-classes")
     entries = bucketed(classes, runs_for(recall, threshold))
     entries2 = written(promising(entries, classes, threshold), "join-entries")
-    keys = entries2.select("key").distinct().join(classes.select("key", "rep"), "key")
-    found = written(linked(entries2, shingle_sets(docs, keys), threshold), "join-links")
+    keys = entries2.select("key").distinct().join(classes.select("key", "rep", "copies"), "key")
+    found = written(linked(entries2, shingle_sets(docs, keys, rows.count()), threshold), "join-links")
     labels = components(found.where(F.col("key") != F.col("root")).select(F.col("key").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("key").agg(F.sum("links").alias("n_links"))
     full = classes.select("key", "rep", "copies").join(counts, "key", "left").join(labels.withColumnRenamed("node", "key"), "key", "left")
@@ -390,10 +414,18 @@ def joined_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     return rows.select("doc_id", "key"), out
 
 
+def met(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows`` (with a ``key``) with their class's columns. Neither the copies of
+    one text nor the rows without words meet in one task, whatever the session
+    does about skew."""
+    worded = rows.where(F.col("key").isNotNull())
+    hot = classes.where(F.col("copies") > rows.count() * HOT).select("key")
+    return hot_join(worded, classes, "key", hot).unionByName(rows.where(F.col("key").isNull()), allowMissingColumns=True)
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """doc_id, class_id, n_links, n_copies: one row per row of ``docs``."""
-    rows, classes = joined_classes(docs, threshold, recall)
-    return rows.join(classes, "key", "left").select(
+    return met(*joined_classes(docs, threshold, recall)).select(
         "doc_id",
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
@@ -404,15 +436,39 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each class one row with
     its smallest doc_id stays (of rows that repeat it, the first by their other
-    columns), and every row without words."""
-    _, classes = joined_classes(docs, threshold, recall)
-    stay = classes.where(F.col("key") == F.col("lead_key")).select(F.col("key").alias("key_"), F.col("rep").alias("rep_"))
-    worded = docs.where(has_words()).withColumn("key_", text_key())
-    chosen = worded.join(stay, "key_").where(F.col("doc_id").eqNullSafe(F.col("rep_")))
-    others = [c for c, t in docs.dtypes if c != "text" and not t.startswith("map")]
-    place = F.row_number().over(Window.partitionBy("key_").orderBy(*others))
-    first = chosen.withColumn("place_", place).where("place_ = 1").select(*docs.columns)
-    return first.unionByName(docs.where(~has_words()))
+    columns, maps by their JSON), and every row without words.
+
+    Rows meet the texts that stay by text and id, so a hot text's copies with
+    ids of their own spread. Copies that repeat the id too are reduced to one a
+    task before they meet."""
+    rows, classes = joined_classes(docs, threshold, recall)
+    key, row = fresh(docs, "key"), fresh(docs, "row")
+    lead = classes.where(F.col("key") == F.col("lead_key")).select(F.col("key").alias("lead"), "rep")
+    # narrow: how often the id that stays is there with its text
+    times = rows.where(F.col("key").isNotNull()).groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("times"))
+    stay = written(times.join(lead, (F.col("key") == F.col("lead")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("lead", "rep", "times"), "join-stay")
+    worded = docs.where(has_words()).withColumn(key, text_key())
+
+    def rows_of(some: DataFrame) -> DataFrame:
+        return worded.join(some, (worded[key] == stay["lead"]) & worded["doc_id"].cast("long").eqNullSafe(stay["rep"]), "left_semi")
+
+    out = rows_of(stay.where("times = 1")).select(*docs.columns).unionByName(docs.where(~has_words()))
+    if stay.where("times > 1").isEmpty():
+        return out
+    order = F.struct(*[F.to_json(F.struct(c)) if "map<" in t else F.col(c) for c, t in docs.dtypes if c != "text"])
+    bound = max(1, rows.count() * HOT)
+    for some in (F.broadcast(stay.where(F.col("times") > bound)), stay.where((F.col("times") > 1) & (F.col("times") <= bound))):
+        first = rows_of(some).groupBy(key).agg(F.min_by(F.struct(*docs.columns), order).alias(row))
+        out = out.unionByName(first.select(f"{row}.*"))
+    return out
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, longer by underscores until ``docs`` has no such column."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def has_words(text: str = "text"):

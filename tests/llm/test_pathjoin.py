@@ -68,6 +68,34 @@ def test_classes_and_links_equal_all_pairs(spark, monkeypatch, limit):
         assert kept.columns == docs.columns and kept.count() == stay
 
 
+def test_rows_that_repeat_a_text_and_its_id(spark):
+    """Hot keys: one text under no id, one under ids of its own, rows without words."""
+    text = "the same words again and again and again"
+    rows = [(None, text, {"n": "2"}, "b", 1)] * 300 + [(None, text, {"n": "1"}, "b", 2)] * 300 + [(k, "other text of some length here", {}, "a", k) for k in range(300)]
+    rows += [(7, None, {}, None, 0)] * 300 + [(8000 + k, f"w{k} x y z", {}, "c", k) for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string,string>, key string, row int").repartition(4)
+    got = Counter((r.doc_id, r.class_id, r.n_links, r.n_copies) for r in pathjoin.near_duplicates(docs).collect())
+    want = Counter({(None, None, 0, 600): 600, (7, 7, 0, 1): 300})
+    want.update({(k, 0, 0, 300): 1 for k in range(300)})
+    want.update({(8000 + k, 8000 + k, 0, 1): 1 for k in range(100)})
+    assert got == want
+    kept = pathjoin.keep_one(docs)
+    assert kept.dtypes == docs.dtypes
+    kept = [(r.doc_id, r.text, r.m, r.key, r.row) for r in kept.collect()]
+    assert [r for r in kept if r[1] == text] == [(None, text, {"n": "1"}, "b", 2)]  # maps decide, here before the row
+    assert [r[:1] + r[3:] for r in kept if r[1] and r[1].startswith("other")] == [(0, "a", 0)]
+    assert len(kept) == 1 + 1 + 300 + 100
+
+
+@pytest.mark.parametrize("share", [1e-3, 0.2])
+def test_hot_keys_are_joined_as_others(spark, monkeypatch, share):
+    monkeypatch.setattr(pathjoin, "HOT", share)
+    rows = pathjoin.written(spark.createDataFrame([(k % 3 if k < 150 else k, k) for k in range(300)], "key long, v long"), "test-rows")
+    table = pathjoin.written(spark.createDataFrame([(k, -k) for k in range(280)], "key long, w long"), "test-table")
+    got = pathjoin.hot_join(rows, table, "key")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.join(table, "key").collect()))
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pathjoin.near_duplicates(docs).count() == 0
