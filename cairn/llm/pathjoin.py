@@ -9,8 +9,14 @@ is done; a larger one is split again at coordinates chosen by a hash of its
 path, until it is small or stops shrinking. Runs are repeated until the target
 recall (:func:`runs_for`). Buckets with the same members count once.
 
-Buckets are compared by brute force, large ones in blocks, so no task holds more
-than two blocks. A pair belongs to the first bucket that both members are in:
+A large bucket that stops shrinking is mostly one text with small changes. Its
+centre is the majority set of a few members. Jaccard distance is a metric, so
+members whose similarity to the centre is at least (1 + threshold) / 2 are all
+linked to each other: a core. Its links are counted, not compared, and cost one
+comparison a member.
+
+All other pairs of a bucket are compared by brute force, in large ones block by
+block, so no task holds more than two blocks. A pair belongs to the first bucket that both members are in:
 there its sketches are compared, and where they allow the threshold its whole
 shingle sets are, so links are exact and counted once. A block pair returns one
 row a member, never its pairs: the number of its links and the smallest member
@@ -28,6 +34,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -48,6 +55,8 @@ LIMIT, LIMIT_SHINGLES = 1000, 2_000_000
 #: A bucket with more than this share of its parent's members isn't split again.
 SHRINKS = 0.7
 MAX_DEPTH = 6
+#: Members of a large bucket whose majority is its centre.
+PICKS = 15
 
 _FACTORS = np.random.default_rng(20240607).integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -172,30 +181,122 @@ def bucketed(classes: DataFrame, runs: int) -> DataFrame:
         every = every.unionByName(more)
     every = written(every, "join-finals")
     once = every.groupBy("n", "mark", "mark2").agg(F.min("path").alias("path")).select("path").distinct()
-    blocks = F.greatest(F.ceil(F.col("n") / LIMIT), F.ceil(F.col("shingles") / LIMIT_SHINGLES)).cast("int")
+    blocks = blocks_for(F.col("n"), F.col("shingles"))
     out = written(every.join(written(once, "join-once"), "path").select("key", "path", blocks.alias("blocks")).distinct(), "join-buckets")
     forget(classes.sparkSession, every, *made)
     return out
 
 
+def blocks_for(n, shingles):
+    return F.greatest(F.ceil(n / LIMIT), F.ceil(shingles / LIMIT_SHINGLES)).cast("int")
+
+
+def key_block(blocks):
+    return F.pmod(F.xxhash64("key"), F.greatest(blocks, F.lit(1))).cast("int")
+
+
+# ------------------------------------------------------------ cores
+def centres(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """path, blocks, shingles: those that most of a few members of the bucket
+    have. Any set would do as a centre; this one is near to many members."""
+    picks = F.array_distinct(F.array(*[F.min_by("key", F.xxhash64("key", F.lit(k))) for k in range(PICKS)]))
+    chosen = large.groupBy("path").agg(F.max("blocks").alias("blocks"), picks.alias("picks")).select("path", "blocks", F.explode("picks").alias("key"))
+    held = sets.where(F.col("size") <= LIMIT_SHINGLES // PICKS).select("key", "shingles")
+    lists = chosen.join(held, "key").groupBy("path", "blocks").agg(F.collect_list("shingles").alias("sets"))
+
+    def run(batch):
+        out = []
+        for row in column(batch, "sets"):
+            values, counts = np.unique(np.concatenate([np.frombuffer(s, np.uint64) for s in row]), return_counts=True)
+            out.append(values[2 * counts > len(row)].tobytes())
+        return {"path": column(batch, "path"), "blocks": column(batch, "blocks"), "shingles": out}
+
+    return arrow_map(lists, run, "path long, blocks int, shingles binary")
+
+
+def cores(entries: DataFrame, sets_of, threshold: float) -> DataFrame | None:
+    """key, core, links, root of the keys in a core: its other members and its
+    smallest key. Equal centres of several buckets are one core; a key that is
+    near to several goes to the one with most keys near. None without large
+    buckets. ``sets_of`` gives the shingle sets of keys."""
+    large = written(entries.where("blocks > 1"), "join-large")
+    if large.isEmpty():
+        return None
+    sets = written(sets_of(large.select("key").distinct()), "join-sets")
+    middle = centres(large, sets)
+    middle = middle.select("path", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(None).cast("binary").alias("key"), "shingles")
+    members = large.select("path", key_block(F.col("blocks")).alias("block"), "key").join(sets.select("key", "shingles"), "key")
+    dealt = members.unionByName(middle).repartition("path", "block").sortWithinPartitions("path", "block", F.col("key").asc_nulls_first())
+    schema = pa.schema([("key", pa.binary()), ("core", pa.binary())])
+
+    def run(batches):
+        for batch in runs_of_groups(batches, ("path", "block")):
+            keys, raw = column(batch, "key"), column(batch, "shingles")
+            if keys[0] is not None:
+                continue
+            centre = np.frombuffer(raw[0], np.uint64)
+            near = []
+            for key, one in zip(keys[1:], raw[1:]):
+                one = np.frombuffer(one, np.uint64)
+                common = len(np.intersect1d(centre, one, assume_unique=True))
+                if 2 * common >= (1 + threshold) * (len(centre) + len(one) - common):
+                    near.append(key)
+            if near:
+                core = hashlib.sha256(raw[0]).digest()
+                yield pa.RecordBatch.from_arrays([pa.array(near, pa.binary()), pa.array([core] * len(near), pa.binary())], schema=schema)
+
+    near = written(dealt.mapInArrow(run, "key binary, core binary").distinct(), "join-near")
+    counts = written(near.groupBy("core").agg(F.count(F.lit(1)).alias("n")), "join-core-counts")
+    best = hot_join(near, counts, "core").groupBy("key").agg(F.max(F.struct("n", "core")).alias("best"))
+    best = written(best.select("key", F.col("best.core").alias("core")), "join-best")
+    sizes = best.groupBy("core").agg((F.count(F.lit(1)) - 1).alias("links"), F.min("key").alias("root")).where("links > 0")
+    out = written(hot_join(best, written(sizes, "join-core-sizes"), "core").select("key", "core", "links", "root"), "join-cores")
+    forget(entries.sparkSession, large, sets, near, counts, best)
+    return out
+
+
+def laid_out(entries: DataFrame, found: DataFrame | None, classes: DataFrame) -> DataFrame:
+    """key, path, core, inside, heads, rests: a bucket's greatest core, if any,
+    has its first ``heads`` blocks (``inside``), all others the ``rests`` after."""
+    plain = [F.lit(False).alias("inside"), F.lit(0).alias("heads"), F.col("blocks").alias("rests")]
+    if found is None:
+        return entries.select("key", "path", F.lit(None).cast("binary").alias("core"), *plain)
+    marked = entries.join(found.select("key", "core"), "key", "left")
+    large = written(marked.where("blocks > 1").join(classes.select("key", "size"), "key"), "join-marked")
+    cells = large.groupBy("path", "core").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("size").cast("long")).alias("shingles"))
+    top = F.max(F.when(F.col("core").isNotNull(), F.struct("n", "core", "shingles")))
+    layout = cells.groupBy("path").agg(F.sum("n").alias("n"), F.sum("shingles").alias("shingles"), top.alias("top"))
+    n, shingles = (F.coalesce(F.col(f"top.{c}"), F.lit(0)) for c in ("n", "shingles"))
+    layout = written(
+        layout.select(
+            "path", F.col("top.core").alias("first"), blocks_for(n, shingles).alias("heads"), blocks_for(F.col("n") - n, F.col("shingles") - shingles).alias("rests")
+        ),
+        "join-layout",
+    )
+    inside = F.coalesce(F.col("core") == F.col("first"), F.lit(False)).alias("inside")
+    placed = hot_join(large, layout, "path").select("key", "path", "core", inside, "heads", "rests")
+    return placed.unionByName(marked.where("blocks = 1").select("key", "path", "core", *plain))
+
+
 def paired(entries: DataFrame) -> DataFrame:
     """Each entry once for every pair of blocks that its block is in, dealt by
-    that pair and in order."""
-    block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    that pair and in order. Blocks of one core meet none of each other."""
+    block = F.when(F.col("inside"), key_block(F.col("heads"))).otherwise(F.col("heads") + key_block(F.col("rests")))
+    last = F.col("heads") + F.col("rests") - 1
+    other = F.when(~F.col("inside"), F.sequence(F.lit(0), last)).when(F.col("rests") > 0, F.sequence(F.col("heads"), last))
     return (
         entries.withColumn("block", block)
-        .withColumn("other", other)
+        .withColumn("other", F.explode(other))
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
-        .drop("other", "blocks")
+        .drop("other", "inside", "heads", "rests")
         .repartition("path", "low", "high")
         .sortWithinPartitions("path", "low", "high")
     )
 
 
-def runs_of_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One batch for each (path, low, high) of ordered batches. Groups hold two
+def runs_of_groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...] = ("path", "low", "high")) -> Iterator[pa.RecordBatch]:
+    """One batch for each value of ``names`` in ordered batches. Groups hold two
     blocks at most."""
     held = None
     for batch in batches:
@@ -203,7 +304,7 @@ def runs_of_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             batch = pa.concat_batches([held, batch])
         if not batch.num_rows:
             continue
-        keys = np.stack([batch.column(batch.schema.get_field_index(n)).to_numpy() for n in ("path", "low", "high")])
+        keys = np.stack([batch.column(batch.schema.get_field_index(n)).to_numpy() for n in names])
         edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
         begins = [0, *edges.tolist()]
         for a, b in zip(begins, begins[1:]):
@@ -220,13 +321,19 @@ def sides(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def allowed(batch: pa.RecordBatch, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
-    """left x right: pairs that this bucket decides and that sizes and sketches
-    allow to reach the threshold."""
+    """left x right: pairs of no core that this bucket decides and that sizes and
+    sketches allow to reach the threshold."""
     size = np.array(column(batch, "size"), dtype=np.int64)
     a, b = size[left][:, None], size[right][None]
     ok = np.minimum(a, b) >= threshold * np.maximum(a, b) - 1e-9
     if len(left) == len(right) and left[0] == right[0]:
         ok &= np.arange(len(left))[:, None] < np.arange(len(right))
+    core = column(batch, "core")
+    if any(c is not None for c in core):
+        # a key of no core differs from all
+        numbers = {c: k for k, c in enumerate(set(core))}
+        core = np.array([-1 - k if c is None else numbers[c] for k, c in enumerate(core)])
+        ok &= core[left][:, None] != core[right]
     if not ok.any():
         return ok
     sketch = np.frombuffer(b"".join(column(batch, "sketch")), np.uint32).reshape(-1, COORDINATES)
@@ -249,8 +356,9 @@ def allowed(batch: pa.RecordBatch, left: np.ndarray, right: np.ndarray, threshol
 
 def with_paths(entries: DataFrame) -> DataFrame:
     """``paths``: all buckets of the key (bounded by runs, branches and depth)."""
-    lists = entries.groupBy("key").agg(F.collect_list(F.struct("path", "blocks")).alias("at"))
-    return lists.select("key", F.col("at.path").alias("paths"), F.explode("at").alias("at")).select("key", "paths", "at.path", "at.blocks")
+    at = F.collect_list(F.struct("path", "inside", "heads", "rests")).alias("at")
+    lists = entries.groupBy("key").agg(F.first("core").alias("core"), at)
+    return lists.select("key", "core", F.col("at.path").alias("paths"), F.explode("at").alias("at")).select("key", "core", "paths", "at.*")
 
 
 def promising(entries: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -396,10 +504,18 @@ def joined_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     spark = docs.sparkSession
     rows = written(text_rows(docs), "join-rows")
     classes = written(classes_of(rows), "join-classes")
-    entries = bucketed(classes, runs_for(recall, threshold))
+    buckets, total = bucketed(classes, runs_for(recall, threshold)), rows.count()
+
+    def sets_of(keys: DataFrame) -> DataFrame:
+        return shingle_sets(docs, keys.join(classes.select("key", "rep", "copies"), "key"), total)
+
+    inner = cores(buckets, sets_of, threshold)
+    entries = written(laid_out(buckets, inner, classes), "join-laid")
     entries2 = written(promising(entries, classes, threshold), "join-entries")
-    keys = entries2.select("key").distinct().join(classes.select("key", "rep", "copies"), "key")
-    found = written(linked(entries2, shingle_sets(docs, keys, rows.count()), threshold), "join-links")
+    found = linked(entries2, sets_of(entries2.select("key").distinct()), threshold)
+    if inner is not None:
+        found = found.unionByName(inner.select("key", "links", "root"))
+    found = written(found, "join-links")
     labels = components(found.where(F.col("key") != F.col("root")).select(F.col("key").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("key").agg(F.sum("links").alias("n_links"))
     full = classes.select("key", "rep", "copies").join(counts, "key", "left").join(labels.withColumnRenamed("node", "key"), "key", "left")
@@ -410,7 +526,7 @@ def joined_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     out = written(
         full.join(least, "class_key").select("key", "rep", "class_id", "lead_key", F.coalesce("n_links", F.lit(0)).alias("n_links"), "copies"), "join-out"
     )
-    forget(spark, classes, entries, entries2, found, full, least)
+    forget(spark, classes, buckets, entries, entries2, found, full, least)
     return rows.select("doc_id", "key"), out
 
 

@@ -87,6 +87,27 @@ def test_rows_that_repeat_a_text_and_its_id(spark):
     assert len(kept) == 1 + 1 + 300 + 100
 
 
+@pytest.mark.parametrize("members", [300, 900])
+def test_a_group_of_near_copies_costs_its_members(spark, monkeypatch, members):
+    """One page with a number of its own in each copy, some copies changed more."""
+    monkeypatch.setattr(pathjoin, "LIMIT", 30)
+    rng = random.Random(members)
+    base = [f"w{k}" for k in range(200)]
+    texts = [" ".join([*base[:90], f"n{k}", *base[90:]]) for k in range(members)]
+    for k in range(8):  # too far for the core, linked to some of it or to none
+        texts.append(" ".join(w if rng.random() > 0.01 + 0.005 * k else "changed" for w in base))
+    texts += ["a b c d e f g", "a b c d e f g h", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    dealt = []
+    paired = pathjoin.paired
+    monkeypatch.setattr(pathjoin, "paired", lambda entries: dealt.append((entries.count(), paired(entries).count())) or paired(entries))
+    got = Counter((r.doc_id, r.class_id, r.n_links, r.n_copies) for r in pathjoin.near_duplicates(docs).collect())
+    assert got == brute(list(enumerate(texts)))[0]
+    assert sum(n >= members - 1 for _, _, n, _ in got) >= members
+    # each entry of the core meets the few blocks of others, not all of the core's own
+    assert all(rows <= 2 * entries + 1000 for entries, rows in dealt), dealt
+
+
 @pytest.mark.parametrize("share", [1e-3, 0.2])
 def test_hot_keys_are_joined_as_others(spark, monkeypatch, share):
     monkeypatch.setattr(pathjoin, "HOT", share)
