@@ -55,6 +55,8 @@ LIMIT, LIMIT_SHINGLES = 1000, 2_000_000
 #: A bucket with more than this share of its parent's members isn't split again.
 SHRINKS = 0.7
 MAX_DEPTH = 6
+#: Earlier buckets that are held against pairs at a time.
+PATHS = 256
 #: Members of a large bucket whose majority is its centre.
 PICKS = 15
 
@@ -344,12 +346,18 @@ def allowed(batch: pa.RecordBatch, left: np.ndarray, right: np.ndarray, threshol
     if not ok.any():
         return ok
     path = column(batch, "path")[0]
-    earlier = [[p for p in row if p < path] for row in column(batch, "paths")]
-    numbers = {p: k for k, p in enumerate({p for row in earlier for p in row})}
-    if numbers:
-        member = np.zeros((batch.num_rows, len(numbers)), np.float32)
-        for k, row in enumerate(earlier):
-            member[k, [numbers[p] for p in row]] = 1
+    # buckets that come earlier, of those that two members or more are in, some
+    # at a time: few members can be in thousands of buckets
+    rows = batch.column(batch.schema.get_field_index("paths"))
+    earlier = rows.flatten().to_numpy()
+    owner = np.repeat(np.arange(batch.num_rows), rows.value_lengths().to_numpy())
+    owner, earlier = owner[earlier < path], earlier[earlier < path]
+    _, number, count = np.unique(earlier, return_inverse=True, return_counts=True)
+    number = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[number]
+    for first in range(0, int((count > 1).sum()), PATHS):
+        here = (number >= first) & (number < first + PATHS)
+        member = np.zeros((batch.num_rows, PATHS), np.float32)
+        member[owner[here], number[here] - first] = 1
         ok &= (member[left] @ member[right].T) == 0
     return ok
 
