@@ -15,20 +15,33 @@ def write_ndjson(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_arrays(df: DataFrame, path: str) -> str:
-    """One indented JSON array a file, as the API client saves it."""
+# Fixed value: records of a landed array file at most. A reader parses an array as
+# one, so this bounds what its task holds, however many records a writer's task has.
+ARRAY_RECORDS = 50_000
+
+
+def write_arrays(df: DataFrame, path: str, per_file: int = ARRAY_RECORDS) -> str:
+    """Indented JSON arrays, as the API client saves them, one a file. An array ends
+    after ``per_file`` records; each record is one row of the text, so that the
+    writer begins its next file at the same place."""
 
     def lines(batches):
         import pyarrow as pa
 
-        lead = "["
+        n, last = 0, None  # the last record waits until its end is known
         for batch in batches:
+            out = []
             for text in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array([lead + "\n  " + text])], names=["value"])
-                lead = ","
-        yield pa.RecordBatch.from_arrays([pa.array(["[]" if lead == "[" else "]"])], names=["value"])
-
-    df.select(F.to_json(F.struct("*")).alias("value")).mapInArrow(lines, "value string").write.mode("overwrite").text(path)
+                new = n % per_file == 0
+                if last is not None:
+                    out.append(last + "\n]" if new else last)
+                last = ("[" if new else ",") + "\n  " + text
+                n += 1
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if last is None else last + "\n]"])], names=["value"])
+
+    texts = df.select(F.to_json(F.struct("*")).alias("value")).mapInArrow(lines, "value string")
+    texts.write.mode("overwrite").option("maxRecordsPerFile", per_file).text(path)
     return path
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cairn.operators import ingest
 from cairn.schemas import LANDED_COMMENT, LANDED_ORDER
-from cairn.sources import files
+from cairn.sources import files, landing
 from cairn.sources.files import landed_shapes, read_landed
 
 
@@ -122,3 +122,20 @@ def test_order_columns_of_another_batch_win(spark, tmp_path):
     both = parts[1].unionByName(parts[0])
     assert [r.text for r in ingest.keyed_merge(both, ["id"], LANDED_ORDER).collect()] == ["new again"]
     assert both.where(F.col("file_seq").isNull()).isEmpty()
+
+
+# ---------------------------------------------------------------- bounded arrays
+def test_an_array_ends_after_so_many_records(spark, tmp_path):
+    """One task's records make several files, each an array of its own, in order."""
+    rows = spark.range(0, 23, 1, 1).selectExpr("id", "concat('text ', id) AS text")
+    landing.write_arrays(rows, f"{tmp_path}/cut", per_file=5)
+    arrays = [json.loads(p.read_text()) for p in sorted((tmp_path / "cut").glob("part-*"))]
+    assert [len(a) for a in arrays] == [5, 5, 5, 5, 3]
+    assert [r["id"] for a in arrays for r in a] == list(range(23)) and arrays[4][2] == {"id": 22, "text": "text 22"}
+    landing.write_arrays(rows.where("id < 10"), f"{tmp_path}/even", per_file=5)
+    assert [len(json.loads(p.read_text())) for p in sorted((tmp_path / "even").glob("part-*"))] == [5, 5]
+    landing.write_arrays(rows.where("id < 0"), f"{tmp_path}/none", per_file=5)
+    assert all(json.loads(p.read_text()) == [] for p in (tmp_path / "none").glob("part-*"))
+    back = read_landed(spark, f"{tmp_path}/cut", rows.schema, 1).orderBy(*LANDED_ORDER)
+    assert [r.id for r in back.collect()] == list(range(23))
+    assert landing.ARRAY_RECORDS <= 50_000  # what the task that reads one array holds
