@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,14 +31,35 @@ def read_json_records(
 def landed_shapes(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
     """(files that hold one JSON array or object, as the API client saves them;
     files with one record a line). Told for each file by its first line that is
-    not blank; the lines stay in the tasks, only file names reach the driver."""
-    lines = spark.read.text(path).where("trim(value) <> ''")
-    placed = lines.select(F.col("_metadata.file_path").alias("file"), F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"), "value")
-    first = placed.groupBy("file").agg(F.min_by(F.ltrim("value"), "at").alias("line"))
+    not blank; the lines stay in the tasks, only file names reach the driver.
+
+    The lines themselves are never aggregated, so none is sorted or kept: a line is
+    tested where it is read, and only the least positions of all lines and of those
+    that pass are compared. Arrays are told by a character; the other files are read
+    again, and the lines of their first blocks parsed."""
+
+    def first_line(paths: str | list[str], passes: Column, blocks: list[int] | None = None) -> list[Row]:
+        lines = spark.read.text(paths).where("trim(value) <> ''")
+        placed = lines.select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("at"),
+            F.ltrim("value").alias("line"),
+        )
+        if blocks is not None:
+            placed = placed.where(F.col("block").isin(blocks))
+        held = placed.groupBy("file", "block").agg(F.min("at").alias("at"), F.min(F.when(passes, F.col("at"))).alias("passed"))
+        first = held.groupBy("file").agg(F.min(F.struct("block", "at", "passed")).alias("f"))
+        return first.select("file", "f.block", F.expr("f.at <=> f.passed").alias("passes")).collect()
+
+    arrays, rest = [], []
+    for r in first_line(path, F.startswith("line", F.lit("["))):
+        (arrays if r["passes"] else rest).append(r)
     # a record that goes on in the next line is no document by itself
-    whole = F.when(F.startswith("line", F.lit("[")), False).otherwise(F.get_json_object("line", "$").isNotNull())
-    found = first.select("file", whole.alias("by_line")).collect()
-    return sorted(r["file"] for r in found if not r["by_line"]), sorted(r["file"] for r in found if r["by_line"])
+    whole = F.get_json_object("line", "$").isNotNull()
+    found = first_line([r["file"] for r in rest], whole, sorted({r["block"] for r in rest})) if rest else []
+    objects, by_line = ([r["file"] for r in found if r["passes"] is held] for held in (False, True))
+    return sorted([r["file"] for r in arrays] + objects), sorted(by_line)
 
 
 def read_landed(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:

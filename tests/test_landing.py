@@ -139,3 +139,30 @@ def test_an_array_ends_after_so_many_records(spark, tmp_path):
     back = read_landed(spark, f"{tmp_path}/cut", rows.schema, 1).orderBy(*LANDED_ORDER)
     assert [r.id for r in back.collect()] == list(range(23))
     assert landing.ARRAY_RECORDS <= 50_000  # what the task that reads one array holds
+
+
+def test_no_line_is_sorted_or_kept_to_tell_shapes(spark, tmp_path, monkeypatch):
+    """Only positions are aggregated; a text is neither grouped, sorted nor shuffled."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    (tmp_path / "a.json").write_text(json.dumps([comment(k, "t") for k in range(3)], indent=1))
+    (tmp_path / "b.json").write_text("\n".join(json.dumps(comment(k, "t")) for k in range(3)))
+    plans, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: plans.append(self._jdf.queryExecution().executedPlan().toString()) or collect(self))
+    documents, lines = landed_shapes(spark, str(tmp_path))
+    assert len(documents) == len(lines) == 1 and plans
+    for plan in plans:
+        kept = [line for line in plan.splitlines() if any(k in line for k in ("SortAggregate", "Exchange", "Sort [")) and ("line#" in line or "value#" in line)]
+        assert not kept and "min_by" not in plan
+
+
+def test_shapes_after_blank_blocks(spark, tmp_path, small_splits):
+    """The first line that is not blank lies in a later block of the file."""
+    record = json.dumps(comment(1, "x" * 100))
+    blank = (" " * 99 + "\n") * 100
+    (tmp_path / "a-lines.json").write_text(blank + "\n".join([record] * 50))
+    (tmp_path / "b-object.json").write_text(blank + json.dumps(comment(1, "x" * 3000), indent=1) + "\n" + record)
+    (tmp_path / "c-array.json").write_text(blank + json.dumps([comment(1, "x" * 100)] * 50, indent=1))
+    (tmp_path / "d-lines.json").write_text("\n".join([record] * 50))
+    documents, lines = landed_shapes(spark, str(tmp_path))
+    assert [[p.rsplit("/", 1)[1] for p in part] for part in (documents, lines)] == [["b-object.json", "c-array.json"], ["a-lines.json", "d-lines.json"]]
