@@ -6,8 +6,8 @@ is paid once, when a batch is written, and never again by those who read.
 
 A batch is one ``INSERT OVERWRITE`` of its partition, which becomes visible with
 the catalog's commit, so a retried batch replaces only its own rows. All tables
-of a layer have the same number of buckets, fixed when the layer is made: about
-the size of the history to be kept over the memory of a task.
+of a layer have the same number of buckets, fixed when the layer is made, from
+the rows of the history to be kept (``buckets_for``).
 """
 
 from __future__ import annotations
@@ -22,6 +22,17 @@ from cairn.sources.files import path_exists
 # The bronze tables that the silver fact is joined from.
 FACT_SOURCES = ("bronze_activities", "bronze_metrics", "bronze_heartrate", "bronze_engagement", "bronze_location")
 
+# Rows of one bucket, about, and the least buckets of a layer.
+BUCKET_ROWS = 250_000
+LEAST_BUCKETS = 8
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets of a layer for a history of so many rows. A task of the join chain
+    sorts a bucket of each table, so with a longer history there are more tasks,
+    not larger ones."""
+    return max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS))
+
 
 class BucketedLayer:
     """Tables ``<schema>.<name>`` under ``root``, in ``buckets`` buckets by key."""

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cairn.functions import parse_ts_ntz
 from cairn.operators import bronze, dims, gold, ingest, quality, trips
 from cairn.plans import medallion
-from cairn.plans.bucketed import FACT_SOURCES, BucketedLayer
+from cairn.plans.bucketed import FACT_SOURCES, BucketedLayer, buckets_for
 from cairn.plans.medallion import Layers
 from cairn.plans.lake import Lake
 from cairn.plans.publish import listing, publish
@@ -286,7 +286,8 @@ def silver_query(name: str) -> Query:
 
 def bucketed_activity_fact(spark, sf_dir):
     """The same fact from bronze tables bucketed by key, written in two batches."""
-    layer = BucketedLayer(spark, f"bronze_{uuid.uuid4().hex[:8]}", _scratch(spark, "bucketed"), buckets=8)
+    buckets = buckets_for(_raw(spark, sf_dir).count())  # by the files' footers
+    layer = BucketedLayer(spark, f"bronze_{uuid.uuid4().hex[:8]}", _scratch(spark, "bucketed"), buckets=buckets)
     early = F.coalesce(F.col("start_date") < F.lit(fixtures.FIRST_FETCH_BEFORE), F.lit(False))
     for batch_id, part in ((1, early), (2, ~early)):
         records = bronze.records(_raw(spark, sf_dir).where(part))

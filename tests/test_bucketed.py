@@ -58,3 +58,21 @@ def test_empty_and_null_keys(spark, layer):
     assert layer.silver_fact().isEmpty()
     write(layer, raw.limit(5).withColumn("id", raw.id * None), 2)
     assert layer.read("bronze_activities").count() == 5 and layer.silver_fact().isEmpty()
+
+
+def test_a_longer_history_has_more_buckets(spark, scratch, monkeypatch):
+    """The query's tables hold so many rows a bucket, however many orders there are."""
+    from cairn import queries
+    from cairn.plans import bucketed
+
+    assert bucketed.buckets_for(0) == bucketed.buckets_for(150_000) == 8
+    assert [bucketed.buckets_for(n) for n in (9_000_000, 54_000_000)] == [36, 216]
+    made = []
+    monkeypatch.setattr(queries, "_scratch", lambda spark, name: f"{scratch}/{name}")
+    monkeypatch.setattr(queries, "BucketedLayer", lambda *args, **kw: made.append(BucketedLayer(*args, **kw)) or made[0])
+    monkeypatch.setattr(bucketed, "BUCKET_ROWS", 100)
+    fact = queries.bucketed_activity_fact(spark, SF_SMALL)
+    n = fixtures.raw_activities(spark, SF_SMALL).count()
+    assert made[0].buckets == -(-n // 100) > 8
+    assert "Exchange" not in _plan(fact) and fact.count() == n
+    made[0].drop()
