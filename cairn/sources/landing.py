@@ -9,9 +9,14 @@ from cairn.operators import ingest
 from cairn.sources import fixtures
 
 
-def write_ndjson(df: DataFrame, path: str) -> str:
-    """NDJSON: splittable by byte range, unlike one JSON array per file."""
-    df.write.mode("overwrite").json(path)
+# Fixed value: records of a landed NDJSON file at most.
+NDJSON_RECORDS = 200_000
+
+
+def write_ndjson(df: DataFrame, path: str, per_file: int = NDJSON_RECORDS) -> str:
+    """NDJSON by gzip, a tenth of the text or less. Such a file is read by one task,
+    record by record, so a file ends after ``per_file`` records."""
+    df.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", per_file).json(path)
     return path
 
 

@@ -1,5 +1,6 @@
 """Order of landed records over files, splits and shapes; the two-phase merge."""
 
+import gzip
 import json
 import random
 
@@ -166,3 +167,14 @@ def test_shapes_after_blank_blocks(spark, tmp_path, small_splits):
     (tmp_path / "d-lines.json").write_text("\n".join([record] * 50))
     documents, lines = landed_shapes(spark, str(tmp_path))
     assert [[p.rsplit("/", 1)[1] for p in part] for part in (documents, lines)] == [["b-object.json", "c-array.json"], ["a-lines.json", "d-lines.json"]]
+
+
+def test_landed_lines_are_compressed_files_of_so_many_records(spark, tmp_path):
+    rows = spark.range(0, 2300, 1, 1).selectExpr("id", "concat('an activity with much the same text ', id) AS text")
+    landing.write_ndjson(rows, f"{tmp_path}/lines", per_file=500)
+    written = sorted((tmp_path / "lines").glob("part-*"))
+    parts = [[json.loads(t) for t in gzip.decompress(p.read_bytes()).splitlines()] for p in written]
+    assert [len(p) for p in parts] == [500, 500, 500, 500, 300] and [r["id"] for p in parts for r in p] == list(range(2300))
+    assert 5 * sum(p.stat().st_size for p in written) < sum(len(json.dumps(r)) for p in parts for r in p)
+    back = files.read_json_records(spark, f"{tmp_path}/lines", rows.schema)
+    assert back.exceptAll(rows).isEmpty() and back.count() == 2300
