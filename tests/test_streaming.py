@@ -4,7 +4,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from cairn.operators import ingest
+from cairn.operators import bronze, ingest
 from cairn.plans.lake import Lake
 from cairn.schemas import MERGE_KEYS, RAW_ACTIVITY_LANDED
 from cairn.session import shared_dir
@@ -74,3 +74,28 @@ def test_bronze_stream_recovers_from_a_failed_micro_batch(spark):
     bronze_rows = read_bronze(lake)
     assert bronze_rows.count() == fixtures.read_table(spark, SF_SMALL, "orders").count()
     assert bronze_rows.groupBy("activity_id").count().where("count > 1").count() == 0
+
+
+def test_streams_over_many_cut_files(spark, monkeypatch):
+    """Landed files end after so many records, so a long fetch is several
+    micro-batches of bounded size, with the same rows in the end."""
+    import glob
+
+    root = tempfile.mkdtemp(prefix="c-", dir=shared_dir(spark))
+    write = landing.write_ndjson
+    monkeypatch.setattr(landing, "write_ndjson", lambda df, path: write(df, path, per_file=200))
+    landing.write_activity_batches(spark, SF_SMALL, f"{root}/landing")
+    landed = spark.read.schema(RAW_ACTIVITY_LANDED).json(f"{root}/landing/activities/*")
+    n = fixtures.read_table(spark, SF_SMALL, "orders").count()
+    sizes = [r["count"] for r in landed.groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert max(sizes) <= 200 and sum(sizes) == fixtures.activity_batches(spark, SF_SMALL).count() > n
+    assert len(glob.glob(f"{root}/landing/activities/*/part-*.json.gz")) >= len(sizes)
+    lake = Lake(spark, f"{root}/lake")
+    ingest_bronze_stream(spark, f"{root}/landing/activities/*", lake, f"{root}/bronze", max_files_per_trigger=4)
+    assert len(lake.batches("bronze", "bronze_activities")) > 1
+    want = bronze.activities(fixtures.raw_activities(spark, SF_SMALL))
+    assert read_bronze(lake).count() == n and read_bronze(lake).exceptAll(want).isEmpty()
+    merge_stream(spark, f"{root}/landing/activities/*", RAW_ACTIVITY_LANDED, MERGE_KEYS["activities"], lake, "raw_activities", f"{root}/merge", max_files_per_trigger=4)
+    streamed = merged(lake, "raw_activities", MERGE_KEYS["activities"])
+    batch = ingest.keyed_merge(fixtures.activity_batches(spark, SF_SMALL), ["id"]).select(*streamed.columns)
+    assert streamed.count() == n and streamed.exceptAll(batch).isEmpty()
