@@ -21,6 +21,7 @@ import json
 import zlib
 from array import array
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +54,20 @@ def _raw(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
+# Bytes of a run that the library may be given, see ``ForcedCutBPE``.
+LIBRARY_RUN = 512
+# Bytes that begin a visible character whatever follows (no white space has them).
+_SHOWN = np.array([0x20 < b < 0x7F or (b >= 0xC3 and b not in (0xE1, 0xE2, 0xE3)) for b in range(256)])
+
+
+def longest_run(text: str) -> int:
+    """Bytes of the longest part between spaces before visible characters, at
+    which every pre-token ends; no pre-token is longer."""
+    raw = np.frombuffer(_raw(text), np.uint8)
+    at = np.flatnonzero((raw[:-1] == 0x20) & _SHOWN[raw[1:]])
+    return int(np.diff(at, prepend=0, append=len(raw)).max())
+
+
 class Pieces(dict):
     """Piece -> its ids as little-endian 32-bit bytes; bounded."""
 
@@ -68,8 +83,10 @@ class Pieces(dict):
 
 
 class ForcedCutBPE:
-    """``by_library``: single fragments are merged by an installed library where
-    the vocabulary's ids are in merge order (callers that only need the ids)."""
+    """``by_library``: an installed library splits and merges whole texts where the
+    vocabulary's ids are in merge order (callers that only need the ids). Texts with
+    a run longer than ``LIBRARY_RUN`` are cut here, and only their fragments merged
+    there: its merging of one piece, and its pattern's lookahead, are quadratic."""
 
     def __init__(self, spec: str, by_library: bool = False):
         j = json.loads(spec)
@@ -116,7 +133,8 @@ class ForcedCutBPE:
             import tiktoken
 
             ranks = {token: i for token, i in of_bytes.items() if len(token) == 1 or i >= made[0]}
-            self.merged_by = tiktoken.Encoding("fragments", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+            library = tiktoken.Encoding("fragments", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe
+            self.merged_by, self.whole_by = library.encode_single_piece, library.encode_ordinary
         self.pair_fits = Pieces(self._pair, 400_000)
         self.token_ids = Pieces(lambda t: self._pretoken(_raw(t)), 100_000)
         self.word_ids = Pieces(self._word, 400_000)
@@ -210,6 +228,8 @@ class ForcedCutBPE:
         where white space follows a space, only the others are cut points."""
         if not text:
             return b""
+        if self.merged_by is not None and longest_run(text) <= LIBRARY_RUN:
+            return array("I", self.whole_by(text)).tobytes()
         words = text.split(" ") if not self.blank_run.search(text) and text[-1] != " " else self.unit.split(text)
         head = self._chunk(words[0]) if words[0] else b""
         known = self.word_ids
@@ -260,7 +280,6 @@ def encode(docs: DataFrame, text: str = "text", vocabulary: str | None = None, i
     keep = [c for c in docs.columns if c != ids_col]
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
         bpe = coder(spec.value)

@@ -31,6 +31,26 @@ def test_ids_and_text_equal_the_library(by_library):
         assert own.decode(got) == LIBRARY.decode(ids, skip_special_tokens=False)
 
 
+def test_texts_of_short_runs_go_to_the_library_whole(monkeypatch):
+    """No piece is looked up one by one there; longer runs are cut as before."""
+    texts = ["a new wörd, " * 50 + f"{k} \u4e2d\u6587\n\n '{chr(0x300 + 17 * k)}s" for k in range(200)]
+    want = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    own = bpe.ForcedCutBPE(SPEC, by_library=True)
+    assert [array("I", own.encode(t)).tolist() for t in texts] == want
+    assert not own.word_ids and not own.token_ids
+    monkeypatch.setattr(bpe, "LIBRARY_RUN", 5)
+    assert [array("I", own.encode(t)).tolist() for t in texts + odd_texts()] == want + [LIBRARY.encode(t, add_special_tokens=False).ids for t in odd_texts()]
+    assert own.word_ids
+
+
+def test_longest_runs():
+    for text, n in (("a", 1), ("ab cd", 3), ("ab " + " " * 9 + "cd", 11), (" \u2003" * 20, 80), (" \n" * 20 + "x", 41), (" é" * 9, 3), ("x" * 600 + " y", 600)):
+        assert bpe.longest_run(text) == n
+    for text in odd_texts():
+        if text:
+            assert max(len(t.encode()) for t in bpe.regex.findall(bpe.PATTERN, text)) <= bpe.longest_run(text)
+
+
 def test_cuts_are_certain():
     own = bpe.ForcedCutBPE(SPEC)
     assert 0 < own.inside.count(0) < 65536  # some byte pairs occur in no token
