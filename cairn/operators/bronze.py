@@ -8,10 +8,12 @@ Every bronze table is a projection of one keyed relation, the *records*
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.schemas import BRONZE_ACTIVITIES
+from cairn.schemas import BRONZE_ACTIVITIES, ORDER_COLS
 
 # Columns of each published bronze table, as named in the records.
 TABLE_COLUMNS = {
@@ -53,9 +55,10 @@ TABLE_COLUMNS = {
 }
 
 
-def records(raw: DataFrame) -> DataFrame:
-    """All bronze columns in one relation keyed by ``activity_id``."""
-    lifted = {"id", "athlete", "map", "batch_seq", "row_seq"}
+def records(raw: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """All bronze columns in one relation keyed by ``activity_id``, and the
+    ``order`` columns of records that are not merged yet."""
+    lifted = {"id", "athlete", "map", *ORDER_COLS} - set(order)
     return raw.select(
         F.col("id").alias("activity_id"),
         F.col("athlete.id").alias("athlete_id"),
@@ -66,13 +69,19 @@ def records(raw: DataFrame) -> DataFrame:
     )
 
 
+def _typed() -> list[str]:
+    return [f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in BRONZE_ACTIVITIES.fields]
+
+
 def project(recs: DataFrame, name: str) -> DataFrame:
     """One published bronze table from the records."""
     if name == "bronze_activities":  # the typed first-run definition
-        return recs.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in BRONZE_ACTIVITIES.fields])
+        return recs.selectExpr(*_typed())
     return recs.selectExpr(*TABLE_COLUMNS[name])
 
 
-def activities(raw: DataFrame) -> DataFrame:
-    """raw activity records -> ``bronze_activities`` (23 typed columns)."""
-    return project(records(raw), "bronze_activities")
+def activities(raw: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """raw activity records -> ``bronze_activities`` (23 typed columns), and the
+    ``order`` columns."""
+    recs = records(raw, order)
+    return project(recs, "bronze_activities") if not order else recs.selectExpr(*_typed(), *order)

@@ -9,7 +9,7 @@ of all rows), no group is collected into a list or sent to one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -103,7 +103,13 @@ def _struct_sql(cols: Sequence[str]) -> str:
     return "struct(" + ", ".join(f"`{c}`" for c in cols) + ")"
 
 
-def keyed_merge(records: DataFrame, keys: Sequence[str], order: Sequence[str] = tuple(ORDER_COLS)) -> DataFrame:
+def keyed_merge(
+    records: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = tuple(ORDER_COLS),
+    among: Callable[[DataFrame], DataFrame] | None = None,
+    unique: bool = False,
+) -> DataFrame:
     """Keep one record per key: the one with the greatest ``order`` tuple.
 
     Keys are separate columns compared null-safely (grouping treats NULLs as
@@ -114,14 +120,28 @@ def keyed_merge(records: DataFrame, keys: Sequence[str], order: Sequence[str] =
     rows by key and order. Key and order together are a record's own, so a hot key
     spreads over all tasks, and full records are neither sorted nor aggregated.
     Of records that tie in key and order one is kept.
+
+    ``among`` gets one row per key and returns those that are wanted (it looks at
+    the keys alone), before wide rows are moved. Where no two records tie
+    (``unique``), nothing is counted and wide rows are shuffled once.
     """
     payload = [f for f in records.schema if f.name not in keys]
     if all(isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)) for f in payload):
-        return _merged_at_once(records, keys, order)
+        merged = _merged_at_once(records, keys, order)
+        return among(merged).select(*records.columns) if among else merged
     at = [*keys, *order]
-    held = records.groupBy(*at).agg(F.count(F.lit(1)).alias("merge_n"))
-    best = held.groupBy(*keys).agg(F.expr(f"max({_struct_sql([*order, 'merge_n'])})").alias("merge_best"))
-    best = best.selectExpr(*[f"`{k}`" for k in keys], "merge_best.*").hint("shuffle_hash").alias("b")
+    if unique:
+        best = records.groupBy(*keys).agg(F.expr(f"max({_struct_sql(order)})").alias("merge_best"))
+    else:
+        held = records.groupBy(*at).agg(F.count(F.lit(1)).alias("merge_n"))
+        best = held.groupBy(*keys).agg(F.expr(f"max({_struct_sql([*order, 'merge_n'])})").alias("merge_best"))
+    best = best.selectExpr(*[f"`{k}`" for k in keys], "merge_best.*")
+    best = among(best) if among else best
+    if unique:
+        own = F.expr(_struct_sql(at)).alias("merge_at")  # NULLs within a struct are equal
+        best = best.select(own).hint("shuffle_hash")
+        return records.withColumn("merge_at", own).join(best, "merge_at").select(*records.columns)
+    best = best.hint("shuffle_hash").alias("b")
     same = [F.col(f"r.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in at]
     won = records.alias("r").join(best, same).select("r.*", "b.merge_n")
     alone, tied = (won.where(cond).drop("merge_n") for cond in ("merge_n = 1", "merge_n > 1"))

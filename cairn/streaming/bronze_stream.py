@@ -17,10 +17,16 @@ with keys of their own costs n, not n squared.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cairn.operators import bronze, ingest
 from cairn.plans.lake import Lake
-from cairn.schemas import BRONZE_ACTIVITIES, BRONZE_KEY, RAW_ACTIVITY_LANDED
+from cairn.schemas import BRONZE_ACTIVITIES, BRONZE_KEY, ORDER_COLS, RAW_ACTIVITY_LANDED
+
+
+# Rows that a task sorts as it writes a micro-batch, on average at most: more
+# partitions than the session's are taken where these would hold more.
+SORTED_ROWS = 250_000
 
 
 def ingest_bronze_stream(
@@ -30,14 +36,21 @@ def ingest_bronze_stream(
     checkpoint: str,
     max_files_per_trigger: int = 64,
 ) -> None:
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
     def append_new(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()  # read for its key ranges and for its rows
+        # The table's columns alone, and each record's place among what was read, so
+        # that no two tie; read for the key ranges, the keys and the rows.
+        batch = bronze.activities(batch, ORDER_COLS).withColumn("place", F.monotonically_increasing_id()).persist()
         try:
-            ranges = ingest.key_ranges(batch, "id")
+            parts = -(-batch.count() // SORTED_ROWS)  # the stream's own session: the caller's stays as it is
+            batch.sparkSession.conf.set("spark.sql.shuffle.partitions", str(max(few, parts)))
+            ranges = ingest.key_ranges(batch)
             history = lake.read_batches("bronze", "bronze_activities", BRONZE_ACTIVITIES, exclude=epoch_id, ranges=ranges)
-            rows = bronze.activities(ingest.keyed_merge(batch, ["id"]))
-            new = ingest.new_keys_only(rows, history, ranges=ranges)
-            lake.append_batch(new, "bronze", "bronze_activities", epoch_id, key=BRONZE_KEY)
+            # keys meet the history before their rows are moved
+            fresh = lambda keys: ingest.new_keys_only(keys, history, ranges=ranges)
+            new = ingest.keyed_merge(batch, [BRONZE_KEY], [*ORDER_COLS, "place"], among=fresh, unique=True)
+            lake.append_batch(new.drop(*ORDER_COLS, "place"), "bronze", "bronze_activities", epoch_id, key=BRONZE_KEY)
         finally:
             batch.unpersist()
 

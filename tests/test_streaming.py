@@ -9,6 +9,7 @@ from cairn.plans.lake import Lake
 from cairn.schemas import MERGE_KEYS, RAW_ACTIVITY_LANDED
 from cairn.session import shared_dir
 from cairn.sources import fixtures, landing
+from cairn.streaming import bronze_stream
 from cairn.streaming.bronze_stream import ingest_bronze_stream, read_bronze
 from cairn.streaming.merge_stream import merge_stream, merged
 from conftest import SF_SMALL
@@ -99,3 +100,68 @@ def test_streams_over_many_cut_files(spark, monkeypatch):
     streamed = merged(lake, "raw_activities", MERGE_KEYS["activities"])
     batch = ingest.keyed_merge(fixtures.activity_batches(spark, SF_SMALL), ["id"]).select(*streamed.columns)
     assert streamed.count() == n and streamed.exceptAll(batch).isEmpty()
+
+
+def test_bronze_stream_moves_the_table_s_columns_once(spark, monkeypatch):
+    """Of a micro-batch only the published columns are shuffled, in one exchange;
+    the others of its plan hold keys and order alone."""
+    import re
+
+    root = tempfile.mkdtemp(prefix="w-", dir=shared_dir(spark))
+    landing.write_activity_batches(spark, SF_SMALL, f"{root}/landing")
+    lake = Lake(spark, f"{root}/lake")
+    real_append, widths = lake.append_batch, []
+
+    def seen(df, *args, **kwargs):
+        plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        widths.append([int(n) for n in re.findall(r"\) Exchange *\nInput \[(\d+)\]", plan)])
+        return real_append(df, *args, **kwargs)
+
+    monkeypatch.setattr(lake, "append_batch", seen)
+    for run, rows in (("first", 250_000), ("again", 250_000), ("many", 100)):  # without and with a history, and in more parts
+        monkeypatch.setattr(bronze_stream, "SORTED_ROWS", rows, raising=False)
+        ingest_bronze_stream(spark, f"{root}/landing/activities/*", lake, f"{root}/{run}")
+    assert len(widths) == 3 and spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    for held in widths:
+        assert sorted(held)[:-1] == [n for n in sorted(held) if n <= 6] and 23 <= max(held) <= 27
+
+
+def test_bronze_stream_over_ties_nulls_and_history(spark):
+    """A key's last record wins, one of those that tie; null keys and keys of the
+    history add nothing."""
+    import json
+    import os
+
+    root = tempfile.mkdtemp(prefix="t-", dir=shared_dir(spark))
+    os.makedirs(f"{root}/in")
+
+    def land(name, rows):
+        with open(f"{root}/in/{name}", "w") as out:
+            out.writelines(json.dumps(dict(zip(("id", "name", "batch_seq", "row_seq"), r))) + "\n" for r in rows)
+
+    lake = Lake(spark, f"{root}/lake")
+    land("a.json", [(1, "one", 1, 1), (2, "old", 1, 2), (None, "lost", 1, 3)] + [(7, f"n{k}", 1, k) for k in range(500)])
+    land("b.json", [(2, "new", 2, 1), (3, "tie", 2, 2), (3, "tie", 2, 2), (4, "x", 2, 5), (4, "y", 2, 5), (5, "late", 2, None), (5, "last", 2, 0)])
+    ingest_bronze_stream(spark, f"{root}/in", lake, f"{root}/ckpt")
+    got = {r["activity_id"]: r["name"] for r in read_bronze(lake).collect()}
+    assert read_bronze(lake).count() == len(got) == 6
+    assert got.pop(4) in ("x", "y") and got == {1: "one", 2: "new", 3: "tie", 5: "last", 7: "n499"}
+    land("c.json", [(2, "newer", 3, 1), (6, "six", 3, 2), (None, "lost", 3, 3), (6, "six again", 3, 4)])
+    ingest_bronze_stream(spark, f"{root}/in", lake, f"{root}/ckpt")
+    later = {r["activity_id"]: r["name"] for r in read_bronze(lake).collect()}
+    assert later[2] == "new" and later[6] == "six again" and len(later) == read_bronze(lake).count() == 7
+
+
+def test_merge_among_wanted_keys(spark):
+    """Keys that are not wanted are left out, with and without ties, for wide
+    records and those of fixed width."""
+    rows = spark.range(0, 4000, 1, 6).selectExpr("id % 300 AS k", "1L AS batch_seq", "id AS row_seq", "concat('r', id) AS text", "id * 2 AS twice")
+    wanted = lambda keys: keys.where("k % 3 = 0")
+    for cols in (["k", "batch_seq", "row_seq", "text"], ["k", "batch_seq", "row_seq", "twice"]):
+        records = rows.select(*cols)
+        want = sorted(map(tuple, ingest.keyed_merge(records, ["k"]).where("k % 3 = 0").collect()))
+        assert len(want) == 100
+        for unique in (False, True):
+            assert sorted(map(tuple, ingest.keyed_merge(records, ["k"], among=wanted, unique=unique).collect())) == want
+        tied = records.unionByName(records)
+        assert sorted(map(tuple, ingest.keyed_merge(tied, ["k"], among=wanted).collect())) == want
